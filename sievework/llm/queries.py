@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, packing, tokenfile
-from .common import new_path
+from . import bpe, jaccard, langid, packing, tokenfile, toxicity
+from .common import crc_of_text, new_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,11 +24,38 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def held_out(of: int, remainder: int):
+    return F.pmod(crc_of_text("doc_id"), F.lit(of)) == remainder
+
+
+def language_model(documents: DataFrame) -> langid.Model:
+    return langid.fit(documents.where(~held_out(3, 1)), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def toxicity_model(documents: DataFrame, labels: DataFrame) -> toxicity.Model:
+    return toxicity.fit(documents, labels.where(~held_out(5, 0)))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return langid.predict(documents, language_model(documents)).select("doc_id", held_out(3, 1).alias("held_out"), "lang_pred", "score")
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = new_path(spark, "token-files")
     tokenfile.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), out)
     return tokenfile.checksums(tokenfile.read_tokens(spark, out))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    scored = toxicity.score(documents, toxicity_model(documents, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted", F.size("spans").cast("long").alias("n_spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_bpe_roundtrip, op3_best_fit_packing, op5_token_files)}
+    return {f.__name__: f for f in (op2_bpe_roundtrip, op3_best_fit_packing, op4_language_id, op5_token_files, op6_jaccard_join, op7_toxicity)}
