@@ -186,10 +186,7 @@ class Codec:
         keys = np.array([x << 20 | y for x, y in pairs], dtype=np.int64)
         order = np.argsort(keys)
         self.pair_keys, self.pair_ranks = keys[order], np.array(list(pairs.values()), dtype=np.int64)[order]
-        self._reset()
-
-    def _reset(self) -> None:
-        self.numbers = Numbers()
+        self.numbers = Numbers(CACHE_ENTRIES)
         self.store = np.zeros(0, dtype=np.uint32)
         self.store_at, self.store_n = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
@@ -250,14 +247,10 @@ class Codec:
         return out
 
     def _pieces(self, slots: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all pieces, number of ids of each piece); the cache starts anew once it is full."""
-        if len(self.numbers) > CACHE_ENTRIES:
-            self._reset()
-        numbers = self.numbers
-        numbers.fresh = []
-        which = np.fromiter(map(numbers.__getitem__, slots), dtype=np.int64, count=len(slots))
-        if numbers.fresh:
-            found = self._merge_many(numbers.fresh)
+        """(ids of all pieces, number of ids of each piece)."""
+        which = self.numbers.numbered(slots)
+        if self.numbers.fresh:
+            found = self._merge_many(self.numbers.fresh)
             sizes = np.array([len(x) for x in found], dtype=np.int64)
             self.store_at = np.concatenate([self.store_at, len(self.store) + np.cumsum(sizes) - sizes])
             self.store_n = np.concatenate([self.store_n, sizes])
@@ -265,7 +258,12 @@ class Codec:
         count = self.store_n[which]
         ends = np.cumsum(count)
         take = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.store_at[which] - (ends - count), count)
-        return self.store[take], count
+        ids = self.store[take]
+        stay = self.numbers.settle()
+        if stay < len(self.store_n):
+            self.store_at, self.store_n = self.store_at[:stay], self.store_n[:stay]
+            self.store = self.store[: int(self.store_at[-1] + self.store_n[-1])].copy() if stay else self.store[:0]
+        return ids, count
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(all ids, end of each text among them, byte offset of each token's end in its text)."""

@@ -114,12 +114,27 @@ def vectors_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Numbers(dict):
-    """Piece -> its number; a new piece gets the next number and is noted in ``fresh``."""
+    """Piece -> its number; a new piece gets the next number and is noted in ``fresh``.
 
-    def __init__(self) -> None:
-        self.fresh: list[bytes] = []
+    ``settle`` ends a batch: once there are ``most`` pieces, those of the batch go again. What is frequent came early and stays."""
+
+    def __init__(self, most: int) -> None:
+        self.most, self.fresh = most, []
 
     def __missing__(self, piece: bytes) -> int:
         n = self[piece] = len(self)
         self.fresh.append(piece)
         return n
+
+    def numbered(self, pieces: list[bytes]) -> np.ndarray:
+        self.fresh = []
+        return np.fromiter(map(self.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+
+    def settle(self) -> int:
+        """How many pieces stay; what is stored of later ones can go."""
+        for piece in reversed(self.fresh):
+            if len(self) <= self.most:
+                break
+            del self[piece]
+        self.fresh = []
+        return len(self)

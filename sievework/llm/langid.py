@@ -201,10 +201,7 @@ def fit(df: DataFrame, path: str, lang_col: str = "lang", key: str = "doc_id", t
 class Scorer:
     def __init__(self, model: Model):
         self.model, self.pieces = model, Pieces(model.pieces)
-        self._reset()
-
-    def _reset(self) -> None:
-        self.numbers = Numbers()
+        self.numbers = Numbers(CACHE_ENTRIES)
         self.values = np.zeros((0, len(self.model.languages)))
         self.lettered = np.zeros(0, dtype=bool)
 
@@ -224,24 +221,25 @@ class Scorer:
 
     def score(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(best language's number or -1, its share of the probability) of each text."""
-        if len(self.numbers) > CACHE_ENTRIES:
-            self._reset()
         chunks: list[bytes] = []
         counts = np.zeros(len(texts), dtype=np.int64)
         for i, text in enumerate(texts):
             found = text.split()
             counts[i] = len(found)
             chunks += found
-        self.numbers.fresh = []
-        which = np.fromiter(map(self.numbers.__getitem__, chunks), dtype=np.int64, count=len(chunks))
+        which = self.numbers.numbered(chunks)
         if self.numbers.fresh:
             self._look_up(self.numbers.fresh)
         k = len(self.model.languages)
+        values, has_letters = self.values, self.lettered
+        stay = self.numbers.settle()
+        if stay < len(values):
+            self.values, self.lettered = values[:stay].copy(), has_letters[:stay].copy()
         doc = np.repeat(np.arange(len(texts)), counts)
-        lettered = np.bincount(doc, weights=self.lettered[which], minlength=len(texts)) > 0
+        lettered = np.bincount(doc, weights=has_letters[which], minlength=len(texts)) > 0
         if not k:
             return np.full(len(texts), -1), np.zeros(len(texts))
-        total = np.stack([np.bincount(doc, weights=self.values[which, c], minlength=len(texts)) for c in range(k)], axis=1)
+        total = np.stack([np.bincount(doc, weights=values[which, c], minlength=len(texts)) for c in range(k)], axis=1)
         best = total.argmax(axis=1)
         share = 1 / np.exp(np.clip(total - total.max(axis=1, keepdims=True), -700, 0)).sum(axis=1)
         return np.where(lettered, best, -1), np.where(lettered, share, 0.0)

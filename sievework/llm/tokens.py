@@ -4,7 +4,7 @@ piece goes through the library once."""
 from __future__ import annotations
 
 import os
-import re
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -13,14 +13,40 @@ from .bpe import pieces_of_texts
 from .common import Numbers
 
 CACHE_ENTRIES = 300_000
-#: A comma or full stop after a letter and before white space is a piece of its own for the tokenizer.
-_mark = re.compile(rb"([A-Za-z])([,.])(?=[ \n])")
 TOGETHER = 2_000
+#: ASCII marks; a run of them at the end of a word, after an ASCII letter, is cut off by the tokenizer too.
+MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+Ids = tuple[np.ndarray, np.ndarray]  # ids of all pieces, number of ids of each
+
+
+class _Store:
+    """Cache of ids by piece in front of ``fill``."""
+
+    def __init__(self, fill: Callable[[list[bytes]], Ids]):
+        self.fill, self.numbers = fill, Numbers(CACHE_ENTRIES)
+        self.flat = np.zeros(0, dtype=np.uint32)
+        self.at, self.n = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+
+    def get(self, pieces: list[bytes]) -> Ids:
+        which = self.numbers.numbered(pieces)
+        if self.numbers.fresh:
+            ids, size = self.fill(self.numbers.fresh)
+            self.at = np.concatenate([self.at, len(self.flat) + np.cumsum(size) - size])
+            self.n = np.concatenate([self.n, size])
+            self.flat = np.concatenate([self.flat, ids])
+        count = self.n[which]
+        ends = np.cumsum(count)
+        out = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.at[which] - (ends - count), count)]
+        stay = self.numbers.settle()
+        if stay < len(self.n):
+            self.at, self.n = self.at[:stay].copy(), self.n[:stay].copy()
+            self.flat = self.flat[: int(self.at[-1] + self.n[-1])].copy()
+        return out, count
 
 
 class CachedTokenizer:
-    """``drops_space``: the tokenizer drops white space and cuts between letters and marks, so texts are cut there; otherwise it
-    is one that cuts by the pattern of ``bpe.piece_starts``. Strings of special tokens in a text are ordinary text."""
+    """``drops_space``: the tokenizer drops white space, ignores case and cuts between letters and marks, so texts are cut there;
+    otherwise it is one that cuts by the pattern of ``bpe.piece_starts``. Strings of special tokens in a text are ordinary text."""
 
     def __init__(self, path: str, drops_space: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -30,26 +56,24 @@ class CachedTokenizer:
         self.plain.encode_special_tokens = True
         self.between, self.between_id = "<|endoftext|>", self.plain.token_to_id("<|endoftext|>")
         self.drops_space = drops_space
-        self._reset()
-
-    def _reset(self) -> None:
-        self.numbers = Numbers()
-        self.store = np.zeros(0, dtype=np.uint32)
-        self.at, self.n = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-
-    def _cut(self, texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-        if not self.drops_space:
-            return pieces_of_texts(texts)[:2]
-        pieces: list[bytes] = []
-        counts = []
-        for text in texts:
-            found = _mark.sub(rb"\1 \2", text).split()
-            counts.append(len(found))
-            pieces += found
-        return pieces, np.array(counts, dtype=np.int64)
-
-    def _look_up(self, pieces: list[bytes]) -> None:
-        """Encode new pieces, many in one call: a special token that no ordinary text gives keeps them apart."""
+        self.inner = _Store(self._encode)
+        self.outer = _Store(self._from_parts) if drops_space else self.inner
+
+    def _from_parts(self, words: list[bytes]) -> Ids:
+        parts: list[bytes] = []
+        count = np.ones(len(words), dtype=np.int64)
+        for i, word in enumerate(words):
+            stem = word.rstrip(MARKS)
+            if len(stem) < len(word) and stem[-1:].isalpha():
+                parts += (stem.lower(), word[len(stem) :])
+                count[i] = 2
+            else:
+                parts.append(word.lower())
+        ids, size = self.inner.get(parts)
+        return ids, np.add.reduceat(size, np.cumsum(count) - count)
+
+    def _encode(self, pieces: list[bytes]) -> Ids:
+        """Many pieces in one call: a special token that no ordinary text gives keeps them apart."""
         plain = [p.decode() for p in pieces]
         flat, sizes = [], []
         for i in range(0, len(plain), TOGETHER):
@@ -63,24 +87,22 @@ class CachedTokenizer:
             ends = ids == self.between_id
             flat.append(ids[~ends])
             sizes.append(np.diff(np.flatnonzero(ends), prepend=-1) - 1)
-        size = np.concatenate(sizes)
-        self.at = np.concatenate([self.at, len(self.store) + np.cumsum(size) - size])
-        self.n = np.concatenate([self.n, size])
-        self.store = np.concatenate([self.store, *flat])
+        return np.concatenate(flat), np.concatenate(sizes)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, end of each text among them)."""
-        if len(self.numbers) > CACHE_ENTRIES:
-            self._reset()
-        pieces, counts = self._cut(texts)
-        self.numbers.fresh = []
-        which = np.fromiter(map(self.numbers.__getitem__, pieces), dtype=np.int64, count=len(pieces))
-        if self.numbers.fresh:
-            self._look_up(self.numbers.fresh)
-        count = self.n[which]
+        if self.drops_space:
+            pieces: list[bytes] = []
+            counts = []
+            for text in texts:
+                found = text.split()
+                counts.append(len(found))
+                pieces += found
+        else:
+            pieces, counts, _, _ = pieces_of_texts(texts)
+        ids, count = self.outer.get(pieces)
         ends = np.concatenate([[0], np.cumsum(count)])
-        take = np.arange(ends[-1]) + np.repeat(self.at[which] - ends[:-1], count)
-        return self.store[take], ends[np.cumsum(counts)]
+        return ids, ends[np.cumsum(counts, dtype=np.int64)]
 
     def encode_with_end(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The same with ``end_id`` after each text."""

@@ -67,17 +67,12 @@ class Reader:
 
     def __init__(self, odds: dict[str, float]):
         self.odds = odds
-        self._reset()
-
-    def _reset(self) -> None:
-        self.numbers = Numbers()
+        self.numbers = Numbers(CACHE_ENTRIES)
         self.value = np.zeros(0)
         self.closes = np.zeros(0, dtype=bool)
 
     def read(self, texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(tokens, their count in each text, first token of each chain, features, the joined texts as bytes)."""
-        if len(self.numbers) > CACHE_ENTRIES:
-            self._reset()
         joined = b"\n".join(texts)
         tokens = joined.split()
         raw = np.frombuffer(joined, dtype=np.uint8)
@@ -86,15 +81,16 @@ class Reader:
         sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
         edges = np.concatenate([[0], np.cumsum(sizes)])
         counts = np.diff(np.searchsorted(begins, edges))
-        self.numbers.fresh = []
-        which = np.fromiter(map(self.numbers.__getitem__, tokens), dtype=np.int64, count=len(tokens))
+        which = self.numbers.numbered(tokens)
         if self.numbers.fresh:
             self.value = np.concatenate([self.value, [self.odds.get(word_of(t), 0.0) for t in self.numbers.fresh]])
             self.closes = np.concatenate([self.closes, np.array([t[-1:] in b".!?" for t in self.numbers.fresh], dtype=bool)])
-        value = self.value[which]
+        value, closes = self.value[which], self.closes[which]
+        stay = self.numbers.settle()
+        self.value, self.closes = self.value[:stay], self.closes[:stay]
         first = np.zeros(len(tokens), dtype=bool)
         first[(np.cumsum(counts) - counts)[counts > 0]] = True
-        first[1:] |= self.closes[which[:-1]]
+        first[1:] |= closes[:-1]
         starts = np.flatnonzero(first)
         within = np.arange(len(tokens)) - np.repeat(starts, np.diff(np.append(starts, len(tokens))))
         starts = np.flatnonzero(within % CHAIN == 0)
