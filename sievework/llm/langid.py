@@ -245,8 +245,8 @@ class Scorer:
         return np.where(lettered, best, -1), np.where(lettered, share, 0.0)
 
 
-def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, lang_pred, score): the likeliest language of every whole text and its posterior share, 0 to 1.
+def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, lang_pred, score, and the columns ``carry``): the likeliest language of every whole text and its posterior share, 0 to 1.
 
     ``und`` with score 0 where the text is null or has no letter, or the model knows no language. Equal scores go to the language
     first in alphabetical order. Only the text decides; repeated rows give repeated results."""
@@ -260,7 +260,7 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             for a, b in slices_by_bytes(batch.column(1)):
                 rows = batch.slice(a, b - a)
                 best, share = scorer.score(list(text_views(rows.column(1))))
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(names[best], pa.string()), pa.array(share, pa.float64())], names=[id_col, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(names[best], pa.string()), pa.array(share, pa.float64()), *rows.columns[2:]], names=[id_col, "lang_pred", "score", *carry])
 
-    schema = T.StructType([df.schema[id_col], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return df.select(id_col, text_col).mapInArrow(run, schema)
+    schema = T.StructType([df.schema[id_col], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), *(df.schema[c] for c in carry)])
+    return df.select(id_col, text_col, *carry).mapInArrow(run, schema)

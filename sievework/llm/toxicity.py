@@ -247,8 +247,8 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     return Model(odds, weights, moves, _logistic(document_features(p, counts), y.astype(float)))
 
 
-def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score, predicted, spans) of every whole text: score 0 to 1, predicted = score >= 0.5, spans: array of (start, end), the
+def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, score, predicted, spans, and the columns ``carry``) of every whole text: score 0 to 1, predicted = score >= 0.5, spans: array of (start, end), the
     byte offsets of runs of tokens with a marginal of at least one half.
 
     A null text counts as empty; an empty one gets the score of a document without toxic tokens and no spans. Only the text decides."""
@@ -278,8 +278,8 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
                     else:
                         own.append({"start": int(begins[i] - base[doc[i]]), "end": end})
                     last = i
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(value, pa.float64()), pa.array((value >= 0.5).astype(np.int32), pa.int32()), pa.array(spans, pa.list_(span))], names=[id_col, "score", "predicted", "spans"])
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(value, pa.float64()), pa.array((value >= 0.5).astype(np.int32), pa.int32()), pa.array(spans, pa.list_(span)), *rows.columns[2:]], names=[id_col, "score", "predicted", "spans", *carry])
 
     spans = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
-    schema = T.StructType([df.schema[id_col], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()), T.StructField("spans", spans)])
-    return df.select(id_col, text_col).mapInArrow(run, schema)
+    schema = T.StructType([df.schema[id_col], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()), T.StructField("spans", spans), *(df.schema[c] for c in carry)])
+    return df.select(id_col, text_col, *carry).mapInArrow(run, schema)
