@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, langid, packing, suffix, tokenfile, toxicity
+from . import bpe, jaccard, langid, license, packing, suffix, tokenfile, toxicity
 from .common import crc_of_text, new_path
 
 
@@ -63,5 +63,9 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", removed.cast("long").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.scan(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_bpe_roundtrip, op3_best_fit_packing, op4_language_id, op5_token_files, op6_jaccard_join, op7_toxicity, op8_suffix_dedup)}
+    return {f.__name__: f for f in (op2_bpe_roundtrip, op3_best_fit_packing, op4_language_id, op5_token_files, op6_jaccard_join, op7_toxicity, op8_suffix_dedup, op10_license_scan)}

@@ -1,7 +1,30 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express on whole tables."""
 
 from __future__ import annotations
 
+from . import license
+
+
+def _license() -> str:
+    phrases = " UNION ALL ".join(f"SELECT '{p}' AS phrase, '{label}' AS label" for p, label in license.PHRASES.items())
+    notices = " UNION ALL ".join(f"SELECT '{n}' AS notice, '{label}' AS label" for n, label in license.NOTICES.items())
+    num, den = license.NEED
+    return f"""
+WITH phrases AS (SELECT phrase, label, string_split(phrase, ' ') AS p FROM ({phrases})),
+notices AS (SELECT label, list_distinct(string_split(notice, ' ')) AS t FROM ({notices})),
+norm AS (SELECT doc_id, trim(regexp_replace(translate(coalesce(text, ''), '{license.UPPER}', '{license.LOWER}'), '{license.BETWEEN}', ' ', 'g'), ' ') AS s FROM documents),
+words AS (SELECT doc_id, CASE WHEN s = '' THEN CAST([] AS VARCHAR[]) ELSE string_split(s, ' ') END AS w FROM norm),
+places AS (SELECT doc_id, label, i FROM (SELECT doc_id, w, p, label, unnest(range(1, len(w) - len(p) + 2)) AS i FROM words, phrases WHERE contains(' ' || array_to_string(w, ' ') || ' ', ' ' || phrase || ' ')) WHERE w[i:i + len(p) - 1] = p),
+base AS (SELECT doc_id, count(*) AS n_base, min(i) - 1 AS first_word, max(i) - 1 AS last_word, list_sort(list_distinct(list(label))) AS base_labels FROM places GROUP BY doc_id),
+blocks AS (SELECT doc_id, list_distinct(w[i + 1:i + {license.BLOCK}]) AS b FROM (SELECT doc_id, w, unnest(range(0, len(w), {license.STEP})) AS i FROM words)),
+found AS (SELECT doc_id, label, len(list_intersect(b, t)) / len(t) AS containment FROM blocks, notices WHERE {den} * len(list_intersect(b, t)) >= {num} * len(t)),
+own AS (SELECT doc_id, list_distinct(list(label)) AS labels, max(containment) AS most FROM found GROUP BY doc_id)
+SELECT words.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+  coalesce(array_to_string(base_labels, ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base_labels, []), coalesce(labels, [])))), ','), '') AS labels,
+  CAST(CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(most, 0.0) END AS DOUBLE) AS score
+FROM words LEFT JOIN base USING (doc_id) LEFT JOIN own USING (doc_id)"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_license_scan": _license()}
