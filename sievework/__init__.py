@@ -1,0 +1 @@
+"""Dataset curation and quality gates on Spark DataFrames."""
