@@ -13,7 +13,7 @@ UNMEASURED = 1e308  # finite, so that strict JSON can hold it
 def mean_confidence(df: DataFrame, probs: str = "pred_probs", by: list[str] | None = None) -> DataFrame:
     """confidence and confidence_measured: mean of each row's greatest probability; empty or NaN is unmeasured, 0."""
     mean = F.avg(F.array_max(probs))
-    ok = F.coalesce(~F.isnan(mean), F.lit(False))
+    ok = mean.isNotNull() & ~F.isnan(mean)
     return (df.groupBy(*by) if by else df.groupBy()).agg(F.when(ok, mean).otherwise(0.0).alias("confidence"), ok.alias("confidence_measured"))
 
 
