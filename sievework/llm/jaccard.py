@@ -5,7 +5,7 @@
    shingles that many have; sets are ordered by it, rare first. (Any order that all sets share gives right results.)
 3. A pair that is similar enough shares one of the first n - ceil(t n) + 1 shingles of both. Only these are dealt out, packed by
    ranges of the hash. Within one shingle, sets lie sorted by size, so that partners form size bands, and the place of the shingle
-   bounds the overlap. Small groups give all pairs that pass; large ones give a star and a chain.
+   bounds the overlap. Small groups give all pairs that pass; large ones give a few stars.
 4. Candidates that hang together form a tile. In it, hashed bitmaps of one bit a shingle bound the overlap from above, and what
    passes is settled by exact intersection of sorted arrays.
 5. Links join classes to components. Then the large groups are looked at again: pairs that lie in different components are all
@@ -30,6 +30,7 @@ SLOT_BITS = 23  # the table of counts takes 2^23 bytes whatever the input
 COMMON = 8  # documents from which a shingle's count is kept
 SMALL = 8  # sets of one shingle that give all their pairs at once
 TILE = 2_000  # sets of a tile about
+HUBS = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)]
 _base = 0x9E3779B97F4A7C15
 _inverse = pow(_base, -1, 1 << 64)
 _blank = np.zeros(256, dtype=bool)
@@ -229,9 +230,10 @@ def _candidates(df: DataFrame, text_col: str, words: int, table: np.ndarray, tot
             if y - x <= SMALL:
                 pairs.append(np.stack(_pairs_of_group(node[g], n[g], place[g], t_num, t_den)))
                 continue
-            by = np.lexsort((node[g], n[g])) + x
-            hub = by[int(np.argmin(mix64(node[by].astype(np.uint64) ^ np.uint64(token[x]))))]
-            left, right = np.concatenate([np.full(len(by), hub), by[:-1]]), np.concatenate([by, by[1:]])
+            # the hubs depend on the sets alone, so that groups of the same sets give the same pairs
+            by = np.arange(x, y)
+            hubs = [x + int(np.argmin(mix64(node[g].astype(np.uint64) ^ seed))) for seed in HUBS]
+            left, right = np.repeat(hubs, y - x), np.tile(by, len(hubs))
             low, high = np.minimum(n[left], n[right]), np.maximum(n[left], n[right])
             ok = (t_den * low >= t_num * high) & (left != right)
             pairs.append(np.stack([node[left[ok]], node[right[ok]]]))
