@@ -30,8 +30,7 @@ def _refine(unit: np.ndarray, k: int, rng: np.random.Generator) -> tuple[np.ndar
     if k >= n - 1:
         sims = unit @ unit.T
         np.fill_diagonal(sims, -9)
-        order = np.argsort(-sims, axis=1)[:, : n - 1]
-        return order, np.take_along_axis(sims, order, axis=1)
+        return np.broadcast_to(np.arange(n), (n, n)), sims
     near = rng.integers(0, n - 1, size=(n, k))
     near += near >= np.arange(n)[:, None]
     sims = np.einsum("ijd,id->ij", unit[near], unit)
@@ -83,13 +82,17 @@ def links_of_cell(x: np.ndarray, threshold: float, k: int = LIST, seed: int = 5)
             true = (unit[sample] @ unit.T >= near_threshold).sum(axis=1) - 1
             listed = (sims[sample] >= near_threshold).sum(axis=1)
             if full or (listed < true).any():
-                k = min(2 * k, n - 1)
+                k = 2 * k if 16 * k * k < n else n - 1  # joins of longer lists would look at more rows than the cell has
                 continue
         i, j = np.nonzero(sims >= near_threshold)
         a, b = i, near[i, j]
-        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-        exact = (scaled[pairs[0]] * scaled[pairs[1]]).sum(axis=1) / np.sqrt((scaled[pairs[0]] ** 2).sum(axis=1)) / np.sqrt((scaled[pairs[1]] ** 2).sum(axis=1))
-        return pairs[0][exact >= threshold], pairs[1][exact >= threshold]
+        keys, first = np.unique(np.minimum(a, b) * n + np.maximum(a, b), return_index=True)
+        left, right = keys // n, keys % n
+        keep = sims[i, j][first] >= threshold + 1e-9
+        edge = np.flatnonzero(~keep)  # within rounding of the threshold: decided by the exact measure
+        p, q = scaled[left[edge]], scaled[right[edge]]
+        keep[edge] = (p * q).sum(axis=1) / np.sqrt((p * p).sum(axis=1)) / np.sqrt((q * q).sum(axis=1)) >= threshold
+        return left[keep], right[keep]
 
 
 def near_duplicates(df: DataFrame, threshold: float = 0.98, tables: int = TABLES, cell: int = CELL, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
@@ -151,8 +154,7 @@ def near_duplicates(df: DataFrame, threshold: float = 0.98, tables: int = TABLES
                 left.append(nodes[a:b][i])
                 right.append(nodes[a:b][j])
         x, y = np.concatenate(left), np.concatenate(right)
-        pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1) if len(x) else np.zeros((2, 0), np.int64)
-        return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
+        return pa.table({"a": pa.array(np.minimum(x, y), pa.int64()), "b": pa.array(np.maximum(x, y), pa.int64())})
 
     links = materialise(placed.select("part", "cell", "node", "vec").groupBy("part").applyInArrow(search, "a long, b long").where("a <> b").distinct(), "vector-links")
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
