@@ -27,7 +27,8 @@ from .common import materialise, mix64, slices_by_bytes, text_views
 
 LENGTH = 100
 GRAM = 32
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 1 << 20  # a shard takes some hundred times its bytes for a moment
+SLICE_BYTES = 1 << 20
 MOST_TABLE_BITS = 28  # 32 MB of bits at most are sent to the executors
 _base = np.uint64(0x9E3779B97F4A7C15)
 _inverse = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -82,7 +83,7 @@ def _repeated(df: DataFrame, text_col: str, total: int) -> np.ndarray:
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in slices_by_bytes(batch.column(0)):
+            for a, b in slices_by_bytes(batch.column(0), SLICE_BYTES):
                 h = anchors(list(text_views(batch.column(0).slice(a, b - a))))[0]
                 if not len(h):
                     continue
@@ -260,6 +261,8 @@ def repeated_starts(spans: list[bytes], docs: np.ndarray, starts: np.ndarray, le
         gone = seen[group] | (doc[at] > doc[lead]) | ((doc[at] == doc[lead]) & (place[at] > place[lead]))
         out_doc.append(doc[at[gone]])
         out_start.append(place[at[gone]])
+        shard.order = shard.order[heads]  # for later shards the distinct strings are enough
+        del shard.prefix, shard.room
         done.append(shard)
     if not out_doc:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -282,14 +285,14 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     spark = df.sparkSession
     total = df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     shared = spark.sparkContext.broadcast(_repeated(df, text_col, total))  # 2^MOST_TABLE_BITS bits at most
-    bits = max(4, int(total / (4 << 20)).bit_length())
+    bits = max(4, int(total / (2 << 20)).bit_length())
     kind = "bucket long, docs binary, starts binary, sizes binary, texts binary, gone binary"
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         shift = np.uint64(64 - (len(table) * 8 - 1).bit_length())
         for batch in batches:
-            for a, b in slices_by_bytes(batch.column(1)):
+            for a, b in slices_by_bytes(batch.column(1), SLICE_BYTES):
                 rows = batch.slice(a, b - a)
                 ids = rows.column(0).cast(pa.int64()).to_numpy(zero_copy_only=False)
                 texts = list(text_views(rows.column(1)))
@@ -354,7 +357,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
         for batch in batches:
-            for x, y in slices_by_bytes(batch.column(1), 16 << 20):
+            for x, y in slices_by_bytes(batch.column(1)):
                 rows = batch.slice(x, y - x)
                 spans, kept = [], []
                 for text, starts, ends in zip(text_views(rows.column(1)), rows.column(2).to_pylist(), rows.column(3).to_pylist()):
