@@ -336,9 +336,17 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         text = b"".join(table.column("texts").to_pylist())
         ends = np.cumsum(sizes)
         spans = [text[e - s : e] for s, e in zip(sizes.tolist(), ends.tolist())]
-        doc, start = repeated_starts(spans, docs, starts)
+        first: dict[bytes, int] = {}
+        kept, copies = [], []
+        for i in np.lexsort((starts, docs)).tolist():  # of equal stretches only the earliest is sorted; the others are repeats
+            j = first.setdefault(spans[i], i)
+            if j == i:
+                kept.append(i)
+            elif docs[i] != docs[j] or starts[i] != starts[j]:
+                copies.append(i)
+        doc, start = repeated_starts([spans[i] for i in kept], docs[kept], starts[kept])
         doc, start, end = _runs(doc, start, LENGTH)
-        gone = column("gone", "<i8").reshape(-1, 3)
+        gone = np.concatenate([column("gone", "<i8").reshape(-1, 3), np.stack([docs[copies], starts[copies], starts[copies] + sizes[copies]], axis=1)])
         return pa.table({id_col: pa.array(np.concatenate([doc, gone[:, 0]]), pa.int64()), "start": pa.array(np.concatenate([start, gone[:, 1]]), pa.int64()), "end": pa.array(np.concatenate([end, gone[:, 2]]), pa.int64())})
 
     return df.where(F.octet_length(text_col) >= LENGTH).select(id_col, text_col).mapInArrow(deal, kind).groupBy("bucket").applyInArrow(settle, f"`{id_col}` long, start long, end long")
