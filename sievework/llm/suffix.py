@@ -68,7 +68,8 @@ def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple
     last = valid.copy()
     last[:-1] &= ~valid[1:] | first[1:]
     begins, stops = np.flatnonzero(first), np.flatnonzero(last)
-    return hashes[at[begins]], doc[begins], begins, stops, raw
+    # least hashes crowd near 0; mixed once more they spread over all buckets
+    return mix64(hashes[at[begins]] ^ _base), doc[begins], begins, stops, raw
 
 
 def _local(hashes: np.ndarray, bits: int) -> np.ndarray:
