@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,9 +39,19 @@ class Outcome:
     drift: DataFrame
 
 
+def timed(model, rows: DataFrame) -> DataFrame:
+    """The model's output and ms: what the scoring of each row took on the executor's clock."""
+    clock = lambda: F.reflect(F.lit("java.lang.System"), F.lit("nanoTime")).cast("long")
+    out = model.transform(rows.withColumn("_began", clock()))
+    return out.withColumn("ms", F.when(F.col("probability").isNotNull(), (clock() - F.col("_began")) / 1e6)).drop("_began")  # read after scoring, as it depends on it
+
+
 def run(inventory: DataFrame, payloads: DataFrame, rates: DataFrame, config: Config, brand: str, now: datetime, out: str, embed: Embedder, model_id: str, allow_fallback: bool = False, trees: int = 100, depth: int = 8) -> Outcome:
     """One brand's run. ``payloads``: (id, payload); ``rates``: one row (observed, baseline). A gate that fails raises after its metrics
-    have been written under ``out``; later stages then never run. Ids must be integers written as text."""
+    have been written under ``out``; later stages then never run. Ids must be integers written as text.
+
+    The model learns from the split's training rows; every cleaned row that has a file is evaluated. The files are the payloads that
+    aren't null: a row of the manifest without one counts as a missing image, and any of them fails the evaluation."""
     s = config.selection_of(brand)
     manifest = materialise(selection.select_curated(inventory, s, now), "manifest")
     sinks.metrics_then_check(selection.selection_metrics(manifest), f"{out}/selection_metrics", gates.dataset_bounds(s))
@@ -63,15 +73,15 @@ def run(inventory: DataFrame, payloads: DataFrame, rates: DataFrame, config: Con
     index = F.array_position(F.array(*map(F.lit, classes)), F.col("label")) - 1
     data = split.withColumn("_x", array_to_vector(F.col("embedding").cast("array<double>"))).withColumn("_y", index.cast("double"))
     model = RandomForestClassifier(featuresCol="_x", labelCol="_y", numTrees=trees, maxDepth=depth, seed=config.quality.seed).fit(data.where("split = 'train'"))
-    scored = model.transform(data.where("split = 'val'"))
     name = F.element_at(F.array(*map(F.lit, classes)), F.col("prediction").cast("int") + 1)
-    predictions = scored.select("label", name.alias("prediction"), F.lit(None).cast("double").alias("confidence"))
-    spark = inventory.sparkSession
-    none = spark.createDataFrame([], "image_path string"), spark.createDataFrame([], "ms double")
-    facts = evaluation.with_aborts(evaluation.with_run_facts(evaluation.metrics(predictions, config.evaluation), *none), config.evaluation)
+    files = payloads.where("payload is not null").select("id")
+    scored = timed(model, data.join(files.distinct(), "id", "left_semi"))
+    scored = materialise(scored.select("label", name.alias("prediction"), F.array_max(vector_to_array("probability")).alias("confidence"), "ms"), "scored")
+    facts = evaluation.with_run_facts(evaluation.metrics(scored, config.evaluation), evaluation.missing_files(manifest, files, "id"), scored)
+    facts = materialise(evaluation.with_aborts(facts, config.evaluation), "facts")
     report = materialise(evaluation.report(facts, config.evaluation), "report")
     sinks.json_lines(report, f"{out}/evaluation")
-    gates.evaluation(config).require(facts)
+    sinks.metrics_then_check(facts, f"{out}/evaluation_metrics", gates.evaluation(config))
     registry = sinks.registration(brand, config.brand(brand).model_package_group, model_id, report)
     sinks.table(registry, f"{out}/registry")
     sinks.table(sinks.baseline(report, brand, model_id, now.isoformat()), f"{out}/baselines", ("brand", "model"))

@@ -63,6 +63,33 @@ def test_curation_run(spark, tmp_path):
         curation.run(inv, payloads, rates, c, "wc", now, str(tmp_path), curation.hash_embedder(16), "m1")
 
 
+def test_curation_evaluates_all_rows(spark, tmp_path):
+    """Every cleaned row is scored, with its probability and time; a missing file or a slow model fails the run."""
+    rng = np.random.default_rng(1)
+    now = datetime(2026, 1, 1)
+    inv = spark.createDataFrame([(str(i), f"wc_{'done' if i % 2 else 'not_done'}_0.{i:02d}.jpg", now) for i in range(80)], "id string, key string, last_modified timestamp")
+    payloads = spark.createDataFrame([(str(i), bytes([i % 2])) for i in range(80)], "id string, payload binary")
+    rates = spark.createDataFrame([(0.1, 0.1)], "observed double, baseline double")
+    table = spark.createDataFrame([(str(i), (rng.normal(size=4) * 0.1 + (3 if i % 2 else -3)).tolist()) for i in range(80)], "id string, embedding array<float>")
+    embed = lambda df: df.join(table, "id").withColumn("embedding_backend", F.lit("efficientnet"))
+
+    def run(name, files, **settings):
+        c = Config((Brand("wc", "wc_*", "group"),), dict(recency_months=6, min_per_class=2, target_min=4, target_max=100), Quality(0.05, 0.5, 1.0, 4), Evaluation(**settings))
+        return curation.run(inv, files, rates, c, "wc", now, str(tmp_path / name), embed, "m1", trees=5, depth=3)
+
+    done = run("whole", payloads, least_samples=60, least_per_class=30)
+    m, cleaned = done.report.first().metrics, done.flagged.where("NOT flagged").count()
+    assert m.sample_count == cleaned >= 60 and m.confidence_summary["count"] == cleaned and 0.5 <= m.confidence_summary["min"] <= m.confidence_summary["max"] <= 1
+    facts = spark.read.json(str(tmp_path / "whole" / "evaluation_metrics")).first()
+    assert facts.missing_images == 0 and 0 < facts.latency_ms < 1000
+    with pytest.raises(GateFailed, match="missing_images <= 0"):
+        run("missing", payloads.withColumn("payload", F.when(F.col("id") != "7", F.col("payload"))).where("id <> '9'"), least_samples=1, least_per_class=1)
+    facts = spark.read.json(str(tmp_path / "missing" / "evaluation_metrics")).first()
+    assert facts.missing_images == 2 and "missing images" in facts.abort_reason and facts.accuracy == 0.0
+    with pytest.raises(GateFailed, match="latency_ms <="):
+        run("slow", payloads, least_samples=1, least_per_class=1, latency_ms=1e-6)
+
+
 def test_streams(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
