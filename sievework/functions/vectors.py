@@ -23,8 +23,9 @@ def norm(v: Column) -> Column:
 
 
 def normalised(v: Column) -> Column:
-    n = F.greatest(norm(v), F.lit(1.1920928955078125e-07))
-    return F.transform(v, lambda x: x.cast("double") / n)
+    """``v`` over its norm. Both are bound as a lambda's variable, or each element would work out the whole vector and its norm again."""
+    bound = F.transform(F.array(v), lambda w: F.struct(w.alias("w"), F.greatest(norm(w), F.lit(1.1920928955078125e-07)).alias("n")))
+    return F.get(F.transform(bound, lambda b: F.transform(b["w"], lambda x: x.cast("double") / b["n"])), F.lit(0))
 
 
 def hash_embedding(payload: Column, width: int = 1280) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..config import Drift, Evaluation, Selection
 from ..functions import names
 from ..functions.vectors import argmax, hash_words
+from ..functions.vectors import hash_embedding as embedding_of
 from ..operators import dedup, drift, evaluation, events, folds, gates, label_quality, reconcile, selection
 
 NOW = datetime(2000, 1, 1)
@@ -100,7 +101,7 @@ def stratified_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kfold_oos_rf(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "label", "embedding")
-    out = folds.out_of_sample(rows, folds=3, trees=10, depth=4)
+    out = folds.out_of_sample(rows, folds=5, trees=100, depth=8)
     return out.select("id", "label", "fold", F.round(F.array_max("pred_probs"), 6).alias("confidence"), argmax(F.col("pred_probs")).alias("predicted"))
 
 
@@ -123,10 +124,15 @@ def exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hash_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 16 words before they are normalised, which SQL can tell; ``hash_embedding_full`` has the whole vectors."""
     d = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(hash_words(F.col("text").cast("binary"), 16)).alias("position", "value"))
     return d.select("doc_id", "position", F.round("value", 9).alias("value"))
 
 
+def hash_embedding_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", embedding_of(F.col("text").cast("binary"), 1280).alias("embedding"))
+
+
 def cosine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = dedup.cosine_pairs(table(spark, sf_dir, "embeddings"), 0.4, "vec_id")
     return pairs.select("a", "b", F.round("cosine", 4).alias("cosine"))
@@ -220,7 +226,7 @@ def drift_alarms_300s(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = (
     select_curated, selection_metrics, select_lenient, brand_first_match, upload_coalesce_window, upload_normalise, in_flight_suppression, training_request_batches, train_val_split, stratified_folds, kfold_oos_rf,
-    checksum_reconcile, exact_duplicates, hash_embedding, cosine_pairs, cosine_dedup_keep_first, confidence_floor, confident_joint, prune_by_noise_rate, label_quality_report, label_quality_metrics,
+    checksum_reconcile, exact_duplicates, hash_embedding, hash_embedding_full, cosine_pairs, cosine_dedup_keep_first, confidence_floor, confident_joint, prune_by_noise_rate, label_quality_report, label_quality_metrics,
     evaluation_metrics, evaluation_report, gate_evaluation, approval_event_fields, drift_level, drift_level_monitor, drift_alarms_300s,
 )
 

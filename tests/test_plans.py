@@ -47,6 +47,25 @@ def test_queries_equal_sql(spark, name):
     assert got[1]
 
 
+def test_full_size_queries(spark, monkeypatch):
+    """Queries without SQL run at the operators' whole size."""
+    import hashlib
+    import inspect
+
+    asked = {}
+    whole = registry.folds.out_of_sample
+    monkeypatch.setattr(registry.folds, "out_of_sample", lambda rows, **k: asked.update(k) or whole(rows, folds=2, trees=2, depth=2))
+    registry.queries()["kfold_oos_rf"](spark, SF)
+    assert asked == {n: inspect.signature(whole).parameters[n].default for n in ("folds", "trees", "depth")}
+    texts = {r.doc_id: r.text for r in registry.table(spark, SF, "documents").collect()}
+    got = {r.doc_id: r.embedding for r in registry.queries()["hash_embedding_full"](spark, SF).collect()}
+    assert set(got) == set(texts)
+    for i, text in texts.items():
+        words = b"".join(hashlib.sha256(c.to_bytes(4, "big") + text.encode()).digest() for c in range(160))
+        v = np.frombuffer(words, dtype=">u4").astype(float) / (2**32 - 1) * 2 - 1
+        assert np.abs(np.array(got[i]) - v / np.linalg.norm(v)).max() < 1e-9
+
+
 def test_curation_run(spark, tmp_path):
     rng = np.random.default_rng(1)
     now = datetime(2026, 1, 1)
