@@ -35,9 +35,13 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest doc_id stays."""
-    groups = jaccard.components(docs)
-    return docs.join(groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id"), "doc_id", "left_semi")
+    """Of each group of near duplicates the document with the smallest doc_id stays. Documents with a null doc_id go where their group has
+    one with a doc_id, and all stay where it has none."""
+    nameless = bool(docs.where("doc_id is null").take(1))
+    carried = F.when(F.col("doc_id").isNull(), F.struct("*")).alias("_nameless")
+    groups = jaccard.components(docs.select("doc_id", "text", carried), carry=("_nameless",)) if nameless else jaccard.components(docs)
+    kept = docs.join(groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id"), "doc_id", "left_semi")
+    return kept.unionByName(groups.where("doc_id is null and component_id is null").select("_nameless.*")) if nameless else kept
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -87,15 +87,15 @@ def class_of(tokens: np.ndarray) -> int:
         return int(mix64(np.array([total * np.uint64(_base) + np.uint64(len(tokens))], dtype=np.uint64))[0] >> np.uint64(1))
 
 
-def _classes(df: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+def _classes(df: DataFrame, id_col: str, text_col: str, words: int, carry: tuple[str, ...] = ()) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in slices_by_bytes(batch.column(1)):
                 rows = batch.slice(a, b - a)
                 sets = shingle_sets(list(text_views(rows.column(1))), words)
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([class_of(s) if len(s) else None for s in sets], pa.int64())], names=[id_col, "n_shingles", "class"])
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([class_of(s) if len(s) else None for s in sets], pa.int64()), *rows.columns[2:]], names=[id_col, "n_shingles", "class", *carry])
 
-    return df.select(id_col, text_col).mapInArrow(run, T.StructType([df.schema[id_col], T.StructField("n_shingles", T.LongType()), T.StructField("class", T.LongType())]))
+    return df.select(id_col, text_col, *carry).mapInArrow(run, T.StructType([df.schema[id_col], T.StructField("n_shingles", T.LongType()), T.StructField("class", T.LongType()), *(df.schema[c] for c in carry)]))
 
 
 def _packed(keys: np.ndarray, columns: list[np.ndarray], bits: int) -> pa.RecordBatch:
@@ -341,17 +341,18 @@ def _settle(df: DataFrame, text_col: str, words: int, pairs: DataFrame, t_num: i
     return materialise(rows.applyInArrow(check, "a long, b long"), "links")
 
 
-def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, t_num: int = 3, t_den: int = 4) -> DataFrame:
-    """(id, n_shingles, component_id) of every row; two documents link when their sets' Jaccard similarity is at least t_num / t_den.
+def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, t_num: int = 3, t_den: int = 4, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, n_shingles, component_id, and the columns ``carry``) of every row; two documents link when their sets' Jaccard similarity is at least t_num / t_den.
 
     component_id: the smallest id that links reach, the own one included. Null or empty texts have no shingle and stay alone;
-    rows of equal sets share a class and need no pairs. Ids must be integers. Links come as a spanning set: every two texts that link
+    rows of equal sets share a class and need no pairs. Ids must be integers; a row without one has a null component_id unless links reach a row
+    with one. Links come as a spanning set: every two texts that link
     are in one component."""
-    rows = materialise(_classes(df, id_col, text_col, words), "classes")
+    rows = materialise(_classes(df, id_col, text_col, words, carry), "classes")
     nodes = rows.where("class is not null").groupBy("class").agg(F.min(id_col).alias("least"))
     total = rows.agg(F.sum("n_shingles")).first()[0] or 0
     if not total:
-        return rows.select(id_col, "n_shingles", F.col(id_col).cast("long").alias("component_id"))
+        return rows.select(id_col, "n_shingles", F.col(id_col).cast("long").alias("component_id"), *carry)
     found = _candidates(df, text_col, words, _count_table(df, text_col, words, total), total, t_num, t_den)
     pairs = materialise(found.where("b is not null").select("a", "b").distinct(), "pairs")
     links = _settle(df, text_col, words, pairs, t_num, t_den) if pairs.take(1) else pairs
@@ -372,4 +373,4 @@ def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     least = nodes.join(joined.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     roots = least.groupBy("component").agg(F.min("least").alias("root"))
     by_class = least.join(roots, "component").select("class", "root")
-    return rows.join(by_class, "class", "left").select(id_col, "n_shingles", F.coalesce("root", F.col(id_col)).cast("long").alias("component_id"))
+    return rows.join(by_class, "class", "left").select(id_col, "n_shingles", F.coalesce("root", F.col(id_col)).cast("long").alias("component_id"), *carry)

@@ -46,6 +46,25 @@ def test_planted_cases(spark, tmp_path):
     assert corpus_pipeline.run(spark, sf).count() == spark.read.parquet(f"{sf}/packed").count()
 
 
+def test_null_ids(spark, tmp_path):
+    """Documents with a null doc_id stay to the end unless a near duplicate with a doc_id stays."""
+    rng = random.Random(3)
+    docs = [(i, plain(rng, 120), "en", "s") for i in range(160)]
+    pair = plain(rng, 120)
+    nulls = [plain(rng, 120), docs[3][1], pair, pair.replace(pair.split()[50], "changed", 1)]
+    rows = docs + [(None, t, "en", "s") for t in nulls]
+    d = spark.createDataFrame([(*r, len(r[1])) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_duplicates(spark, d, "")
+    assert got.columns == d.columns and sorted(r.text for r in got.where("doc_id is null").collect()) == sorted([nulls[0], *nulls[2:]])
+    assert {r.doc_id for r in got.where("doc_id is not null").collect()} == set(range(160))
+    few = corpus_pipeline.near_duplicates(spark, spark.createDataFrame([(None, "a")], "doc_id long, text string"), "").collect()
+    assert [r.text for r in few] == ["a"]
+    d.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, 1, 0) for i in range(160)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.where("doc_id is null and piece = 0").count() == 3
+
+
 def test_empty_input(spark, tmp_path):
     d = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     d.write.parquet(str(tmp_path / "documents.parquet"))
