@@ -1,10 +1,11 @@
 """Byte-level BPE encoding and decoding without regular expressions.
 
 Text is turned into code points, code points into classes by one table lookup, and piece starts are found with array
-operations. Inside a run, each position's transition is either "keep the run's state" or "set it"; such transitions compose
-associatively, so one ``maximum.accumulate`` scan gives every position the start of its run. Pieces then go through a bounded
-cache in front of rank-ordered pair merging. Every token keeps the byte offset of its end, which decoding uses to scatter the
-vocabulary's bytes to their places.
+operations: a run starts where a code point's class differs from its neighbour's or a text starts. This takes the place of a scan that
+composes the positions' transition functions: the pattern's state never reaches further back than one neighbour, apart from an
+apostrophe's ending, which is looked up at the few places that have one. Pieces then go through a bounded cache in front of
+rank-ordered pair merging. Every token keeps the byte offset of its end, which decoding uses to scatter the vocabulary's bytes to
+their places.
 """
 
 from __future__ import annotations
@@ -79,7 +80,7 @@ def piece_starts(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
     quotes = np.flatnonzero((points == 0x27) & ((before != OTHER) | first))
     quotes = quotes[(quotes == 0) | first[quotes] | (points[quotes - 1] != 0x20)]
     if len(quotes):
-        # the scan: the start of the text that holds each quote, and hence the place where the next one begins
+        # where the text after the one that holds each quote begins, by binary search
         bounds = np.append(starts[1:], n)
         limit = bounds[np.searchsorted(starts, quotes, side="right") - 1]
         open_ = np.ones(len(quotes), dtype=bool)
