@@ -1,10 +1,13 @@
 """Embedding near-duplicates by NN-descent.
 
-Vectors with equal components become one class. Classes go to cells of several cross-polytope tables, within their label. In each
-cell a neighbour graph starts at random and is refined by joining neighbours of neighbours, forward and reverse, until nothing
-changes. Where a list is full of links it may lack some, so lists are enlarged; then a sample of rows is compared with all others,
-and where a link is missing, lists are enlarged again, at last to the whole cell. Edges at the threshold are kept, and a link counts
-once however many tables find it. Cells above a bounded size are cut into blocks, each pair of which is a task.
+Vectors with equal components become one class. Classes go to cells of several cross-polytope tables, within their label. A cell of
+at most 4 ``LIST`` rows is compared in full: its pairs are fewer than a descent would look at. In a larger cell a neighbour graph starts
+at random and is refined by joining neighbours of neighbours, forward and reverse, until nothing changes; a sample of rows is then
+compared with all others of the cell. Where a list is full of links, or the sample shows a missing one, lists are doubled as long as a
+join of them looks at fewer rows than the cell has, and else the cell is compared in full. With lists of 16 that is at once for any cell
+of at most 4,096 rows, so lists are doubled only where two blocks meet in one task. The sample doesn't look outside the cell: a link whose
+two rows share no bucket in any table is not found. Edges at the threshold are kept, and a link counts once however many tables find it.
+Cells above a bounded size are cut into blocks, each pair of which is a task.
 """
 
 from __future__ import annotations
