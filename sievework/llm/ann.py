@@ -2,7 +2,8 @@
 
 Every row goes to one bucket of each table; a query looks into the buckets of the axes nearest to it. Large buckets are split into
 blocks of bounded size by a hash of the id, and their queries go to every block, so that a bucket that holds a third of all rows is
-as many tasks as it has blocks. A block gives each query its best rows only, so what is merged grows with the queries.
+as many tasks as it has blocks. A block gives each query its best rows only, so what is merged grows with the queries. Queries that
+found fewer rows than asked for, as in tables of a few rows, are compared with all rows of their width.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import crosspolytope
-from .common import vectors_of
+from .common import materialise, vectors_of
 
 TABLES, PROBES, BLOCK = 4, 28, 4_096
 
@@ -57,22 +58,25 @@ def best_of_block(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.n
 
 def search(df: DataFrame, is_query: Column, k: int = 5, tables: int = TABLES, probe_count: int = PROBES, depth: int = 1, block: int = BLOCK, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(query_id, rank from 1, vec_id, score): for each row that ``is_query`` holds for, the k rows of greatest cosine found, never its
-    own id; nearest first, ties to the smaller id; all found, if fewer.
+    own id; nearest first, ties to the smaller id; all rows of its width, if fewer.
 
     Vectors that are null, zero, empty or hold null or non-finite components take no part, neither as queries nor as rows; vectors of
     different widths don't meet. Repeated rows of one id count once."""
     kind = "tab int, bucket long, id long, vec binary"
 
-    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, vectors = vectors_of(batch.column(1))
-            ids = batch.column(0).cast(pa.int64()).to_numpy(zero_copy_only=False)
-            for at, unit in by_width(vectors):
-                own = ids[rows[at]]
-                blobs = pa.array([vectors[i].tobytes() for i in at], pa.binary())
-                for t in range(tables):
-                    code = crosspolytope.codes(unit, t, depth)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), t), pa.int32()), pa.array(code, pa.int64()), pa.array(own), blobs], names=["tab", "bucket", "id", "vec"])
+    def index(n: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                rows, vectors = vectors_of(batch.column(1))
+                ids = batch.column(0).cast(pa.int64()).to_numpy(zero_copy_only=False)
+                for at, unit in by_width(vectors):
+                    own = ids[rows[at]]
+                    blobs = pa.array([vectors[i].tobytes() for i in at], pa.binary())
+                    for t in range(n):
+                        code = crosspolytope.codes(unit, t, depth)
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), t), pa.int32()), pa.array(code, pa.int64()), pa.array(own), blobs], names=["tab", "bucket", "id", "vec"])
+
+        return run
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -88,7 +92,7 @@ def search(df: DataFrame, is_query: Column, k: int = 5, tables: int = TABLES, pr
 
     where = ["tab", "bucket", "width"]
     with_width = lambda rows: rows.withColumn("width", F.octet_length("vec"))
-    rows = with_width(df.select(id_col, vec_col).mapInArrow(index, kind))
+    rows = with_width(df.select(id_col, vec_col).mapInArrow(index(tables), kind))
     queries = with_width(df.where(is_query).select(id_col, vec_col).mapInArrow(probe, kind))
     split = rows.groupBy(*where).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))  # one row for each bucket
     left = rows.join(split, where).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).drop("blocks")
@@ -100,8 +104,21 @@ def search(df: DataFrame, is_query: Column, k: int = 5, tables: int = TABLES, pr
         q, v, s = best_of_block(own.column("id").to_numpy(), unpack(own.column("vec").to_pylist()), asked.column("id").to_numpy(), unpack(asked.column("vec").to_pylist()), k)
         return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(v, pa.int64()), "score": pa.array(s, pa.float64())})
 
-    keys = [*where, "block"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(rerank, "query_id long, vec_id long, score double")
-    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    def found_in(rows: DataFrame, queries: DataFrame, keys: list[str]) -> DataFrame:
+        return rows.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(rerank, "query_id long, vec_id long, score double")
+
+    def ranked(found: DataFrame) -> DataFrame:
+        found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    near = materialise(ranked(found_in(left, right, [*where, "block"])), "nearest")
+    asked = with_width(df.where(is_query).select(id_col, vec_col).mapInArrow(index(1), kind))
+    short = asked.join(near.where(F.col("rank") == k).select(F.col("query_id").alias("id")), "id", "left_anti").select("id", "vec", "width")
+    if not short.take(1):
+        return near
+    every = with_width(df.select(id_col, vec_col).mapInArrow(index(1), kind)).select("id", "vec", "width")
+    split = every.groupBy("width").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    left = every.join(split, "width").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).drop("blocks")
+    right = short.join(split, "width").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    return ranked(near.select("query_id", "vec_id", "score").unionByName(found_in(left, right, ["width", "block"])))

@@ -54,6 +54,16 @@ def test_search(spark, rows, table):
     assert ann.search(table.limit(0), F.col("vec_id") % 10 == 0).count() == 0
 
 
+def test_search_of_few_rows(spark):
+    """Every query gets all rows there are, where those are few."""
+    x = np.random.default_rng(8).normal(size=(7, 64))
+    for n in (1, 2, 4, 7):
+        got = ann.search(spark.createDataFrame([(i, x[i].tolist()) for i in range(n)], "vec_id long, embedding array<double>"), F.lit(True), block=3).collect()
+        for q in range(n):
+            best = sorted((-ann.cosines(x[q], x[i][None])[0], i) for i in range(n) if i != q)[:5]
+            assert [r.vec_id for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] == [i for _, i in best]
+
+
 def test_near_duplicates(spark, rows, table):
     x, label = usable(rows), {i: g for i, _, g in rows}
     links = {i: {j for j in x if j != i and label[i] is not None and label[i] == label[j] and ann.cosines(x[i], x[j][None])[0] >= 0.98} if i in x else set() for i, _, _ in rows}
