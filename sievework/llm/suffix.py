@@ -36,6 +36,23 @@ _codes = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x2545F4914F6CDD1D
 PLACE_BITS = np.uint64(26)
 
 
+def _least(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Place of the least hash, the first of equal ones, in each window of ``width`` hashes. Places are packed into the hashes' low bits, so
+    long arrays are taken in stretches that overlap by width - 1."""
+    mask = np.uint64((1 << int(PLACE_BITS)) - 1)
+    stride = int(mask) + 2 - width
+    out = []
+    for a in range(0, len(hashes) - width + 1, stride):
+        part = hashes[a : a + stride + width - 1]
+        key, done = part >> PLACE_BITS << PLACE_BITS | np.arange(len(part), dtype=np.uint64), 1
+        while done < width:  # sliding minimum by doubling
+            step = min(done, width - done)
+            key = np.minimum(key[:-step], key[step:])
+            done += step
+        out.append((key & mask).astype(np.int64) + a)
+    return np.concatenate(out)
+
+
 def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Runs of strings with one anchor: (anchor's hash, text, first start, last start, all bytes); starts count in the joined texts."""
     raw = np.frombuffer(b"".join(texts), dtype=np.uint8)
@@ -52,14 +69,7 @@ def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple
         powers[1:] = _inverse
         hashes = mix64((running[gram:] - running[:-gram]) * np.cumprod(powers)[: n - gram + 1])
     del running, powers
-    place = np.arange(len(hashes), dtype=np.uint64)
-    key = hashes >> PLACE_BITS << PLACE_BITS | place
-    width, done = length - gram + 1, 1
-    while done < width:  # sliding minimum by doubling
-        step = min(done, width - done)
-        key = np.minimum(key[:-step], key[step:])
-        done += step
-    at = (key & np.uint64((1 << int(PLACE_BITS)) - 1)).astype(np.int64)  # one for each start 0 .. n - length
+    at = _least(hashes, length - gram + 1)  # one for each start 0 .. n - length
     ends = np.cumsum(size)
     doc = np.repeat(np.arange(len(texts)), size)[: len(at)]
     valid = np.arange(len(at)) + length <= ends[doc]

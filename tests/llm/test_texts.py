@@ -310,3 +310,15 @@ def test_license(spark, odd, none):
 def test_license_is_native(spark, odd):
     plan = license.scan(odd)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_anchors_of_long_texts(monkeypatch):
+    """A text with more places than fit beside the hash has the anchors that it has with room for all of them."""
+    rng = random.Random(6)
+    text = bytes(rng.randrange(256) for _ in range(3000)) * 3
+    whole = suffix.anchors([text, text[:500]])
+    monkeypatch.setattr(suffix, "PLACE_BITS", suffix.np.uint64(11))
+    assert all((a == b).all() for a, b in zip(whole, suffix.anchors([text, text[:500]])))
+    h = suffix.np.random.default_rng(2).integers(0, 2**63, 5000).astype("uint64")
+    least = [i + int((h[i : i + 69] >> suffix.PLACE_BITS).argmin()) for i in range(len(h) - 68)]
+    assert suffix._least(h, 69).tolist() == least
