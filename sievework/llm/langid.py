@@ -24,10 +24,13 @@ from .sampling import bounded_rows
 
 #: Documents of each language that the model is fitted on, at most about.
 SAMPLE_DOCS = 400
-LANGUAGES = 200
 ROUNDS = 4
-LONGEST = 12
+#: Characters of a piece, the word mark included; a vocabulary with longer ones is refused.
+LONGEST = 16
+#: Runs of letters are scored in parts of so many characters; no segmentation crosses from one part to the next.
 WORD_CHARS = 40
+#: Words scored at once, times languages.
+SCORED_AT_ONCE = 4_000_000
 CACHE_ENTRIES = 300_000
 SLOT_BITS = 20
 _letters = re.compile(r"[^\W\d_]+")
@@ -49,7 +52,10 @@ def vocabulary(path: str) -> list[str]:
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = {model.id_to_piece(i).lower() for i in range(model.get_piece_size())}
-    return sorted(p for p in pieces if len(p) <= LONGEST and re.fullmatch("▁?[^\\W\\d_]*", p) and p)
+    found = sorted(p for p in pieces if re.fullmatch("▁?[^\\W\\d_]*", p) and p)
+    if max(map(len, found), default=0) > LONGEST:
+        raise ValueError(f"a piece of {path} has more than {LONGEST} characters")
+    return found
 
 
 @dataclass
@@ -179,9 +185,9 @@ class Model:
 
 
 def fit(df: DataFrame, path: str, lang_col: str = "lang", key: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> Model:
-    """Fit on about ``sample_docs`` labelled rows of each of at most ``LANGUAGES`` languages. Rows without text or label don't count;
+    """Fit on about ``sample_docs`` labelled rows of each language. Rows without text or label don't count;
     without any labelled row the model knows no language."""
-    rows = bounded_rows(df.where(F.col(text_col).isNotNull()), lang_col, key, sample_docs, LANGUAGES)
+    rows = bounded_rows(df.where(F.col(text_col).isNotNull()), lang_col, key, sample_docs, None)
     counts: dict[str, Counter] = {}
     for r in rows.select(lang_col, F.split(F.col(text_col), r"\s+").alias("w")).select(lang_col, F.explode("w").alias("w")).groupBy(lang_col, "w").count().toLocalIterator():
         own = counts.setdefault(r[0], Counter())
@@ -211,8 +217,9 @@ class Scorer:
         value = np.zeros((len(chunks), len(self.model.languages)))
         flat = [x for w in words for x in w]
         owner = np.repeat(np.arange(len(chunks)), each)
-        for i in range(0, len(flat), 50_000):
-            part = flat[i : i + 50_000]
+        at_once = max(1, min(50_000, SCORED_AT_ONCE // max(1, value.shape[1])))
+        for i in range(0, len(flat), at_once):
+            part = flat[i : i + at_once]
             scores = forward(self.pieces.lattice(part), self.model.logs, self.model.unknown)
             for c in range(value.shape[1]):
                 value[:, c] += np.bincount(owner[i : i + len(part)], weights=scores[:, c], minlength=len(chunks))

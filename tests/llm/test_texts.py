@@ -322,3 +322,16 @@ def test_anchors_of_long_texts(monkeypatch):
     h = suffix.np.random.default_rng(2).integers(0, 2**63, 5000).astype("uint64")
     least = [i + int((h[i : i + 69] >> suffix.PLACE_BITS).argmin()) for i in range(len(h) - 68)]
     assert suffix._least(h, 69).tolist() == least
+
+
+def test_language_bounds(spark):
+    """Every language is learned, however many there are, and every letter piece of the vocabulary is known."""
+    import sentencepiece
+
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    docs = spark.createDataFrame([(i, f"l{i:03d}", " ".join([letters[i % 26] * 3 + letters[i // 26] * 3] * 3)) for i in range(230)], "doc_id long, lang string, text string")
+    model = langid.fit(docs, PIECES)
+    assert model.languages == [f"l{i:03d}" for i in range(230)]
+    assert sum(r.lang == r.lang_pred for r in langid.predict(docs, model).join(docs, "doc_id").collect()) >= 225
+    known = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    assert {p for p in (known.id_to_piece(i).lower() for i in range(known.get_piece_size())) if re.fullmatch("▁?[^\\W\\d_]+", p)} <= set(model.pieces)
