@@ -60,8 +60,9 @@ def search(df: DataFrame, is_query: Column, k: int = 5, tables: int = TABLES, pr
     """(query_id, rank from 1, vec_id, score): for each row that ``is_query`` holds for, the k rows of greatest cosine found, never its
     own id; nearest first, ties to the smaller id; all rows of its width, if fewer.
 
-    Vectors that are null, zero, empty or hold null or non-finite components take no part, neither as queries nor as rows; vectors of
-    different widths don't meet. Repeated rows of one id count once."""
+    Vectors that are null, zero, empty or hold null or non-finite components, and rows without an id, take no part, neither as queries nor
+    as rows; vectors of different widths don't meet. Repeated rows of one id count once."""
+    df = df.where(F.col(id_col).isNotNull())
     kind = "tab int, bucket long, id long, vec binary"
 
     def index(n: int):

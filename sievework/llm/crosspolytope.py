@@ -39,6 +39,21 @@ def codes(x: np.ndarray, table: int, depth: int = 1) -> np.ndarray:
     return out
 
 
+def coarse_codes(x: np.ndarray, table: int, cells: int) -> np.ndarray:
+    """A code below ``cells``, a power of two: nearest signed axes of as many rotations as needed, the last among the first axes only."""
+    out = np.zeros(len(x), dtype=np.int64)
+    k = 0
+    while cells > 1:
+        y = rotated(x, 1_000 + table * 8 + k)
+        axes = min(y.shape[1], cells // 2)
+        y = y[:, :axes]
+        axis = np.abs(y).argmax(axis=1)
+        out = out * (2 * axes) + axis + axes * (y[np.arange(len(y)), axis] < 0)
+        cells //= 2 * axes
+        k += 1
+    return out
+
+
 def probes(x: np.ndarray, table: int, count: int, depth: int = 1) -> np.ndarray:
     """The ``count`` codes of each row that lose least against the nearest axes, best first."""
     best, loss = np.zeros((len(x), 1), dtype=np.int64), np.zeros((len(x), 1))

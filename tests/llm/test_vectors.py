@@ -76,18 +76,72 @@ def test_near_duplicates(spark, rows, table):
                 if j not in component:
                     component[j] = i
                     todo += links[j]
-    for cell in (4096, 24):
-        got = {r.vec_id: r for r in nndescent.near_duplicates(table, cell=cell).collect()}
+    for most in (16 << 20, 40 * 128):  # one cell a label; several cells in all tables, some of them cut into blocks
+        got = {r.vec_id: r for r in nndescent.near_duplicates(table, cell_bytes=most).collect()}
         assert len(got) == len(rows)
         assert {i: r.n_links for i, r in got.items()} == {i: len(v) for i, v in links.items()}
         assert {i: r.component_id for i, r in got.items()} == component and all(r.kept == (i == r.component_id) for i, r in got.items())
+    got = nndescent.near_duplicates(table)
+    true = sum(len(v) for i, v in links.items() if i % 5 == 0)
+    assert nndescent.recall(table, got, 5) == (true, true)
     assert nndescent.near_duplicates(table.limit(0)).count() == 0
 
 
-def test_lists_are_enlarged():
-    rng = np.random.default_rng(1)
-    x = np.concatenate([rng.normal(size=(300, 24)), rng.normal(size=(1, 24)) + rng.normal(size=(90, 24)) * 0.01])
-    a, b = nndescent.links_of_cell(x, 0.98, k=8)
+def test_null_vector_ids(spark):
+    kind = "vec_id long, embedding array<double>, label int"
+    rows = [(0, [1.0, 0.0], 1), (None, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (2**60 + 1, [0.0, 1.0], 1)]
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in nndescent.near_duplicates(spark.createDataFrame(rows, kind)).collect()}
+    assert got == {0: (1, 0, True), None: (0, None, True), 2: (1, 0, False), 2**60 + 1: (0, 2**60 + 1, True)}
+    found = ann.search(spark.createDataFrame(rows, kind), F.col("vec_id") % 2 == 0).collect()
+    assert sorted((r.query_id, r.rank, r.vec_id) for r in found) == [(0, 1, 2), (0, 2, 2**60 + 1), (2, 1, 0), (2, 2, 2**60 + 1)]
+
+
+def brute(x, threshold=0.98):
     u = x / np.linalg.norm(x, axis=1, keepdims=True)
-    i, j = np.nonzero(np.triu(u @ u.T >= 0.98, 1))
-    assert set(zip(a.tolist(), b.tolist())) == set(zip(i.tolist(), j.tolist()))
+    hit = u @ u.T >= threshold
+    np.fill_diagonal(hit, False)
+    return hit
+
+
+def groups(rng, n, sizes, width=24, noise=0.01):
+    x = [rng.normal(size=(n, width))]
+    for size in sizes:
+        x.append(rng.normal(size=(1, width)) + rng.normal(size=(size, width)) * noise)
+    return np.concatenate(x)[rng.permutation(n + sum(sizes))]
+
+
+@pytest.mark.parametrize("orders", [0, nndescent.ORDERS])
+def test_descent_finds_links(orders):
+    """From lists of random rows too, every link is found, with lists that double and rows that are compared with all."""
+    rng = np.random.default_rng(1)
+    x = groups(rng, 900, [2] * 20 + [5] * 10 + [30, 50, 150])
+    hit = brute(x)
+    weight = rng.integers(1, 4, size=len(x))
+    degree, root = nndescent.links_of_cell(x, 0.98, weight, orders=orders)
+    assert (degree == hit @ weight).all()
+    assert all(root[i] == min([i, *np.flatnonzero(hit[i])]) for i in range(len(x)))
+
+
+def test_descent_is_what_finds_them(monkeypatch):
+    """Without rounds the first lists miss links, and an audit that sees nothing lets them pass: the joins find what the lists lack."""
+    rng = np.random.default_rng(2)
+    x = groups(rng, 1500, [3] * 60)
+    unit = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    want = int(brute(x).sum())
+    start = nndescent.first_lists(unit, 16, np.random.default_rng(0), 1)
+    found = [int((nndescent.refine(unit, start, 16, 0.98, np.random.default_rng(0), rounds=n)[1] >= 0.98).sum()) for n in (0, 40)]
+    assert found[0] < 0.9 * want and found[1] >= 0.99 * want
+    assert nndescent.links_of_cell(x, 0.98)[0].sum() == want
+    compared = []
+    monkeypatch.setattr(nndescent.Links, "linked", lambda self, rows: compared.append(len(rows)) or np.zeros((len(rows), len(self.unit)), dtype=bool))
+    assert nndescent.links_of_cell(x, 0.98)[0].sum() >= 0.99 * want and sum(compared) <= 2 * nndescent.AUDIT
+
+
+def test_links_of_blocks_and_tables():
+    rng = np.random.default_rng(3)
+    x = groups(rng, 200, [4] * 10 + [120])
+    hit, side, codes = brute(x), rng.integers(0, 2, size=len(x)), rng.integers(0, 3, size=(len(x), 2))
+    other = side[:, None] != side[None]
+    unseen = ~(codes[:, None] == codes[None]).any(axis=2)
+    degree, root = nndescent.links_of_cell(x, 0.98, side=side, codes=codes)
+    assert (degree == (hit & other & unseen).sum(axis=1)).all() and len(np.unique(root)) == len(np.unique(nndescent.links_of_cell(x, 0.98)[1]))
