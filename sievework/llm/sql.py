@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import license
+from . import license, suffix
 
 
 def _license() -> str:
@@ -26,5 +26,50 @@ SELECT words.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0)
 FROM words LEFT JOIN base USING (doc_id) LEFT JOIN own USING (doc_id)"""
 
 
+#: Smallest node that links reach, by rounds that pass it on; ``links`` has both directions, ``nodes`` every node.
+REACHED = """walk AS (SELECT id, id AS root FROM nodes UNION SELECT links.b AS id, walk.root FROM walk JOIN links ON links.a = walk.id WHERE walk.root < links.b),
+least AS (SELECT id, min(root) AS component_id FROM walk GROUP BY id)"""
+
+
+def _jaccard() -> str:
+    """Shingles as lists of words; two documents meet by every shingle that both have."""
+    return f"""
+WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{license.UPPER}', '{license.LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS MATERIALIZED (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words),
+shingles AS MATERIALIZED (SELECT doc_id, len(s) AS n, hash(unnest(s)) AS h FROM sets),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, any_value(x.n) AS na, any_value(y.n) AS nb, count(*) AS o FROM shingles x JOIN shingles y ON x.h = y.h AND x.doc_id <> y.doc_id AND x.n * 4 >= y.n * 3 AND y.n * 4 >= x.n * 3 GROUP BY 1, 2),
+links AS MATERIALIZED (SELECT a, b FROM pairs WHERE 100 * o >= 75 * (na + nb - o)),
+nodes AS (SELECT doc_id AS id FROM documents),
+{REACHED}
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM sets JOIN least ON id = doc_id"""
+
+
+def _near_vectors() -> str:
+    return f"""
+WITH RECURSIVE v AS MATERIALIZED (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+usable AS MATERIALIZED (SELECT * FROM v WHERE x IS NOT NULL AND label IS NOT NULL AND len(list_filter(x, lambda e: e IS NULL OR NOT isfinite(e))) = 0 AND len(list_filter(x, lambda e: e <> 0)) > 0),
+links AS MATERIALIZED (SELECT p.vec_id AS a, q.vec_id AS b FROM usable p JOIN usable q ON p.label = q.label AND len(p.x) = len(q.x) AND p.vec_id <> q.vec_id
+  WHERE list_inner_product(p.x, q.x) / sqrt(list_inner_product(p.x, p.x)) / sqrt(list_inner_product(q.x, q.x)) >= 0.98),
+nodes AS (SELECT vec_id AS id FROM v),
+{REACHED}
+SELECT v.vec_id, CAST((SELECT count(*) FROM links WHERE a = v.vec_id) AS BIGINT) AS n_links, component_id, component_id = v.vec_id AS kept FROM v JOIN least ON id = v.vec_id"""
+
+
+def _repeats() -> str:
+    """Every string of 100 bytes, in hexadecimal, with the place where it starts first; ranges are merged as islands."""
+    n = suffix.LENGTH
+    return f"""
+WITH t AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+strings AS MATERIALIZED (SELECT doc_id, i, hash(substr(h, 2 * i + 1, {2 * n})) AS k FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - {n - 1})) AS i FROM t WHERE length(h) >= {2 * n})),
+gone AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS r FROM strings) WHERE r > 1),
+heads AS (SELECT doc_id, i, CASE WHEN i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + {n} OR lag(i) OVER (PARTITION BY doc_id ORDER BY i) IS NULL THEN 1 ELSE 0 END AS head FROM gone),
+islands AS (SELECT doc_id, i, sum(head) OVER (PARTITION BY doc_id ORDER BY i) AS island FROM heads),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + {n} AS b FROM islands GROUP BY doc_id, island),
+ends AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before, max(b) OVER (PARTITION BY doc_id) AS last FROM spans),
+kept AS (SELECT t.doc_id, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * any_value(last) + 1) AS h, sum(b - a) AS removed, count(*) AS spans FROM ends JOIN t USING (doc_id) GROUP BY t.doc_id)
+SELECT t.doc_id, CAST(length(t.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept.h, t.h))) AS kept_sha256
+FROM t LEFT JOIN kept USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op10_license_scan": _license()}
+    return {"op6_jaccard_join": _jaccard(), "op8_suffix_dedup": _repeats(), "op9_embedding_near_dedup": _near_vectors(), "op10_license_scan": _license()}
