@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zlib
@@ -12,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -19,7 +21,11 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     set_to = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not set_to:
-        set_to = sc.getCheckpointDir() or tempfile.mkdtemp(prefix="sievework-")
+        set_to = sc.getCheckpointDir()
+    if not set_to:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        set_to = tempfile.mkdtemp(prefix="sievework-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(set_to)
     return set_to
@@ -40,6 +46,28 @@ def is_empty(df: DataFrame) -> bool:
     return not df.take(1)
 
 
+def whole_rows(df: DataFrame, id_col: str, text_col: str, whole: bool) -> tuple[DataFrame, list[T.StructField]]:
+    """What an operator over texts sends to its workers, and the fields that come back as they went: the id beside the text, or, if
+    ``whole``, one struct ``row`` of all columns, the text among them, so that each text travels once."""
+    if not whole:
+        return df.select(id_col, text_col), [df.schema[id_col]]
+    return df.select(F.struct("*").alias("row")), [T.StructField("row", df.schema, False)]
+
+
+def sent_text(batch: pa.RecordBatch, text_col: str, whole: bool) -> pa.Array:
+    """The texts of a batch of ``whole_rows``."""
+    return batch.column(0).field(text_col) if whole else batch.column(1)
+
+
+def give_back() -> None:
+    """Return memory that a batch has freed to the system, as worker processes live longer than their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # other C libraries have no such call
+        pass
+
+
 def text_views(column: pa.Array) -> Iterator[bytes]:
     """The UTF-8 bytes of a string or binary column, one value at a time without decoding; null gives b''."""
     if isinstance(column, pa.ChunkedArray):

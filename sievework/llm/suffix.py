@@ -9,7 +9,8 @@ A byte goes if a string of ``LENGTH`` bytes that covers it also starts earlier:
    task and content. So all places of a string come together, and groups of copies come as few stretches.
 3. Each group of stretches is cut into shards of bounded size. A shard's suffix array is refined as Larsson and Sadakane do: sorted by 8
    bytes, then doubled, where only groups that are still tied are sorted again. Common prefixes of neighbours are compared in full
-   only where the neighbour isn't that of the place before moved by one; elsewhere they shrink by one, as Kasai et al. show.
+   only where the neighbour isn't that of the place before moved by one, or that one had nothing in common; elsewhere they shrink by
+   one, as Kasai et al. show.
 4. Shards are merged by binary search of each shard's distinct strings in the arrays of the shards before it.
 """
 
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, mix64, slices_by_bytes, text_views
+from .common import give_back, materialise, mix64, slices_by_bytes, text_views
 
 LENGTH = 100
 GRAM = 32
@@ -203,7 +204,9 @@ class Shard:
         value = np.zeros(len(places), dtype=np.int64)
         value[full] = self.common(places[full], prior[full])
         source = np.maximum.accumulate(np.where(moved, 0, np.arange(len(places))))
-        value = np.maximum(value[source] - (places - places[source]), 0)
+        value = value[source] - (places - places[source])
+        past = np.flatnonzero(value < 0)  # beyond the first difference nothing follows from the place before
+        value[past] = self.common(places[past], prior[past])
         at = np.zeros(len(self.raw), dtype=np.int64)
         at[places] = value
         out[1:] = at[self.order[1:]]
@@ -294,8 +297,9 @@ def _runs(doc: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray,
 def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, start, end): byte ranges that repeated strings cover; those of one document may overlap or touch."""
     spark = df.sparkSession
-    total = df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    shared = spark.sparkContext.broadcast(_repeated(df, text_col, total))  # 2^MOST_TABLE_BITS bits at most
+    rows = df.where(F.col(id_col).isNotNull() & (F.octet_length(text_col) >= LENGTH)).select(id_col, text_col)
+    total = rows.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    shared = spark.sparkContext.broadcast(_repeated(rows, text_col, total))  # 2^MOST_TABLE_BITS bits at most
     bits = max(4, int(total / (2 << 20)).bit_length())
     kind = "bucket long, docs binary, starts binary, sizes binary, texts binary, gone binary"
 
@@ -360,15 +364,16 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         gone = np.concatenate([column("gone", "<i8").reshape(-1, 3), np.stack([docs[copies], starts[copies], starts[copies] + sizes[copies]], axis=1)])
         return pa.table({id_col: pa.array(np.concatenate([doc, gone[:, 0]]), pa.int64()), "start": pa.array(np.concatenate([start, gone[:, 1]]), pa.int64()), "end": pa.array(np.concatenate([end, gone[:, 2]]), pa.int64())})
 
-    return df.where(F.octet_length(text_col) >= LENGTH).select(id_col, text_col).mapInArrow(deal, kind).groupBy("bucket").applyInArrow(settle, f"`{id_col}` long, start long, end long")
+    return rows.mapInArrow(deal, kind).groupBy("bucket").applyInArrow(settle, f"`{id_col}` long, start long, end long")
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), whole_characters: bool = False) -> DataFrame:
     """(id, n_bytes, spans, kept, and the columns ``carry``) of every row: spans array of (start, end), the maximal removed byte runs; kept binary, the rest.
+    If ``whole_characters``, a character that loses a byte goes as a whole.
 
     A null text counts as empty. Strings are judged on the input. Ids are integers; rows with the same id and text count as one
-    document, get the same result, and don't make each other repeats. A document's ranges are the only thing gathered by id, in
-    proportion to its own length."""
+    document, get the same result, and don't make each other repeats. A row with a null id loses nothing and makes nothing a repeat.
+    A document's ranges are the only thing gathered by id, in proportion to its own length."""
     ranges = materialise(repeats(df, id_col, text_col), "repeats")
     by_doc = ranges.groupBy(id_col).agg(F.collect_list("start").alias("_starts"), F.collect_list("end").alias("_ends"))
     joined = df.select(id_col, text_col, *carry).join(by_doc, id_col, "left").select(id_col, text_col, "_starts", "_ends", *carry)
@@ -382,6 +387,10 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 for text, starts, ends in zip(text_views(rows.column(1)), rows.column(2).to_pylist(), rows.column(3).to_pylist()):
                     own: list[dict] = []
                     for s, e in sorted(zip(starts or (), ends or ())):
+                        while whole_characters and s and text[s] & 0xC0 == 0x80:
+                            s -= 1
+                        while whole_characters and e < len(text) and text[e] & 0xC0 == 0x80:
+                            e += 1
                         if own and s <= own[-1]["end"]:
                             own[-1]["end"] = max(own[-1]["end"], e)
                         else:
@@ -394,6 +403,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     kept.append(b"".join([*parts, text[at:]]))
                 sizes = pa.array([len(t) for t in text_views(rows.column(1))], pa.int64())
                 yield pa.RecordBatch.from_arrays([rows.column(0), sizes, pa.array(spans, pa.list_(span)), pa.array(kept, pa.binary()), *rows.columns[4:]], names=[id_col, "n_bytes", "spans", "kept", *carry])
+            del batch
+            give_back()
 
     schema = T.StructType([df.schema[id_col], T.StructField("n_bytes", T.LongType()), T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))), T.StructField("kept", T.BinaryType()), *(df.schema[c] for c in carry)])
     return joined.mapInArrow(run, schema)
