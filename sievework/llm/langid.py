@@ -8,18 +8,18 @@ of a bounded sample of labelled rows.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Numbers, mix64, slices_by_bytes, text_views
+from .common import Numbers, give_back, mix64, sent_text, slices_by_bytes, text_views, whole_rows
 from .sampling import bounded_rows
 
 #: Documents of each language that the model is fitted on, at most about.
@@ -27,23 +27,21 @@ SAMPLE_DOCS = 400
 ROUNDS = 4
 #: Characters of a piece, the word mark included; a vocabulary with longer ones is refused.
 LONGEST = 16
-#: Runs of letters are scored in parts of so many characters; no segmentation crosses from one part to the next.
+#: Longer runs of letters are scored with a window over the last places only, and scaled on the way.
 WORD_CHARS = 40
-#: Words scored at once, times languages.
-SCORED_AT_ONCE = 4_000_000
-CACHE_ENTRIES = 300_000
+#: Letters scored at once, times languages.
+SCORED_AT_ONCE = 400_000
+#: Bytes of texts read at once.
+SLICE_BYTES = 1 << 20
+CACHE_ENTRIES = 200_000
 SLOT_BITS = 20
-_letters = re.compile(r"[^\W\d_]+")
+_letters = regex.compile(r"\p{L}+")
 _base = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(chunk: bytes) -> list[str]:
-    """The runs of letters of a piece of text, in lower case, marked as word starts; long runs in parts."""
-    found = []
-    for run in _letters.findall(chunk.decode("utf-8", "replace")):
-        run = run.lower()
-        found += [("▁" if i == 0 else "") + run[i : i + WORD_CHARS] for i in range(0, len(run), WORD_CHARS)]
-    return found
+    """The runs of letters (general category L) of a piece of text, in lower case, marked as word starts."""
+    return ["▁" + run.lower() for run in _letters.findall(chunk.decode("utf-8", "replace"))]
 
 
 def vocabulary(path: str) -> list[str]:
@@ -52,7 +50,7 @@ def vocabulary(path: str) -> list[str]:
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = {model.id_to_piece(i).lower() for i in range(model.get_piece_size())}
-    found = sorted(p for p in pieces if re.fullmatch("▁?[^\\W\\d_]*", p) and p)
+    found = sorted(p for p in pieces if regex.fullmatch("▁?\\p{L}*", p) and p)
     if max(map(len, found), default=0) > LONGEST:
         raise ValueError(f"a piece of {path} has more than {LONGEST} characters")
     return found
@@ -150,6 +148,28 @@ def forward(lat: Lattice, logs: np.ndarray, unknown: np.ndarray) -> np.ndarray:
     return np.log(np.maximum(out, 1e-300))
 
 
+def forward_long(lat: Lattice, logs: np.ndarray, unknown: np.ndarray, longest: int) -> np.ndarray:
+    """The same for words of any length: only the last ``longest`` places are kept, and values are scaled before they get too small."""
+    k = logs.shape[1]
+    value, miss = np.exp(logs), np.exp(unknown)
+    window = np.zeros((longest + 1, lat.count, k))
+    window[0] = 1.0
+    scale, out = np.zeros((lat.count, k)), np.zeros((lat.count, k))
+    for end, edges in enumerate(lat.by_end(), 1):
+        w, piece = lat.word[edges], lat.piece[edges]
+        flow = window[lat.start[edges] % (longest + 1), w] * np.where((piece >= 0)[:, None], value[np.maximum(piece, 0)], miss[None])
+        now = np.zeros((lat.count, k))
+        np.add.at(now, w, flow)
+        window[end % (longest + 1)] = now
+        low = (now < 1e-150) & (now > 0)
+        if low.any():
+            window[:, low] *= 1e150
+            scale[low] -= 150 * np.log(10)
+        done = np.flatnonzero(lat.length == end)
+        out[done] = np.log(np.maximum(window[end % (longest + 1), done], 1e-300)) + scale[done]
+    return out
+
+
 def _fit(lat: Lattice, counts: np.ndarray, size: int, rounds: int) -> tuple[np.ndarray, float]:
     """Piece log-probabilities of one language by expectation maximisation over all segmentations of its words."""
     known = lat.piece >= 0
@@ -192,7 +212,8 @@ def fit(df: DataFrame, path: str, lang_col: str = "lang", key: str = "doc_id", t
     for r in rows.select(lang_col, F.split(F.col(text_col), r"\s+").alias("w")).select(lang_col, F.explode("w").alias("w")).groupBy(lang_col, "w").count().toLocalIterator():
         own = counts.setdefault(r[0], Counter())
         for word in words_of(r["w"].encode()):
-            own[word] += r["count"]
+            for i in range(0, len(word), WORD_CHARS):  # in the sample, long runs in parts
+                own[word[i : i + WORD_CHARS]] += r["count"]
     pieces = vocabulary(path)
     found, logs, unknown = Pieces(pieces), [], []
     languages = sorted(x for x in counts if counts[x])
@@ -217,12 +238,20 @@ class Scorer:
         value = np.zeros((len(chunks), len(self.model.languages)))
         flat = [x for w in words for x in w]
         owner = np.repeat(np.arange(len(chunks)), each)
-        at_once = max(1, min(50_000, SCORED_AT_ONCE // max(1, value.shape[1])))
-        for i in range(0, len(flat), at_once):
-            part = flat[i : i + at_once]
-            scores = forward(self.pieces.lattice(part), self.model.logs, self.model.unknown)
-            for c in range(value.shape[1]):
-                value[:, c] += np.bincount(owner[i : i + len(part)], weights=scores[:, c], minlength=len(chunks))
+        length = np.array([len(x) for x in flat], dtype=np.int64)
+        at_once = max(1, SCORED_AT_ONCE // max(1, value.shape[1]))
+        for long in (False, True):
+            own = np.flatnonzero((length > WORD_CHARS) == long)
+            own = own[np.argsort(length[own], kind="stable")]
+            cuts = np.flatnonzero(np.diff(np.cumsum(length[own]) // at_once, prepend=-1)).tolist()
+            for a, b in zip(cuts, [*cuts[1:], len(own)]):
+                lattice = self.pieces.lattice([flat[i] for i in own[a:b].tolist()])
+                if long:
+                    scores = forward_long(lattice, self.model.logs, self.model.unknown, self.pieces.longest)
+                else:
+                    scores = forward(lattice, self.model.logs, self.model.unknown)
+                for c in range(value.shape[1]):
+                    value[:, c] += np.bincount(owner[own[a:b]], weights=scores[:, c], minlength=len(chunks))
         self.values = np.concatenate([self.values, value])
         self.lettered = np.concatenate([self.lettered, each > 0])
 
@@ -252,8 +281,9 @@ class Scorer:
         return np.where(lettered, best, -1), np.where(lettered, share, 0.0)
 
 
-def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """(id, lang_pred, score, and the columns ``carry``): the likeliest language of every whole text and its posterior share, 0 to 1.
+def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
+    """(id, lang_pred, score): the likeliest language of every whole text and its posterior share, 0 to 1; if ``whole``, a struct ``row``
+    of all columns stands in the id's place.
 
     ``und`` with score 0 where the text is null or has no letter, or the model knows no language. Equal scores go to the language
     first in alphabetical order. Only the text decides; repeated rows give repeated results."""
@@ -264,10 +294,12 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         scorer = Scorer(shared.value)
         names = np.array([*scorer.model.languages, "und"], dtype=object)
         for batch in batches:
-            for a, b in slices_by_bytes(batch.column(1)):
-                rows = batch.slice(a, b - a)
-                best, share = scorer.score(list(text_views(rows.column(1))))
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(names[best], pa.string()), pa.array(share, pa.float64()), *rows.columns[2:]], names=[id_col, "lang_pred", "score", *carry])
-
-    schema = T.StructType([df.schema[id_col], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), *(df.schema[c] for c in carry)])
-    return df.select(id_col, text_col, *carry).mapInArrow(run, schema)
+            texts = sent_text(batch, text_col, whole)
+            for a, b in slices_by_bytes(texts, SLICE_BYTES):
+                best, share = scorer.score(list(text_views(texts.slice(a, b - a))))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(names[best], pa.string()), pa.array(share, pa.float64())], names=[sent[0].name, "lang_pred", "score"])
+            del batch, texts
+            give_back()
+
+    rows, sent = whole_rows(df, id_col, text_col, whole)
+    return rows.mapInArrow(run, T.StructType([*sent, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
