@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Numbers, slices_by_bytes, text_views
+from .common import Numbers, give_back, sent_text, slices_by_bytes, text_views, whole_rows
 from .sampling import bounded_rows
 
 #: Labelled documents of either kind that the model is fitted on, at most about.
@@ -29,7 +29,8 @@ LEAST_DOCS = 4
 LEAST_SHARE = 0.01  # of the toxic documents that a word of the lexicon is in
 MARKED = 2.5  # log-odds from which a word marks its tokens in a toxic document
 CHAIN = 256  # tokens of a chain at most; a longer sentence goes on in the next chain
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 200_000
+SLICE_BYTES = 1 << 20  # of texts read at once
 FEATURES = 6
 _letters = re.compile(r"[^\W\d_]+")
 _blank = np.zeros(256, dtype=bool)
@@ -211,9 +212,10 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 30, ridge: float = 1e-
 
 
 def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_docs: int = SAMPLE_DOCS) -> Model:
-    """Fit on about ``sample_docs`` labelled documents of either kind; rows with a null label or text don't count. Without both kinds
-    every document scores the share of toxic labels."""
-    chosen = bounded_rows(labels.select(id_col, label_col).where(F.col(label_col).isin(0, 1)).dropDuplicates([id_col]), label_col, id_col, sample_docs)
+    """Fit on about ``sample_docs`` labelled documents of either kind; rows with a null label or text don't count, and a document with
+    both labels counts as toxic. Without both kinds every document scores the share of toxic labels."""
+    one_label = labels.where(F.col(label_col).isin(0, 1)).groupBy(id_col).agg(F.max(label_col).alias(label_col))
+    chosen = bounded_rows(one_label, label_col, id_col, sample_docs)
     rows = documents.select(id_col, text_col).where(F.col(text_col).isNotNull()).join(F.broadcast(chosen), id_col)  # about twice the sample's size at most
     pairs = [(r[text_col].encode(), int(r[label_col])) for r in rows.select(text_col, label_col).toLocalIterator()]
     pairs.sort()
@@ -247,9 +249,10 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     return Model(odds, weights, moves, _logistic(document_features(p, counts), y.astype(float)))
 
 
-def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """(id, score, predicted, spans, and the columns ``carry``) of every whole text: score 0 to 1, predicted = score >= 0.5, spans: array of (start, end), the
-    byte offsets of runs of tokens with a marginal of at least one half.
+def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
+    """(id, score, predicted, spans) of every whole text: score 0 to 1, predicted = score >= 0.5, spans: array of (start, end), the
+    byte offsets of runs of tokens with a marginal of at least one half. If ``whole``, a struct ``row`` of all columns stands in the id's
+    place.
 
     A null text counts as empty; an empty one gets the score of a document without toxic tokens and no spans. Only the text decides."""
     shared = df.sparkSession.sparkContext.broadcast(model)  # at most LEXICON words
@@ -259,9 +262,9 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
         reader = Reader(model.odds)
         span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
         for batch in batches:
-            for a, b in slices_by_bytes(batch.column(1)):
-                rows = batch.slice(a, b - a)
-                texts = list(text_views(rows.column(1)))
+            column = sent_text(batch, text_col, whole)
+            for a, b in slices_by_bytes(column, SLICE_BYTES):
+                texts = list(text_views(column.slice(a, b - a)))
                 tokens, counts, starts, features, begins = reader.read(texts)
                 p = marginals(features @ model.weights, starts, model.moves)
                 value = 1 / (1 + np.exp(-np.clip(document_features(p, counts) @ model.document, -30, 30)))
@@ -278,8 +281,11 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
                     else:
                         own.append({"start": int(begins[i] - base[doc[i]]), "end": end})
                     last = i
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(value, pa.float64()), pa.array((value >= 0.5).astype(np.int32), pa.int32()), pa.array(spans, pa.list_(span)), *rows.columns[2:]], names=[id_col, "score", "predicted", "spans", *carry])
+                columns = [pa.array(value, pa.float64()), pa.array((value >= 0.5).astype(np.int32), pa.int32()), pa.array(spans, pa.list_(span))]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *columns], names=[sent[0].name, "score", "predicted", "spans"])
+            del batch, column
+            give_back()
 
     spans = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
-    schema = T.StructType([df.schema[id_col], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()), T.StructField("spans", spans), *(df.schema[c] for c in carry)])
-    return df.select(id_col, text_col, *carry).mapInArrow(run, schema)
+    rows, sent = whole_rows(df, id_col, text_col, whole)
+    return rows.mapInArrow(run, T.StructType([*sent, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()), T.StructField("spans", spans)]))
