@@ -1,11 +1,11 @@
 """Byte-level BPE encoding and decoding without regular expressions.
 
-Text is turned into code points, code points into classes by one table lookup, and piece starts are found with array
-operations: a run starts where a code point's class differs from its neighbour's or a text starts. This takes the place of a scan that
-composes the positions' transition functions: the pattern's state never reaches further back than one neighbour, apart from an
-apostrophe's ending, which is looked up at the few places that have one. Pieces then go through a bounded cache in front of
-rank-ordered pair merging. Every token keeps the byte offset of its end, which decoding uses to scatter the vocabulary's bytes to
-their places.
+Text is turned into code points, and code points into symbols by one table lookup: classes, with white space and apostrophes told
+apart by what follows them. The pattern is then a small automaton over symbols. Each symbol is a transition function on its states;
+functions are composed over blocks of code points, the blocks' functions by an associative scan, and each block is walked from the
+state that the scan gives it, all blocks side by side. A table tells for state and symbol whether a piece starts. Pieces then go
+through a bounded cache in front of rank-ordered pair merging. Every token keeps the byte offset of its end, by which decoding
+scatters the vocabulary's bytes to their places.
 """
 
 from __future__ import annotations
@@ -48,54 +48,100 @@ def class_table() -> np.ndarray:
     return table
 
 
-def piece_starts(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Positions in ``points`` at which a piece starts; ``starts`` holds each text's first position (of texts that aren't empty).
+# Symbols: the classes; white space that the next white space follows or that ends a text; the last of a run before something else, as
+# a plain space (it belongs to what follows) or not; an apostrophe with an ending of one or two letters after it.
+RUN, GLUE, LAST, ONE, TWO = 3, 4, 5, 6, 7
+# States: what comes next starts a piece; inside a run of letters, numbers, others or white space; after a plain space that belongs
+# to what follows; one or two letters of an ending are still to come.
+FREE, IN_LETTERS, IN_NUMBERS, IN_OTHERS, IN_RUN, AFTER_SPACE, LAST_LETTER, FIRST_LETTER = range(8)
+BLOCK = 32  # groups of four symbols that a block has
+
+
+@lru_cache(maxsize=1)
+def automaton() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(next state by symbol and state, whether a piece starts there, state after four symbols by these and the state before)."""
+    inside = {OTHER: IN_OTHERS, LETTER: IN_LETTERS, NUMBER: IN_NUMBERS, RUN: IN_RUN}
+    step, begins = np.zeros((8, 8), dtype=np.uint8), np.ones((8, 8), dtype=bool)
+    for symbol in range(8):
+        for state in range(8):
+            if state in (LAST_LETTER, FIRST_LETTER):  # letters of an ending, which the symbol of its apostrophe has vouched for
+                step[symbol, state], begins[symbol, state] = (FREE if state == LAST_LETTER else LAST_LETTER), False
+            elif symbol in inside:
+                step[symbol, state] = inside[symbol]
+                begins[symbol, state] = state != inside[symbol] and not (state == AFTER_SPACE and symbol != RUN)
+            elif symbol in (GLUE, LAST):
+                step[symbol, state] = AFTER_SPACE if symbol == GLUE else FREE
+            elif state in (IN_OTHERS, AFTER_SPACE):  # no ending where the apostrophe starts no piece
+                step[symbol, state], begins[symbol, state] = IN_OTHERS, False
+            else:
+                step[symbol, state] = LAST_LETTER if symbol == ONE else FIRST_LETTER
+    four = np.empty((4096, 8), dtype=np.uint8)
+    for state in range(8):
+        now = np.full(4096, state, dtype=np.uint8)
+        for shift in (9, 6, 3, 0):
+            now = step[np.arange(4096) >> shift & 7, now]
+        four[:, state] = now
+    return step.ravel(), begins.ravel(), four.ravel()
 
-    Pieces never cross a text's start."""
+
+def symbols(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
     n = len(points)
-    if not n:
-        return np.zeros(0, dtype=np.int64)
-    kind = class_table()[points]
-    first = np.zeros(n, dtype=bool)
-    first[starts] = True
-    before = np.empty(n, dtype=np.uint8)
-    before[0], before[1:] = 255, kind[:-1]
-    before[first] = 255
-    begins = kind != before  # run starts
-    blank = kind == SPACE
-    # Text ends are where the next text starts; a run of white space that reaches one is a piece as it is.
+    out = class_table()[points]
+    blank = out == SPACE
+    at = np.flatnonzero(blank[:-1] & ~blank[1:])
     last = np.zeros(n, dtype=bool)
     last[starts[1:] - 1] = True
-    last[-1] = True
-    run_ends = np.empty(n, dtype=bool)
-    run_ends[:-1] = begins[1:]
-    run_ends[-1] = True
-    final = blank & run_ends & ~last  # the last white space before something else
-    plain = final & (points == 0x20)
-    start = begins.copy()
-    start[np.flatnonzero(final)] = True
-    after = np.flatnonzero(plain) + 1  # a plain space belongs to what follows
-    start[after] = False
-    # Endings after an apostrophe that itself starts a piece.
-    quotes = np.flatnonzero((points == 0x27) & ((before != OTHER) | first))
-    quotes = quotes[(quotes == 0) | first[quotes] | (points[quotes - 1] != 0x20)]
+    at = at[~last[at]]  # a run of white space that reaches its text's end is a piece as it is
+    out[at] = np.where(points[at] == 0x20, GLUE, LAST)
+    quotes = np.flatnonzero(points[:-1] == 0x27)
     if len(quotes):
-        # where the text after the one that holds each quote begins, by binary search
-        bounds = np.append(starts[1:], n)
-        limit = bounds[np.searchsorted(starts, quotes, side="right") - 1]
-        open_ = np.ones(len(quotes), dtype=bool)
+        limit = np.append(starts[1:], n)[np.searchsorted(starts, quotes, side="right") - 1]
         for ending in ENDINGS:
-            k = len(ending)
-            fits = open_ & (quotes + k < limit)
+            fits = (quotes + len(ending) < limit) & (out[quotes] == OTHER)
             for j, ch in enumerate(ending):
-                at = np.minimum(quotes + 1 + j, n - 1)
-                fits &= points[at] == ord(ch)
-            found = quotes[fits]
-            open_ &= ~fits
-            start[found + 1] = False
-            cut = found + 1 + k
-            start[cut[cut < n]] = True  # what follows the ending starts a piece
-    return np.flatnonzero(start)
+                fits &= points[np.minimum(quotes + 1 + j, n - 1)] == ord(ch)
+            out[quotes[fits]] = ONE if len(ending) == 1 else TWO
+    return out
+
+
+def piece_starts(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Positions in ``points`` at which a piece starts; ``starts`` holds each text's first position (of texts that aren't empty).
+
+    Pieces never cross a text's start: the automaton gets a symbol before each text that leaves no state but the first."""
+    n = len(points)
+    if not n:
+        return np.zeros(0, dtype=np.int64)
+    step, begins, four = automaton()
+    own = np.insert(symbols(points, starts), starts, LAST)
+    width = 4 * BLOCK
+    padded = np.zeros(-(-len(own) // width) * width, dtype=np.uint8)
+    padded[: len(own)] = own
+    rows = padded.reshape(-1, 4)
+    fours = (rows[:, 0].astype(np.uint16) << 9 | rows[:, 1].astype(np.uint16) << 6 | rows[:, 2] << 3 | rows[:, 3]).reshape(-1, BLOCK).astype(np.int32) << 3
+    # Each block's function, by composing its groups' functions; columns are the states before.
+    function = np.tile(np.arange(8, dtype=np.uint8), (len(fours), 1))
+    for k in range(BLOCK):
+        function = four[fours[:, k, None] | function]
+    # Associative scan over blocks: after the round of distance d, a row holds the function of its last 2 d blocks.
+    distance = 1
+    while distance < len(function):
+        before = function[:-distance]
+        function = np.concatenate([function[:distance], np.take_along_axis(function[distance:], before, axis=1)])
+        distance *= 2
+    state = np.concatenate([np.zeros(1, dtype=np.uint8), function[:-1, FREE]])
+    entry = np.empty(fours.shape, dtype=np.uint8)
+    for k in range(BLOCK):
+        entry[:, k] = state
+        state = four[fours[:, k] | state]
+    state = entry.ravel()
+    out = np.empty(rows.shape, dtype=bool)
+    for k in range(4):
+        key = rows[:, k] << 3 | state
+        out[:, k] = begins[key]
+        state = step[key]
+    kept = np.ones(len(own), dtype=bool)
+    kept[starts + np.arange(len(starts))] = False
+    return np.flatnonzero(out.ravel()[: len(own)][kept])
 
 
 def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -276,14 +322,17 @@ class Codec:
         offsets = token_ends - np.repeat(begins, np.diff(text_ends, prepend=0))
         return ids, text_ends, offsets
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        """Bytes of the ids: each token's bytes are scattered to the place that the running byte offset gives."""
+    def decode(self, ids: np.ndarray, offsets: np.ndarray | None = None) -> bytes:
+        """Bytes of the ids: each token's bytes are scattered to the place before its offset (a running sum of lengths, if not given)."""
         if not len(ids):
             return b""
         size = self.lengths[ids]
         ends = np.cumsum(size)
-        take = np.arange(ends[-1]) + np.repeat(self.places[ids] - (ends - size), size)
-        return self.bytes[take].tobytes()
+        within = np.arange(ends[-1])
+        out = np.empty(len(within) if offsets is None else int(offsets[-1]), dtype=np.uint8)
+        place = within if offsets is None else within + np.repeat(offsets - ends, size)
+        out[place] = self.bytes[within + np.repeat(self.places[ids] - (ends - size), size)]
+        return out.tobytes()
 
 
 @lru_cache(maxsize=4)
@@ -309,33 +358,39 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     return df.select(id_col, text_col).mapInArrow(run, schema)
 
 
-def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """Bytes of every id list: (id, ids, decoded binary). A null list gives null bytes' place an empty value."""
+def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids", offsets_col: str | None = "offsets") -> DataFrame:
+    """Bytes of every id list, placed by the offsets that ``encode`` kept, or by the tokens' lengths where ``offsets_col`` is None: (id, ids,
+    decoded binary). A null or empty list gives empty bytes; offsets must rise by the lengths of their tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
+        numbers = lambda x: x.values.to_numpy(zero_copy_only=False).astype(np.int64)
         for batch in batches:
             lists = batch.column(1)
-            out = [c.decode(x.values.to_numpy(zero_copy_only=False)) if x.is_valid else b"" for x in lists]
+            places = batch.column(2) if offsets_col else [None] * batch.num_rows
+            out = [c.decode(numbers(x), numbers(y) if offsets_col else None) if x.is_valid else b"" for x, y in zip(lists, places)]
             yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(out, type=pa.binary())], names=[id_col, "ids", "decoded"])
 
     schema = T.StructType([df.schema[id_col], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())])
-    return df.select(id_col, ids_col).mapInArrow(run, schema)
+    return df.select(id_col, ids_col, *([offsets_col] if offsets_col else [])).mapInArrow(run, schema)
 
 
 def digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode, decode again and digest both: (id, n_tokens, ids_sha256, decoded_sha256)."""
+    """Encode, decode again by the offsets kept, and digest both: (id, n_tokens, ids_sha256, decoded_sha256) of every row.
+
+    Nulls and empty texts have no token and the digests of no bytes; repeated rows give repeated results; other columns are not read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
         for batch in batches:
-            sizes, left, right = [], [], []
-            for x in batch.column(1):
-                ids = x.values.to_numpy(zero_copy_only=False)
-                sizes.append(len(ids))
-                left.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
-                right.append(hashlib.sha256(c.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(left, pa.string()), pa.array(right, pa.string())], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
+            for a, b in slices_by_bytes(batch.column(1)):
+                ids, ends, offsets = c.encode(list(text_views(batch.column(1).slice(a, b - a))))
+                sizes, left, right = np.diff(ends, prepend=0), [], []
+                for end, n in zip(ends.tolist(), sizes.tolist()):
+                    own = ids[end - n : end]
+                    left.append(hashlib.sha256(own.astype("<u4").tobytes()).hexdigest())
+                    right.append(hashlib.sha256(c.decode(own, offsets[end - n : end])).hexdigest())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sizes, pa.int64()), pa.array(left, pa.string()), pa.array(right, pa.string())], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     schema = T.StructType([df.schema[id_col], T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
-    return encode(df, path, id_col, text_col).select(id_col, "ids").mapInArrow(run, schema)
+    return df.select(id_col, text_col).mapInArrow(run, schema)
