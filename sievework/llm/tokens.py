@@ -46,7 +46,8 @@ class _Store:
 
 class CachedTokenizer:
     """``drops_space``: the tokenizer drops white space, ignores case and cuts between letters and marks, so texts are cut there;
-    otherwise it is one that cuts by the pattern of ``bpe.piece_starts``. Strings of special tokens in a text are ordinary text."""
+    otherwise it is one that cuts by the pattern of ``bpe.piece_starts``. As in the library, the string of a special token in a text
+    gives that token: such a text goes through the library as a whole."""
 
     def __init__(self, path: str, drops_space: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -55,6 +56,7 @@ class CachedTokenizer:
         self.plain, self.joined = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.plain.encode_special_tokens = True
         self.between, self.between_id = "<|endoftext|>", self.plain.token_to_id("<|endoftext|>")
+        self.special = [t.content.encode() for t in self.joined.get_added_tokens_decoder().values()]
         self.drops_space = drops_space
         self.inner = _Store(self._encode)
         self.outer = _Store(self._from_parts) if drops_space else self.inner
@@ -91,6 +93,17 @@ class CachedTokenizer:
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, end of each text among them)."""
+        apart = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
+        if apart:
+            rest = set(apart)
+            ids, ends = self._encode_ordinary([b"" if i in rest else t for i, t in enumerate(texts)])
+            own = np.split(ids, ends[:-1]) if len(ends) else []
+            for i in apart:
+                own[i] = np.array(self.joined.encode(texts[i].decode(), add_special_tokens=False).ids, dtype=np.uint32)
+            return np.concatenate(own), np.cumsum([len(x) for x in own])
+        return self._encode_ordinary(texts)
+
+    def _encode_ordinary(self, texts: list[bytes]) -> Ids:
         if self.drops_space:
             pieces: list[bytes] = []
             counts = []
