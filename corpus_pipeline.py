@@ -18,20 +18,16 @@ from sievework.llm.common import materialise
 LEAST_SHARE = 0.5
 
 
-def _with_row(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "text", F.struct("*").alias("_document"))
-
-
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language go: null texts, texts without letters, and texts that no language clearly explains."""
-    found = langid.predict(_with_row(docs), queries.language_model(docs), carry=("_document",))
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE)).select("_document.*")
+    found = langid.predict(docs, queries.language_model(docs), whole=True)
+    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE)).select("row.*")
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are predicted toxic go."""
     model = queries.toxicity_model(docs, queries.table(spark, sf_dir, "labels"))
-    return toxicity.score(_with_row(docs), model, carry=("_document",)).where(F.col("predicted") == 0).select("_document.*")
+    return toxicity.score(docs, model, whole=True).where(F.col("predicted") == 0).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,12 +41,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated passages go from the texts. A character that loses one of its bytes goes as a whole; documents stay, even empty."""
-    kept = suffix.remove_repeats(_with_row(docs), carry=("_document",))
-    text = F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("�"), F.lit(""))
-    text = F.when(F.size("spans") == 0, F.col("_document.text")).otherwise(text)
-    new = {"text": text, "n_chars": F.char_length(text).cast("long")}
-    return kept.select(*(new.get(c, F.col(f"_document.`{c}`")).alias(c) for c in docs.columns))
+    """Repeated passages go from the texts. A character that loses one of its bytes goes as a whole; documents stay, even empty, and one
+    with a null doc_id as it is."""
+    others = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")), F.col("text").isNull().alias("_no text")).alias("_others")
+    kept = suffix.remove_repeats(docs.select("doc_id", "text", others), carry=("_others",), whole_characters=True)
+    text = F.when(~F.col("_others.`_no text`"), F.col("kept").cast("string"))
+    new = {"doc_id": F.col("doc_id"), "text": text}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(F.size("spans") == 0, F.col("_others.n_chars")).otherwise(F.char_length(text)).cast(docs.schema["n_chars"].dataType)
+    return kept.select(*(new.get(c, F.col(f"_others.`{c}`")).alias(c) for c in docs.columns))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
