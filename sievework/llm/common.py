@@ -78,7 +78,7 @@ def text_views(column: pa.Array) -> Iterator[bytes]:
         yield value or b""
 
 
-def slices_by_bytes(column: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def slices_by_bytes(column: pa.Array, most: int = 2 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of a column whose texts add up to about ``most`` bytes: bounds memory whatever the batch holds."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()

@@ -6,10 +6,11 @@
 3. A pair that is similar enough shares one of the first n - ceil(t n) + 1 shingles of both. Only these are dealt out, packed by
    ranges of the hash. Within one shingle, sets lie sorted by size, so that partners form size bands, and the place of the shingle
    bounds the overlap. Small groups give all pairs that pass; large ones give a few stars.
-4. Candidates that hang together form a tile. In it, hashed bitmaps of one bit a shingle bound the overlap from above, and what
-   passes is settled by exact intersection of sorted arrays.
-5. Links join classes to components. Then the large groups are looked at again: pairs that lie in different components are all
-   settled, others need not be. So no link between components is lost, and groups of copies never give all their pairs.
+4. Candidates that hang together form a tile, cut into blocks by the bytes of its sets and into parts by its pairs, so that no task has more than a
+   bounded number of either. In it, hashed bitmaps of one bit a shingle bound the overlap from above, and what passes is settled by
+   exact intersection of sorted arrays.
+5. Links join classes to components. Then the large groups are looked at again, in pairs of blocks: pairs that lie in different
+   components are all settled, others need not be. So no link between components is lost, and groups of copies never give all their pairs.
 """
 
 from __future__ import annotations
@@ -22,14 +23,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, mix64, slices_by_bytes, text_views
+from .common import give_back, materialise, mix64, slices_by_bytes, text_views
 from .components import connected_components
 
 WORDS = 5
-SLOT_BITS = 23  # the table of counts takes 2^23 bytes whatever the input
+SLOT_BITS = 25  # the table of counts takes 2^25 bytes at most; with fewer shingles, one byte for each that can be common
+MARK_BITS = 23  # the table of the documents that candidates need takes 2^23 bits
 COMMON = 8  # documents from which a shingle's count is kept
 SMALL = 8  # sets of one shingle that give all their pairs at once
-TILE = 2_000  # sets of a tile about
+TILE_BYTES = 4 << 20  # of a block's sets, about
+TILE_PAIRS = 4_000  # pairs of a part of two blocks, about
+GROUP = 2_000  # sets of a block of a large group, about
+SLICE_BYTES, GATHERED_BYTES = 1 << 20, 8 << 20  # texts that are hashed at once, and whose shingles are dealt out at once
 HUBS = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)]
 _base = 0x9E3779B97F4A7C15
 _inverse = pow(_base, -1, 1 << 64)
@@ -87,13 +92,29 @@ def class_of(tokens: np.ndarray) -> int:
         return int(mix64(np.array([total * np.uint64(_base) + np.uint64(len(tokens))], dtype=np.uint64))[0] >> np.uint64(1))
 
 
+def _gathered(column: pa.Array, words: int) -> Iterator[list[np.ndarray]]:
+    """The sets of a column's texts, in lists of about ``GATHERED_BYTES`` of text."""
+    out, size = [], 0
+    for a, b in slices_by_bytes(column, SLICE_BYTES):
+        texts = list(text_views(column.slice(a, b - a)))
+        out += shingle_sets(texts, words)
+        size += sum(map(len, texts))
+        if size >= GATHERED_BYTES:
+            yield out
+            out, size = [], 0
+    if out:
+        yield out
+
+
 def _classes(df: DataFrame, id_col: str, text_col: str, words: int, carry: tuple[str, ...] = ()) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in slices_by_bytes(batch.column(1)):
+            for a, b in slices_by_bytes(batch.column(1), SLICE_BYTES):
                 rows = batch.slice(a, b - a)
                 sets = shingle_sets(list(text_views(rows.column(1))), words)
                 yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([class_of(s) if len(s) else None for s in sets], pa.int64()), *rows.columns[2:]], names=[id_col, "n_shingles", "class", *carry])
+            del batch
+            give_back()
 
     return df.select(id_col, text_col, *carry).mapInArrow(run, T.StructType([df.schema[id_col], T.StructField("n_shingles", T.LongType()), T.StructField("class", T.LongType()), *(df.schema[c] for c in carry)]))
 
@@ -125,29 +146,40 @@ def _local(tokens: np.ndarray, bits: int) -> np.ndarray:
 
 def _count_table(df: DataFrame, text_col: str, words: int, total: int) -> np.ndarray:
     """Order of magnitude of the number of documents, by the top bits of the shingle; 0 below ``COMMON``."""
-    bits = min(SLOT_BITS, max(4, int(total / 500_000).bit_length()))
+    slot_bits = min(SLOT_BITS, max(16, int(total // COMMON).bit_length()))
+    bits = min(slot_bits, max(4, int(total / 500_000).bit_length()))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in slices_by_bytes(batch.column(0), 8 << 20):
-                sets = shingle_sets(list(text_views(batch.column(0).slice(a, b - a))), words)
-                tokens = np.concatenate([np.zeros(0, np.uint64), *sets])
+            for sets in _gathered(batch.column(0), words):
+                tokens, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_counts=True)
                 if len(tokens):
-                    yield _packed(tokens, [_local(tokens, bits)], bits)
+                    often = -(-n // 255)  # a count is one byte; what doesn't fit goes on in further rows
+                    last = np.cumsum(often) - 1
+                    count = np.full(int(often.sum()), 255, dtype=np.uint8)
+                    count[last] = n - 255 * (often - 1)
+                    tokens = np.repeat(tokens, often)
+                    yield _packed(tokens, [_local(tokens, bits), count], bits)
+            del batch
+            give_back()
 
     def count(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
-        token, n = np.unique(_column(table, "c0", "<u4"), return_counts=True)
+        token, n = _column(table, "c0", "<u4"), _column(table, "c1", "u1")
+        order = np.argsort(token, kind="stable")
+        token = token[order]
+        head = np.flatnonzero(np.diff(token, prepend=~token[:1]) != 0)
+        token, n = token[head], np.add.reduceat(n[order].astype(np.int64), head)
         keep = n >= COMMON
-        slots = np.zeros(1 << (SLOT_BITS - bits), dtype=np.uint8)
+        slots = np.zeros(1 << (slot_bits - bits), dtype=np.uint8)
         level = np.log2(n[keep]).astype(np.uint8)
-        np.maximum.at(slots, (token[keep] >> np.uint32(32 - (SLOT_BITS - bits)) if SLOT_BITS > bits else np.zeros(int(keep.sum()), np.int64)).astype(np.int64), level)
+        np.maximum.at(slots, (token[keep].astype(np.uint64) >> np.uint64(32 - (slot_bits - bits))).astype(np.int64), level)
         return pa.table({"bucket": pa.array([bucket], pa.int64()), "c0": pa.array([slots.tobytes()], pa.binary())})
 
-    rows = df.select(text_col).mapInArrow(deal, _packed_schema(1)).groupBy("bucket").applyInArrow(count, _packed_schema(1))
-    out = np.zeros(1 << SLOT_BITS, dtype=np.uint8)
-    for r in rows.toLocalIterator():  # 2^SLOT_BITS bytes in all
-        step = 1 << (SLOT_BITS - bits)
+    rows = df.select(text_col).mapInArrow(deal, _packed_schema(2)).groupBy("bucket").applyInArrow(count, _packed_schema(1))
+    out = np.zeros(1 << slot_bits, dtype=np.uint8)
+    for r in rows.toLocalIterator():  # 2^SLOT_BITS bytes at most in all
+        step = 1 << (slot_bits - bits)
         out[r["bucket"] * step : (r["bucket"] + 1) * step] = np.frombuffer(r["c0"], dtype=np.uint8)
     return out
 
@@ -158,9 +190,9 @@ def _passes(na, pa_, nb, pb, t_num: int, t_den: int):
     return (t_den + t_num) * most >= t_num * (na + nb)
 
 
-def _pairs_of_group(node: np.ndarray, n: np.ndarray, place: np.ndarray, t_num: int, t_den: int, component: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of sets that share a shingle and pass the bounds; in different components, if given. Sorted by size: the partners
-    of a set are a band after it."""
+def _pairs_of_group(node: np.ndarray, n: np.ndarray, place: np.ndarray, t_num: int, t_den: int, component: np.ndarray | None = None, side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of sets that share a shingle and pass the bounds; in different components and on different sides, if given. Sorted by
+    size: the partners of a set are a band after it."""
     order = np.argsort(n, kind="stable")
     node, n, place = node[order], n[order], place[order]
     until = np.searchsorted(n, n * t_den // t_num, side="right")
@@ -171,6 +203,8 @@ def _pairs_of_group(node: np.ndarray, n: np.ndarray, place: np.ndarray, t_num: i
             ok = _passes(n[i], place[i], n[j], place[j], t_num, t_den)
             if component is not None:
                 ok &= component[order[i]] != component[order[j]]
+            if side is not None:
+                ok &= side[order[i]] != side[order[j]]
             j = j[ok]
             left.append(np.full(len(j), node[i]))
             right.append(node[j])
@@ -190,21 +224,22 @@ def _candidates(df: DataFrame, text_col: str, words: int, table: np.ndarray, tot
     """(a, b) candidates with group null, and (group, a, n, place) rows of large groups with b null."""
     spark = df.sparkSession
     bits = max(4, int(total / 1_000_000).bit_length())
-    shared = spark.sparkContext.broadcast(table)  # 2^SLOT_BITS bytes
+    shared = spark.sparkContext.broadcast(table)  # 2^SLOT_BITS bytes at most
+    slot_bits = len(table).bit_length() - 1
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = shared.value
         for batch in batches:
-            for a, b in slices_by_bytes(batch.column(0), 8 << 20):
+            for sets in _gathered(batch.column(0), words):
                 tokens, nodes, sizes, places, seen = [], [], [], [], set()
-                for s in shingle_sets(list(text_views(batch.column(0).slice(a, b - a))), words):
+                for s in sets:
                     n = len(s)
                     node = class_of(s) if n else None
                     if not n or node in seen:
                         continue
                     seen.add(node)
                     first = n - -(-t_num * n // t_den) + 1
-                    key = level[(s >> np.uint64(64 - SLOT_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(56) | s >> np.uint64(8)
+                    key = level[(s >> np.uint64(64 - slot_bits)).astype(np.int64)].astype(np.uint64) << np.uint64(56) | s >> np.uint64(8)
                     chosen = np.argpartition(key, first - 1)[:first]
                     chosen = chosen[np.argsort(key[chosen])]
                     tokens.append(s[chosen])
@@ -214,6 +249,8 @@ def _candidates(df: DataFrame, text_col: str, words: int, table: np.ndarray, tot
                 if tokens:
                     token = np.concatenate(tokens)
                     yield _packed(token, [_local(token, bits), np.concatenate(nodes), np.concatenate(sizes), np.concatenate(places)], bits)
+            del batch
+            give_back()
 
     def meet(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
@@ -262,47 +299,55 @@ def bitmap(tokens: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def _settle(df: DataFrame, text_col: str, words: int, pairs: DataFrame, t_num: int, t_den: int) -> DataFrame:
-    """Those of the distinct candidate pairs (a, b) that link."""
+def _settle(df: DataFrame, text_col: str, words: int, pairs: DataFrame, sizes: DataFrame, t_num: int, t_den: int) -> DataFrame:
+    """Those of the distinct candidate pairs (a, b) that link; ``sizes``: (class, n)."""
     spark = df.sparkSession
-    tiles = connected_components(pairs)
-    sizes = tiles.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("blocks"))
-    tiles = tiles.join(sizes, "component")
-    block = lambda c: F.pmod(F.xxhash64(c), F.col("blocks"))
-    placed = pairs.join(tiles, pairs["a"] == tiles["node"]).select("a", "b", F.col("component").alias("tile"), block("a").alias("i"), block("b").alias("j"))
-    placed = materialise(placed.select("a", "b", "tile", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")), "placed")
-    wanted = materialise(placed.select(F.explode(F.array("a", "b")).alias("class"), "tile", "i", "j").distinct(), "wanted")
+    tiles = connected_components(pairs).withColumnRenamed("node", "class").join(sizes, "class")
+    degree = pairs.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count(F.lit(1)).alias("degree"))
+    blocks = tiles.groupBy("component").agg(F.ceil(F.sum("n") * 8 / TILE_BYTES).alias("blocks"))
+    tiles = materialise(tiles.join(blocks, "component").join(degree, "class").select("class", F.col("component").alias("tile"), F.pmod(F.xxhash64("class"), F.col("blocks")).alias("block"), "degree"), "tiles")
+    end = lambda c: tiles.select(F.col("class").alias(c), "tile", F.col("block").alias(f"block_{c}"), F.col("degree").alias(f"degree_{c}"))
+    placed = pairs.join(end("a"), "a").join(end("b").drop("tile"), "b").withColumn("i", F.least("block_a", "block_b")).withColumn("j", F.greatest("block_a", "block_b"))
+    # The pairs of one set that has many go to several parts, by their other sets.
+    key = F.when(F.col("degree_a") < F.col("degree_b"), F.col("a")).otherwise(F.col("b"))
+    parts = placed.groupBy("tile", "i", "j").agg(F.ceil(F.count(F.lit(1)) / TILE_PAIRS).alias("parts"))
+    placed = placed.join(parts, ["tile", "i", "j"]).withColumn("part", F.pmod(F.xxhash64(key, F.lit(7)), F.col("parts")))
+    where = ["tile", "i", "j", "part"]
+    placed = materialise(placed.select("a", "b", *where), "placed")
+    wanted = materialise(placed.select(F.explode(F.array("a", "b")).alias("class"), *where).distinct(), "wanted")
 
     # Which documents are needed is told by a bit array of fixed size; a wrong bit only costs a set that the join drops.
     def bits_of(table: pa.Table) -> pa.Table:
-        slots = np.zeros((1 << SLOT_BITS) >> 6, dtype=np.uint8)
+        slots = np.zeros((1 << MARK_BITS) >> 6, dtype=np.uint8)
         at = table.column("slot").to_numpy()
         np.bitwise_or.at(slots, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
         return pa.table({"bucket": table.column("bucket")[:1], "c0": pa.array([slots.tobytes()], pa.binary())})
 
-    slot = F.shiftright(F.col("class"), 63 - SLOT_BITS)
-    marks = wanted.select(slot.alias("s")).distinct().select(F.shiftright("s", SLOT_BITS - 3).cast("long").alias("bucket"), F.col("s").bitwiseAND((1 << (SLOT_BITS - 3)) - 1).cast("long").alias("slot"))
-    table = np.zeros((1 << SLOT_BITS) >> 3, dtype=np.uint8)
+    slot = F.shiftright(F.col("class"), 63 - MARK_BITS)
+    marks = wanted.select(slot.alias("s")).distinct().select(F.shiftright("s", MARK_BITS - 3).cast("long").alias("bucket"), F.col("s").bitwiseAND((1 << (MARK_BITS - 3)) - 1).cast("long").alias("slot"))
+    table = np.zeros((1 << MARK_BITS) >> 3, dtype=np.uint8)
     step = len(table) >> 3
-    for r in marks.groupBy("bucket").applyInArrow(bits_of, _packed_schema(1)).toLocalIterator():  # 2^SLOT_BITS bits in all
+    for r in marks.groupBy("bucket").applyInArrow(bits_of, _packed_schema(1)).toLocalIterator():  # 2^MARK_BITS bits in all
         table[r["bucket"] * step : (r["bucket"] + 1) * step] = np.frombuffer(r["c0"], dtype=np.uint8)
     shared = spark.sparkContext.broadcast(table)
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marked = shared.value
         for batch in batches:
-            for a, b in slices_by_bytes(batch.column(0), 8 << 20):
+            for sets in _gathered(batch.column(0), words):
                 found: dict[int, bytes] = {}
-                for s in shingle_sets(list(text_views(batch.column(0).slice(a, b - a))), words):
+                for s in sets:
                     if len(s):
                         node = class_of(s)
-                        at = node >> (63 - SLOT_BITS)
+                        at = node >> (63 - MARK_BITS)
                         if marked[at >> 3] >> (at & 7) & 1:
                             found[node] = s.tobytes()
                 yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], names=["class", "set"])
+            del batch
+            give_back()
 
     sets = df.select(text_col).mapInArrow(sets_of, "class long, set binary").dropDuplicates(["class"])
-    rows = wanted.join(sets, "class").groupBy("tile", "i", "j").cogroup(placed.groupBy("tile", "i", "j"))
+    rows = wanted.join(sets, "class").groupBy(*where).cogroup(placed.groupBy(*where))
 
     def check(left: pa.Table, right: pa.Table) -> pa.Table:
         blobs = left.column("set").to_pylist()
@@ -350,25 +395,28 @@ def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     are in one component."""
     rows = materialise(_classes(df, id_col, text_col, words, carry), "classes")
     nodes = rows.where("class is not null").groupBy("class").agg(F.min(id_col).alias("least"))
+    sizes = rows.where("class is not null").groupBy("class").agg(F.first("n_shingles").alias("n"))
     total = rows.agg(F.sum("n_shingles")).first()[0] or 0
     if not total:
         return rows.select(id_col, "n_shingles", F.col(id_col).cast("long").alias("component_id"), *carry)
     found = _candidates(df, text_col, words, _count_table(df, text_col, words, total), total, t_num, t_den)
     pairs = materialise(found.where("b is not null").select("a", "b").distinct(), "pairs")
-    links = _settle(df, text_col, words, pairs, t_num, t_den) if pairs.take(1) else pairs
+    links = _settle(df, text_col, words, pairs, sizes, t_num, t_den) if pairs.take(1) else pairs
     joined = materialise(connected_components(links), "components")
     large = found.where("b is null").select("group", F.col("a").alias("node"), "n", "place").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = large.groupBy("group").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("group")
+    mixed = large.groupBy("group").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("blocks")).where("x <> y").select("group", "blocks")
+    own = large.join(mixed, "group").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    own = own.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
 
     def across(table: pa.Table) -> pa.Table:
-        node, n, place, component = (table.column(c).to_numpy() for c in ("node", "n", "place", "component"))
-        a, b = _pairs_of_group(node, n, place, t_num, t_den, component)
+        node, n, place, component, side = (table.column(c).to_numpy() for c in ("node", "n", "place", "component", "own"))
+        a, b = _pairs_of_group(node, n, place, t_num, t_den, component, side if table.column("i")[0].as_py() != table.column("j")[0].as_py() else None)
         return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
 
-    rest = large.join(mixed, "group").groupBy("group").applyInArrow(across, "a long, b long").distinct()
+    rest = own.select("group", "i", "j", "own", "node", "n", "place", "component").groupBy("group", "i", "j").applyInArrow(across, "a long, b long").distinct()
     rest = materialise(rest.join(pairs, ["a", "b"], "left_anti"), "across")
     if rest.take(1):
-        links = links.unionByName(_settle(df, text_col, words, rest, t_num, t_den))
+        links = links.unionByName(_settle(df, text_col, words, rest, sizes, t_num, t_den))
         joined = connected_components(links)
     least = nodes.join(joined.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     roots = least.groupBy("component").agg(F.min("least").alias("root"))
