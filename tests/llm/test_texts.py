@@ -260,7 +260,9 @@ def plain_components(rows):
     return {i: (len(sets[i]), find(i)) for i in sets}
 
 
-def test_jaccard(spark, odd, none):
+def test_jaccard(spark, odd, none, monkeypatch):
+    for name, value in (("GROUP", 10), ("TILE_PAIRS", 20), ("TILE_BYTES", 4096)):  # several blocks and parts
+        monkeypatch.setattr(jaccard, name, value)
     rng = random.Random(3)
     base = [rng.choice(VOCABULARY) for _ in range(60)]
     rows = []
