@@ -144,3 +144,22 @@ def load(path: str) -> Config:
 def relaxed(config: dict[str, float], floors: dict[str, tuple[str, float]]) -> list[str]:
     """Names of settings weaker than their production floor; floors: name -> ('>=' or '<=', value)."""
     return sorted(n for n, (op, v) in floors.items() if (config[n] < v if op == ">=" else config[n] > v))
+
+
+def missing(required: set[str] | tuple[str, ...], present: set[str] | dict) -> list[str]:
+    """Required names (sections, steps, parameters) that aren't present."""
+    return sorted(set(required) - set(present))
+
+
+def forbidden(names: set[str] | tuple[str, ...], present: set[str] | dict) -> list[str]:
+    """Names that must not be set but are."""
+    return sorted(set(names) & set(present))
+
+
+def check_relaxed(config: dict[str, float], floors: dict[str, tuple[str, float]], name: str, production_name: str, acknowledged: bool = False) -> list[str]:
+    """The relaxed settings; with any, the run has to acknowledge them and to go by another name than the production run's."""
+    weak = relaxed(config, floors)
+    if weak:
+        _check(acknowledged, f"weaker than in production, which has to be acknowledged: {', '.join(weak)}")
+        _check(name != production_name, f"a run with relaxed settings can't be named {production_name!r}")
+    return weak

@@ -74,14 +74,23 @@ def publish(requests: DataFrame, order: str, send: Callable[[list[dict]], int])
 
 def suppressed(requests: DataFrame, executions: DataFrame | None) -> DataFrame:
     """Requests with skipped and reason: a brand with an execution that still runs is not started again. No listing at all (None)
-    counts as running: it fails closed."""
+    counts as running: it fails closed. With execution_id and started_at among the executions' columns, the result has the execution_id
+    of the newest one that runs."""
     if executions is None:
         return requests.withColumn("skipped", F.lit(True)).withColumn("reason", F.lit("in_flight_execution"))
-    running = executions.where(F.col("status").isin(*TERMINAL_FREE)).select("brand").distinct().withColumn("_r", F.lit(True))
+    running = executions.where(F.col("status").isin(*TERMINAL_FREE))
+    if {"execution_id", "started_at"} <= set(executions.columns):
+        running = running.groupBy("brand").agg(F.max_by("execution_id", F.struct("started_at", "execution_id")).alias("execution_id")).withColumn("_r", F.lit(True))
+    else:
+        running = running.select("brand").distinct().withColumn("_r", F.lit(True))
     out = requests.join(running, "brand", "left")
     return out.withColumn("skipped", F.coalesce("_r", F.lit(False))).withColumn("reason", F.when(F.col("skipped"), F.lit("in_flight_execution"))).drop("_r")
 
 
+def newest_first(executions: DataFrame) -> DataFrame:
+    return executions.orderBy(F.desc("started_at"), F.desc("execution_id"))
+
+
 def training_events(requests: DataFrame, trigger: str = "upload") -> DataFrame:
     """(brand, detail): the event's JSON, keys in alphabetical order; coalesced_count only where it is set."""
     detail = F.to_json(F.struct("bucket", F.col("brand").alias("brand_id"), "coalesced_count", "key", F.lit(trigger).alias("trigger")))

@@ -4,20 +4,36 @@ from __future__ import annotations
 
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..storage import materialise
 
 
+def ranked(df: DataFrame, label_col: str, *order: Column) -> DataFrame:
+    """Rows with _rank from 1 within their class, and _n, the class's size.
+
+    Rows are dealt out by ranges of class and order, so that a class of any size is as many tasks as it needs; a row's rank is its place in
+    its part after the sizes of the parts before. What is ordered in one task is one row for each part of a class."""
+    keys = [f"_o{i}" for i in range(len(order))]
+    dealt = df.withColumns(dict(zip(keys, order))).repartitionByRange(label_col, *keys).withColumn("_part", F.spark_partition_id())
+    rows = materialise(dealt, "ranked")
+    parts = rows.groupBy(label_col, "_part").agg(F.count(F.lit(1)).alias("_in"))
+    within = Window.partitionBy(label_col)
+    before = F.coalesce(F.sum("_in").over(within.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = parts.select(F.col(label_col).alias("_l"), F.col("_part").alias("_p"), before.alias("_before"), F.sum("_in").over(within).alias("_n"))
+    place = F.row_number().over(Window.partitionBy(label_col, "_part").orderBy(*keys))
+    both = rows.withColumn("_place", place).join(parts, F.col(label_col).eqNullSafe(F.col("_l")) & (F.col("_part") == F.col("_p")))
+    return both.withColumn("_rank", F.col("_before") + F.col("_place")).drop("_l", "_p", "_part", "_place", "_before", *keys)
+
+
 def train_val_split(df: DataFrame, label_col: str, order_col: str, share: float = 0.2) -> DataFrame:
     """Rows with split: the first max(1, floor(n share)) of each class in order are 'val', the others 'train'. A class of one row would
     have no training row and is an error."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(label_col))
-    r = F.row_number().over(Window.partitionBy(label_col).orderBy(order_col))
+    n, r = F.col("_n"), F.col("_rank")
     n_val = F.greatest(F.lit(1), F.floor(n * F.lit(share)))
     split = F.when(n == 1, F.raise_error(F.concat(F.lit("class of one row: "), F.col(label_col).cast("string"))).cast("string")).when(r <= n_val, F.lit("val")).otherwise(F.lit("train"))
-    return df.withColumn("split", split)
+    return ranked(df, label_col, F.col(order_col)).withColumn("split", split).drop("_n", "_rank")
 
 
 def fold_count(df: DataFrame, label_col: str, most: int) -> int:
@@ -30,8 +46,8 @@ def fold_count(df: DataFrame, label_col: str, most: int) -> int:
 
 def stratified_folds(df: DataFrame, label_col: str, id_col: str, folds: int) -> DataFrame:
     """Rows with fold: within a class, rows in the order of a hash of the id are dealt in turn, so sizes differ by one at most."""
-    order = Window.partitionBy(label_col).orderBy(F.md5(F.col(id_col).cast("string").cast("binary")), id_col)
-    return df.withColumn("fold", F.pmod(F.row_number().over(order) - 1, F.lit(folds)).cast("int"))
+    rows = ranked(df, label_col, F.md5(F.col(id_col).cast("string").cast("binary")), F.col(id_col))
+    return rows.withColumn("fold", F.pmod(F.col("_rank") - 1, F.lit(folds)).cast("int")).drop("_n", "_rank")
 
 
 def classes_of(df: DataFrame, label_col: str) -> list[str]:

@@ -25,10 +25,10 @@ def json_records(spark: SparkSession, path: str, schema: T.StructType = MAPPING)
 
 
 def image_listing(spark: SparkSession, root: str) -> DataFrame:
-    """(path, key, last_modified, length) of image files at any depth; contents aren't read."""
+    """(path, key, last_modified, length) of image files at any depth, in order of the path; contents aren't read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     suffix = F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1))
-    return files.where(suffix.isin(*IMAGE_SUFFIXES)).select("path", F.element_at(F.split("path", "/"), -1).alias("key"), F.col("modificationTime").alias("last_modified"), "length")
+    return files.where(suffix.isin(*IMAGE_SUFFIXES)).orderBy("path").select("path", F.element_at(F.split("path", "/"), -1).alias("key"), F.col("modificationTime").alias("last_modified"), "length")
 
 
 def flat_listing(spark: SparkSession, root: str, now: Column) -> DataFrame:
@@ -50,15 +50,27 @@ def same_classes(a: DataFrame, b: DataFrame) -> bool:
 
 def predictions(spark: SparkSession, path: str) -> DataFrame:
     """JSON lines with label, prediction and an optional confidence. Blank lines are skipped; a line without a required key is an error
-    that names the file and the line; no line at all is an error."""
+    that names the file, the line's number and its text; no line at all is an error."""
     lines = spark.read.text(path).where(F.trim("value") != "").select("value", F.col("_metadata.file_path").alias("file"))
     if not lines.take(1):
         raise ValueError(f"no predictions in {path}")
     row = F.from_json("value", "label string, prediction string, confidence double", {"mode": "PERMISSIVE"})
     parsed = lines.withColumn("r", row)
     ok = F.col("r.label").isNotNull() & F.col("r.prediction").isNotNull()
-    said = F.raise_error(F.concat(F.lit("a prediction needs label and prediction: "), F.col("file"), F.lit(": "), F.col("value")))
-    return parsed.select(*(F.when(ok, F.col(f"r.{c}")).otherwise(said.cast(k)).alias(c) for c, k in (("label", "string"), ("prediction", "string"), ("confidence", "double"))))
+    wrong = parsed.where(~F.coalesce(ok, F.lit(False))).select("file", "value").first()
+    if wrong:
+        whole = spark.read.text(wrong["file"], wholetext=True).select(F.posexplode(F.split("value", "\r\n|\r|\n")).alias("i", "line"))
+        at = whole.where(F.col("line") == wrong["value"]).agg(F.min("i")).first()[0]
+        raise ValueError(f"a prediction needs label and prediction: {wrong['file']}, line {at + 1}: {wrong['value']}")
+    return parsed.select("r.label", "r.prediction", "r.confidence")
+
+
+def by_position(labels: DataFrame, rows: DataFrame) -> DataFrame:
+    """Two imports with a ``position`` each, side by side; a position that only one of them has is an error that names it."""
+    both = labels.withColumn("_l", F.lit(True)).join(rows.withColumn("_r", F.lit(True)), "position", "full")
+    lone = F.col("_l").isNull() | F.col("_r").isNull()
+    said = F.raise_error(F.concat(F.lit("only one of two imports has position "), F.col("position").cast("string"))).cast("long")
+    return both.withColumn("position", F.when(lone, said).otherwise(F.col("position"))).drop("_l", "_r")
 
 
 def matrix(spark: SparkSession, path: str) -> DataFrame:

@@ -55,6 +55,11 @@ def approval_event(report: DataFrame, brand: str, group: str, model_id: str, mod
     return report.select(F.to_json(F.struct(*(parts[k].alias(k) for k in sorted(parts))), {"ignoreNullFields": "false"}).alias("detail"))
 
 
+def registration_result(registry: DataFrame, model_uri: str, baseline_uri: str, path: str) -> None:
+    """What a registration gave, one JSON object: the registry's row with where model and baseline lie."""
+    json_lines(registry.select("*", F.lit(model_uri).alias("model_uri"), F.lit(baseline_uri).alias("baseline_uri")), path)
+
+
 def drift_signals(assessed: DataFrame) -> DataFrame:
     return assessed.select("endpoint", "ts", F.col("level").cast("int").alias("level"))
 

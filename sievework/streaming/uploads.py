@@ -35,20 +35,22 @@ def once_a_window(stream: DataFrame, seconds: int = 300, late: str = "10 minutes
 
 
 def suppress_running(stream: DataFrame) -> DataFrame:
-    """(brand, kind, skipped) for rows of (brand, kind, status): 'status' rows set a brand's state, 'request' rows are skipped while it
-    is running. State is one word a brand."""
+    """(brand, kind, skipped) for rows of (brand, kind, status, ts): 'status' rows set a brand's state, 'request' rows are skipped while it
+    is running. A micro-batch's rows of a brand are taken in the order of ts, a status before a request of the same time. State is one
+    word a brand."""
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         status = state.get[0] if state.exists else ""
         out = []
-        for frame in frames:
-            for kind, new in zip(frame["kind"], frame["status"]):
-                if kind == "status":
-                    status = new
-                else:
-                    out.append({"brand": key[0], "kind": kind, "skipped": status in events.TERMINAL_FREE})
-                    if status not in events.TERMINAL_FREE:
-                        status = "Executing"
+        rows = pd.concat([f[["ts", "kind", "status"]] for f in frames])
+        rows = rows.sort_values(["ts", "kind"], key=lambda c: c if c.name == "ts" else c != "status", kind="stable")
+        for kind, new in zip(rows["kind"], rows["status"]):
+            if kind == "status":
+                status = new
+            else:
+                out.append({"brand": key[0], "kind": kind, "skipped": status in events.TERMINAL_FREE})
+                if status not in events.TERMINAL_FREE:
+                    status = "Executing"
         state.update((status,))
         if out:
             yield pd.DataFrame(out)

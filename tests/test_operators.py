@@ -247,3 +247,45 @@ def test_readers(spark, tmp_path):
         assert readers.correction_rate(spark, str(tmp_path / "r.json")).first().reason == reason
     c = spark.createDataFrame([("d/epoch-2.weights.h5",), ("d/epoch-10.weights.h5",), ("d/other",)], "path string")
     assert readers.latest_checkpoint(c).first().epoch == 10
+
+
+def test_ranks_across_parts(spark):
+    """A class that lies in many parts is ranked as one; null classes too."""
+    rows = [(i, "hot" if i % 5 else ("rare" if i % 2 else None)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, label string").repartition(7)
+    got = {r.id: (r._rank, r._n) for r in folds.ranked(df, "label", F.col("id")).collect()}
+    for label in ("hot", "rare", None):
+        own = sorted(i for i, x in rows if x == label)
+        assert [got[i] for i in own] == [(k + 1, len(own)) for k in range(len(own))]
+
+
+def test_imports_by_position(spark):
+    labels, rows = (spark.createDataFrame([(i, v) for i, v in enumerate(x)], f"position long, {c}") for x, c in ((["a", "b"], "label string"), ([[0.1], [0.9]], "vector array<double>")))
+    assert [(r.position, r.label, r.vector) for r in readers.by_position(labels, rows).orderBy("position").collect()] == [(0, "a", [0.1]), (1, "b", [0.9])]
+    with pytest.raises(Exception, match="position 1"):
+        readers.by_position(labels, rows.limit(1)).collect()
+
+
+def test_prediction_lines(spark, tmp_path):
+    (tmp_path / "p.jsonl").write_text('{"label":"a","prediction":"a"}\n\n{"label":"a"}\n')
+    with pytest.raises(ValueError, match="p.jsonl, line 3"):
+        readers.predictions(spark, str(tmp_path / "p.jsonl"))
+
+
+def test_names_and_relaxed_settings():
+    from sievework import config
+
+    assert config.missing(("a", "b"), {"b": 1}) == ["a"] and config.forbidden(("a", "b"), {"b", "c"}) == ["b"]
+    floors = {"accuracy": (">=", 0.97)}
+    assert config.check_relaxed({"accuracy": 0.98}, floors, "run", "run") == []
+    with pytest.raises(ValueError, match="acknowledged"):
+        config.check_relaxed({"accuracy": 0.5}, floors, "smoke", "run")
+    with pytest.raises(ValueError, match="can't be named"):
+        config.check_relaxed({"accuracy": 0.5}, floors, "run", "run", True)
+    assert config.check_relaxed({"accuracy": 0.5}, floors, "smoke", "run", True) == ["accuracy"]
+
+
+def test_running_executions(spark):
+    runs = spark.createDataFrame([("b", "Executing", "e1", 1), ("b", "Executing", "e2", 2), ("b", "Succeeded", "e3", 3), ("c", "Failed", "e4", 4)], "brand string, status string, execution_id string, started_at long")
+    got = {r.brand: (r.skipped, r.execution_id) for r in events.suppressed(spark.createDataFrame([("b",), ("c",)], "brand string"), runs).collect()}
+    assert got == {"b": (True, "e2"), "c": (False, None)} and [r.execution_id for r in events.newest_first(runs).collect()] == ["e4", "e3", "e2", "e1"]

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import subprocess
 import sys
+import uuid
 from datetime import datetime
 
 import numpy as np
@@ -129,6 +130,45 @@ def test_streams(spark, tmp_path):
     assert [(r.brand, r.coalesced_count) for r in spark.table("req").collect()] == [("wc", 5)]
 
 
+def test_saved_model_and_registration(spark, tmp_path):
+    """Loaded again, the saved model predicts; the registration's result names it."""
+    from pyspark.ml.classification import RandomForestClassificationModel
+    from pyspark.ml.linalg import Vectors
+
+    now = datetime(2026, 1, 1)
+    inv = spark.createDataFrame([(str(i), f"wc_{'done' if i % 2 else 'not_done'}_0.{i:02d}.jpg", now) for i in range(40)], "id string, key string, last_modified timestamp")
+    payloads = spark.createDataFrame([(str(i), bytes([i % 2])) for i in range(40)], "id string, payload binary")
+    table = spark.createDataFrame([(str(i), [3.0 + i / 99 if i % 2 else -3.0, i / 7, 1.0]) for i in range(40)], "id string, embedding array<float>")
+    embed = lambda df: df.join(table, "id").withColumn("embedding_backend", F.lit("efficientnet"))
+    c = Config((Brand("wc", "wc_*", "group"),), dict(recency_months=6, min_per_class=2, target_min=4, target_max=100), Quality(0.05, 0.5, 1.0, 2), Evaluation(least_samples=1, least_per_class=1))
+    curation.run(inv, payloads, spark.createDataFrame([(0.1, 0.1)], "observed double, baseline double"), c, "wc", now, str(tmp_path), embed, "m1", trees=3, depth=2)
+    result = spark.read.json(str(tmp_path / "registration")).first()
+    assert (result.model, result.approval_status) == ("m1", "PendingManualApproval")
+    model = RandomForestClassificationModel.load(result.model_uri)
+    assert [model.predict(Vectors.dense(x, 1.0, 1.0)) for x in (3.0, -3.0)] == [0.0, 1.0]
+
+
+def test_stateful_streams(spark, tmp_path):
+    def run(rows, kind, build, mode="append"):
+        src = tmp_path / uuid.uuid4().hex
+        spark.createDataFrame(rows, kind).coalesce(1).write.json(str(src))
+        name = "s" + uuid.uuid4().hex
+        q = build(spark.readStream.schema(kind).json(str(src))).writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", str(src) + "-cp").trigger(availableNow=True).start()
+        uploads.wait(q, 120)
+        return spark.table(name)
+
+    at = lambda m: datetime(2026, 1, 1, 0, m)
+    rows = [("b", "request", None, at(1)), ("b", "status", "Succeeded", at(3)), ("b", "request", None, at(2)), ("b", "request", None, at(4)), ("c", "request", None, at(1))]
+    got = run(rows, "brand string, kind string, status string, ts timestamp", uploads.suppress_running)
+    assert sorted((r.brand, r.skipped) for r in got.collect()) == [("b", False), ("b", False), ("b", True), ("c", False)]
+    got = run([("b", at(1)), ("b", at(2)), ("b", at(7)), ("c", at(1))], "brand string, ts timestamp", uploads.once_a_window)
+    assert sorted((r.brand, r.window_number % 12) for r in got.collect()) == [("b", 0), ("b", 1), ("c", 0)]
+    got = run([("e", 1, at(1)), ("e", 3, at(2)), ("e", 0, at(7))], "endpoint string, level int, ts timestamp", uploads.alarms, "complete")
+    assert sorted((r.level, r.level1, r.level2, r.level3) for r in got.collect()) == [(0, False, False, False), (3, True, True, True)]
+    got = run([("b", at(1)), ("b", at(20)), ("b", at(59))], "brand string, ts timestamp", uploads.sessions, "complete")
+    assert sorted(r.n for r in got.collect()) == [1, 2]
+
+
 def test_entry_without_llm():
     """The entry module works where the training-data operators aren't installed."""
     code = "import sys; sys.modules['sievework.llm'] = None; sys.modules['corpus_pipeline'] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
