@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sievework.llm import bpe, jaccard, langid, license, packing, suffix, tokenfile, toxicity
-from sievework.llm.components import connected_components
+from sievework.llm.components import connected_components, forest
 from sievework.llm.tokens import CachedTokenizer
 
 RANKS, BYTES, WORDS, PIECES = (P.path(n) for n in ("byte_bpe_multi_50k.tiktoken", "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"))
@@ -283,6 +283,38 @@ def test_components(spark):
     assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100, 102: 100}
 
 
+def plain_reach(edges):
+    out = {x: x for e in edges for x in e if e[0] != e[1]}
+    while True:
+        before = dict(out)
+        for a, b in edges:
+            if a != b:
+                out[a] = out[b] = min(out[a], out[b])
+        if out == before:
+            return out
+
+
+@pytest.mark.parametrize("n, parts", [(60, 1), (60, 7), (300, 20)])
+def test_components_of_parts(spark, n, parts):
+    """Edges in many parts, repeated ones, both ways round, long paths and a star."""
+    rng = random.Random(n + parts)
+    edges = [(rng.randrange(n), rng.randrange(n)) for _ in range(n // 2)] + [(1000 + (i * 7) % n, 1000 + (i * 7 + 7) % n) for i in range(n - 5)]
+    edges += [(b, a) for a, b in edges[::3]] + [(5000, 5000 + i) for i in range(n)] + edges[:9]
+    table = spark.createDataFrame([*edges, (None, 3), (4, None)], "a long, b long").repartition(parts)
+    rows = connected_components(table).collect()
+    assert {r.node: r.component for r in rows} == plain_reach(edges)
+    assert len(rows) == len({r.node for r in rows})
+
+
+def test_forest():
+    rng = np.random.default_rng(3)
+    u, v = rng.integers(-500, 500, 400), rng.integers(-500, 500, 400)
+    node, root = forest(u, v)
+    reach = plain_reach(list(zip(u.tolist(), v.tolist())))
+    assert dict(zip(node.tolist(), root.tolist())) == {x: c for x, c in reach.items() if x != c}
+    assert not len(forest(u[:0], v[:0])[0])
+
+
 def plain_repeats(docs, length):
     seen, out = {}, {}
     for i, t in sorted(docs.items()):
