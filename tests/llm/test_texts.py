@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sievework.llm import bpe, jaccard, langid, license, packing, suffix, tokenfile, toxicity
+from sievework.llm import bpe, components, jaccard, langid, license, packing, suffix, tokenfile, toxicity
 from sievework.llm.components import connected_components, forest
 from sievework.llm.tokens import CachedTokenizer
 
@@ -306,6 +306,19 @@ def test_components_of_parts(spark, n, parts):
     assert len(rows) == len({r.node for r in rows})
 
 
+def test_components_of_many_batches(spark, monkeypatch):
+    """Shares that gain little start again, others go on; no edge is lost between them."""
+    monkeypatch.setattr(components, "AT_ONCE", 25)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        edges = [(i, i + 1) for i in range(90)] + [(200 + i % 5, 203) for i in range(60)] + [(90 - i, 300 + i) for i in range(40)]
+        rows = connected_components(spark.createDataFrame(edges, "a long, b long").coalesce(1)).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert {r.node: r.component for r in rows} == plain_reach(edges)
+
+
 def test_forest():
     rng = np.random.default_rng(3)
     u, v = rng.integers(-500, 500, 400), rng.integers(-500, 500, 400)
