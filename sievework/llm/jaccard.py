@@ -10,7 +10,8 @@
    bounded number of either. In it, hashed bitmaps of one bit a shingle bound the overlap from above, and what passes is settled by
    exact intersection of sorted arrays.
 5. Links join classes to components. Then the large groups are looked at again, in pairs of blocks: pairs that lie in different
-   components are all settled, others need not be. So no link between components is lost, and groups of copies never give all their pairs.
+   components are all looked at, others need not be. Bitmaps of a fixed width, which go with the sets, bound their overlap from above first,
+   so that only pairs that may link leave the task. No link between components is lost, and groups of copies never give all their pairs.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ SMALL = 8  # sets of one shingle that give all their pairs at once
 TILE_BYTES = 4 << 20  # of a block's sets, about
 TILE_PAIRS = 4_000  # pairs of a part of two blocks, about
 GROUP = 2_000  # sets of a block of a large group, about
+MAP_BITS = 11  # the bitmaps that go with the sets of large groups have 2^11 bits; above some 1,500 shingles they bound less and less
 SLICE_BYTES, GATHERED_BYTES = 1 << 20, 8 << 20  # texts that are hashed at once, and whose shingles are dealt out at once
 HUBS = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)]
 _base = 0x9E3779B97F4A7C15
@@ -85,6 +87,20 @@ def shingle_sets(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
     return out
 
 
+def bitmap(tokens: np.ndarray, bits: int) -> np.ndarray:
+    """``2^bits`` bits with those of the tokens set."""
+    out = np.zeros(max(1, (1 << bits) // 64), dtype=np.uint64)
+    at = tokens & np.uint64((1 << bits) - 1)
+    np.bitwise_or.at(out, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+    return out
+
+
+def most_shared(x: np.ndarray, na, y: np.ndarray, nb) -> np.ndarray:
+    """An upper bound of the overlap of sets of ``na`` and ``nb`` tokens by their bitmaps: every bit of one alone is a token the other lacks."""
+    alone = lambda p, q: np.bitwise_count(p & ~q).sum(axis=-1, dtype=np.int64)
+    return np.minimum(na - alone(x, y), nb - alone(y, x))
+
+
 def class_of(tokens: np.ndarray) -> int:
     """A signed 63-bit number that equal sets share."""
     with np.errstate(over="ignore"):
@@ -107,16 +123,23 @@ def _gathered(column: pa.Array, words: int) -> Iterator[list[np.ndarray]]:
 
 
 def _classes(df: DataFrame, id_col: str, text_col: str, words: int, carry: tuple[str, ...] = ()) -> DataFrame:
+    own = {"n_shingles": T.LongType(), "class": T.LongType(), "map": T.BinaryType()}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in slices_by_bytes(batch.column(1), SLICE_BYTES):
                 rows = batch.slice(a, b - a)
                 sets = shingle_sets(list(text_views(rows.column(1))), words)
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([class_of(s) if len(s) else None for s in sets], pa.int64()), *rows.columns[2:]], names=[id_col, "n_shingles", "class", *carry])
+                columns = [
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([class_of(s) if len(s) else None for s in sets], pa.int64()),
+                    pa.array([bitmap(s, MAP_BITS).tobytes() if len(s) else None for s in sets], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays([rows.column(0), *columns, *rows.columns[2:]], names=[id_col, *own, *carry])
             del batch
             give_back()
 
-    return df.select(id_col, text_col, *carry).mapInArrow(run, T.StructType([df.schema[id_col], T.StructField("n_shingles", T.LongType()), T.StructField("class", T.LongType()), *(df.schema[c] for c in carry)]))
+    return df.select(id_col, text_col, *carry).mapInArrow(run, T.StructType([df.schema[id_col], *(T.StructField(c, kind) for c, kind in own.items()), *(df.schema[c] for c in carry)]))
 
 
 def _packed(keys: np.ndarray, columns: list[np.ndarray], bits: int) -> pa.RecordBatch:
@@ -190,11 +213,14 @@ def _passes(na, pa_, nb, pb, t_num: int, t_den: int):
     return (t_den + t_num) * most >= t_num * (na + nb)
 
 
-def _pairs_of_group(node: np.ndarray, n: np.ndarray, place: np.ndarray, t_num: int, t_den: int, component: np.ndarray | None = None, side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of sets that share a shingle and pass the bounds; in different components and on different sides, if given. Sorted by
-    size: the partners of a set are a band after it."""
+def _pairs_of_group(
+    node: np.ndarray, n: np.ndarray, place: np.ndarray, t_num: int, t_den: int, component: np.ndarray | None = None, side: np.ndarray | None = None, maps: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of sets that share a shingle and pass the bounds; in different components, on different sides and with bitmaps that
+    leave enough overlap, if given. Sorted by size: the partners of a set are a band after it."""
     order = np.argsort(n, kind="stable")
     node, n, place = node[order], n[order], place[order]
+    component, side, maps = (None if x is None else x[order] for x in (component, side, maps))
     until = np.searchsorted(n, n * t_den // t_num, side="right")
     left, right = [], []
     for i in range(len(n) - 1):
@@ -202,10 +228,12 @@ def _pairs_of_group(node: np.ndarray, n: np.ndarray, place: np.ndarray, t_num: i
         if len(j):
             ok = _passes(n[i], place[i], n[j], place[j], t_num, t_den)
             if component is not None:
-                ok &= component[order[i]] != component[order[j]]
+                ok &= component[i] != component[j]
             if side is not None:
-                ok &= side[order[i]] != side[order[j]]
+                ok &= side[i] != side[j]
             j = j[ok]
+            if maps is not None and len(j):
+                j = j[(t_den + t_num) * most_shared(maps[i], n[i], maps[j], n[j]) >= t_num * (n[i] + n[j])]
             left.append(np.full(len(j), node[i]))
             right.append(node[j])
     if not left:
@@ -291,14 +319,6 @@ def _candidates(df: DataFrame, text_col: str, words: int, table: np.ndarray, tot
     return materialise(df.select(text_col).mapInArrow(deal, _packed_schema(4)).groupBy("bucket").applyInArrow(meet, schema), "candidates")
 
 
-def bitmap(tokens: np.ndarray, bits: int) -> np.ndarray:
-    """``2^bits`` bits with those of the tokens set."""
-    out = np.zeros(max(1, (1 << bits) // 64), dtype=np.uint64)
-    at = tokens & np.uint64((1 << bits) - 1)
-    np.bitwise_or.at(out, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
-    return out
-
-
 def _settle(df: DataFrame, text_col: str, words: int, pairs: DataFrame, sizes: DataFrame, t_num: int, t_den: int) -> DataFrame:
     """Those of the distinct candidate pairs (a, b) that link; ``sizes``: (class, n)."""
     spark = df.sparkSession
@@ -375,7 +395,7 @@ def _settle(df: DataFrame, text_col: str, words: int, pairs: DataFrame, sizes: D
                 if (x, band) not in maps:
                     maps[x, band] = bitmap(sets[x], band)
             x, y = maps[i, band], maps[j, band]
-            if min(na - int(np.bitwise_count(x & ~y).sum()), nb - int(np.bitwise_count(y & ~x).sum())) < need:
+            if most_shared(x, na, y, nb) < need:
                 continue
             both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
             if t_den * both >= t_num * (na + nb - both):
@@ -405,15 +425,19 @@ def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     joined = materialise(connected_components(links), "components")
     large = found.where("b is null").select("group", F.col("a").alias("node"), "n", "place").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = large.groupBy("group").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("blocks")).where("x <> y").select("group", "blocks")
-    own = large.join(mixed, "group").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    maps = rows.where("class is not null").groupBy(F.col("class").alias("node")).agg(F.first("map").alias("map"))
+    large = large.join(mixed, "group").join(maps, "node")
+    own = large.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     own = own.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
 
     def across(table: pa.Table) -> pa.Table:
         node, n, place, component, side = (table.column(c).to_numpy() for c in ("node", "n", "place", "component", "own"))
-        a, b = _pairs_of_group(node, n, place, t_num, t_den, component, side if table.column("i")[0].as_py() != table.column("j")[0].as_py() else None)
+        words_of = np.frombuffer(b"".join(table.column("map").to_pylist()), dtype=np.uint64).reshape(len(node), -1)
+        apart = table.column("i")[0].as_py() != table.column("j")[0].as_py()
+        a, b = _pairs_of_group(node, n, place, t_num, t_den, component, side if apart else None, words_of)
         return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
 
-    rest = own.select("group", "i", "j", "own", "node", "n", "place", "component").groupBy("group", "i", "j").applyInArrow(across, "a long, b long").distinct()
+    rest = own.select("group", "i", "j", "own", "node", "n", "place", "component", "map").groupBy("group", "i", "j").applyInArrow(across, "a long, b long").distinct()
     rest = materialise(rest.join(pairs, ["a", "b"], "left_anti"), "across")
     if rest.take(1):
         links = links.unionByName(_settle(df, text_col, words, rest, sizes, t_num, t_den))

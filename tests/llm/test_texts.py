@@ -277,6 +277,25 @@ def test_jaccard(spark, odd, none, monkeypatch):
     assert jaccard.components(odd).count() == len(ODD) and jaccard.components(none).count() == 0
 
 
+def test_bitmaps_bound_the_overlap():
+    """No pair that links is left out by its bitmaps, and pairs that share little are."""
+    rng = np.random.default_rng(5)
+    for n in (1, 5, 140, 3000):
+        for share in (0.0, 0.3, 0.75, 0.9, 1.0):
+            both = int(n * share)
+            x, y = (np.unique(rng.integers(0, 1 << 63, 2 * n, dtype=np.uint64))[:n] for _ in range(2))
+            y = np.unique(np.concatenate([x[:both], y[both:]]))
+            found = len(np.intersect1d(x, y))
+            maps = np.stack([jaccard.bitmap(s, jaccard.MAP_BITS) for s in (x, y)])
+            assert jaccard.most_shared(maps[0], len(x), maps[1], len(y)) >= found
+            args = np.array([1, 2]), np.array([len(x), len(y)]), np.array([0, 0]), 3, 4
+            pairs = list(zip(*jaccard._pairs_of_group(*args, maps=maps)))
+            if 4 * found >= 3 * (len(x) + len(y) - found):
+                assert len(pairs) == 1
+            elif n == 140 and share <= 0.3:
+                assert not pairs and len(jaccard._pairs_of_group(*args)[0]) == 1
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (102, 101), (7, 7)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
