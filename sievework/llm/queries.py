@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, jaccard, langid, license, nndescent, packing, suffix, tokenfile, toxicity
+from . import ann, bpe, fim, jaccard, langid, license, nndescent, packing, suffix, tokenfile, toxicity
 from .common import crc_of_text, new_path
 
 
@@ -75,5 +75,16 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.scan(table(spark, sf_dir, "documents"))
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's cut text, and of the text that is rebuilt from it."""
+    cut = fim.transform(table(spark, sf_dir, "documents"))
+    back = fim.restored(F.col("output"), F.col("form")).cast("binary")
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_cross_polytope_ann, op2_bpe_roundtrip, op3_best_fit_packing, op4_language_id, op5_token_files, op6_jaccard_join, op7_toxicity, op8_suffix_dedup, op9_embedding_near_dedup, op10_license_scan)}
+    every = (
+        op1_cross_polytope_ann, op2_bpe_roundtrip, op3_best_fit_packing, op4_language_id, op5_token_files, op6_jaccard_join, op7_toxicity, op8_suffix_dedup,
+        op9_embedding_near_dedup, op10_license_scan, op13_fill_in_middle,
+    )
+    return {f.__name__: f for f in every}

@@ -71,5 +71,17 @@ SELECT t.doc_id, CAST(length(t.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(remo
 FROM t LEFT JOIN kept USING (doc_id)"""
 
 
+def _fill_in_middle() -> str:
+    number = lambda i: f"CAST('0x' || substr(h, {8 * i + 1}, 8) AS BIGINT)"
+    return f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256('1:' || doc_id) AS h FROM documents),
+seeds AS (SELECT *, {number(0)} % (n + 1) AS x, {number(1)} % (n + 1) AS y,
+  CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR {number(2)} % 100 >= 90 THEN 'plain' WHEN {number(3)} % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM t),
+cuts AS (SELECT *, least(x, y) AS a, greatest(x, y) AS b FROM seeds),
+parts AS (SELECT *, '<P>' || substr(text, 1, a) AS p, '<S>' || substr(text, b + 1) AS s, '<M>' || substr(text, a + 1, b - a) AS m FROM cuts)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN p || s || m ELSE s || p || m END) AS output_sha256, sha256(text) AS restored_sha256 FROM parts"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_jaccard_join": _jaccard(), "op8_suffix_dedup": _repeats(), "op9_embedding_near_dedup": _near_vectors(), "op10_license_scan": _license()}
+    return {"op6_jaccard_join": _jaccard(), "op8_suffix_dedup": _repeats(), "op9_embedding_near_dedup": _near_vectors(), "op10_license_scan": _license(), "op13_fill_in_middle": _fill_in_middle()}
