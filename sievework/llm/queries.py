@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, fim, jaccard, langid, license, nndescent, packing, suffix, tokenfile, toxicity
+from . import ann, bpe, fim, jaccard, langid, license, nndescent, packing, periodic, suffix, tokenfile, toxicity
 from .common import crc_of_text, new_path
 
 
@@ -75,6 +75,35 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.scan(table(spark, sf_dir, "documents"))
 
 
+def with_planted_runs(documents: DataFrame) -> DataFrame:
+    """(doc_id, text): in documents whose h = crc32(doc_id as text) is a multiple of 10, words from some place on repeat those there."""
+    h = crc_of_text("doc_id")
+    g = F.floor(h / 10).cast("long")
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(0))
+
+    def planted(w):  # bound as a lambda's variable, or each word would split the text again
+        n = F.size(w)
+        a = F.pmod(g, n)
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        return F.array_join(F.transform(w, lambda x, i: F.when(i < a, x).otherwise(F.get(w, (a + F.pmod(i - a, p)).cast("int")))), " ")
+
+    text = F.get(F.transform(F.array(words), planted), F.lit(0))
+    return documents.select("doc_id", F.when((h % 10 == 0) & (F.size(words) > 0), text).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's longest run, and digests of all its runs and of the words that are left."""
+    found = periodic.runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    said = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"], F.lit("\n"))), "")
+    rows = found.withColumn("best", best)
+    return rows.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.period")).cast("long").alias("exponent_milli"), F.sha2(F.replace(said, F.lit(",\n"), F.lit("\n")).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2("kept", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's cut text, and of the text that is rebuilt from it."""
     cut = fim.transform(table(spark, sf_dir, "documents"))
@@ -85,6 +114,6 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_cross_polytope_ann, op2_bpe_roundtrip, op3_best_fit_packing, op4_language_id, op5_token_files, op6_jaccard_join, op7_toxicity, op8_suffix_dedup,
-        op9_embedding_near_dedup, op10_license_scan, op13_fill_in_middle,
+        op9_embedding_near_dedup, op10_license_scan, op11_periodic_runs, op13_fill_in_middle,
     )
     return {f.__name__: f for f in every}

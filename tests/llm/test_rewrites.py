@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
+import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sievework.llm import fim
+from sievework.llm import fim, periodic, queries
 
 
 def sha(data: bytes) -> str:
@@ -57,3 +59,93 @@ def test_fill_in_middle_of_other_bytes(spark):
     d = spark.range(40).select(F.col("id").alias("doc_id"), F.expr("cast(concat(X'80C3', cast(repeat('ab', int(id)) as binary), X'FFC3A9') as string)").alias("text"))
     rows = fim.transform(d).select("doc_id", "form", fim.restored(F.col("output"), F.col("form")).cast("binary").alias("back")).collect()
     assert all(bytes(r.back) == b"\x80\xc3" + b"ab" * r.doc_id + b"\xff\xc3\xa9" for r in rows) and {r.form for r in rows} == {"plain", "psm", "spm"}
+
+
+def plain_runs(w):
+    n, found = len(w), {}
+    for p in range(1, n // 4 + 1):
+        i = 0
+        while i + p < n:
+            j = i
+            while j + p < n and w[j] == w[j + p]:
+                j += 1
+            if j - i + p >= max(6, 4 * p):
+                found.setdefault((i, j - i + p), p)
+            i = j + 1
+    return sorted((s, n, p) for (s, n), p in found.items())
+
+
+def odd_words(rng):
+    w = [rng.choice("abcd"[: rng.randint(1, 4)]) for _ in range(rng.randint(0, 40))]
+    if rng.random() < 0.5 and w:
+        u = w[: rng.randint(1, 8)]
+        w = w[: rng.randint(0, len(w))] + u * rng.randint(1, 9) + u[: rng.randint(0, len(u))] + w[:5]
+    return w
+
+
+@pytest.mark.parametrize("at_once", [5, 1 << 20])
+def test_runs_equal_brute_force(monkeypatch, at_once):
+    monkeypatch.setattr(periodic, "AT_ONCE", at_once)
+    rng = random.Random(at_once)
+    for _ in range(300):
+        docs = [odd_words(rng) for _ in range(rng.randint(1, 5))]
+        sizes, runs, kept = periodic._batch([" ".join(d).encode() for d in docs])
+        assert sizes == [len(d) for d in docs] and runs == [plain_runs(d) for d in docs]
+        for d, own, rest in zip(docs, runs, kept):
+            gone = {i for s, n, p in own for i in range(s + p, s + n)}
+            assert rest == " ".join(x for i, x in enumerate(d) if i not in gone).encode()
+
+
+def test_extensions():
+    """Prefixes longer than what is compared word by word, in both branches, against plain comparison."""
+    rng = np.random.default_rng(3)
+    unit = rng.integers(0, 50, 300)
+    words = np.concatenate([unit, [99], unit, [98], unit[:200], rng.integers(0, 3, 200), unit[150:]])
+    e = periodic.Extensions(words, np.full(len(words), len(words)))
+    a = rng.integers(0, len(words), 3000)
+    b = rng.integers(0, len(words), 3000)
+    a, b = np.append(a[a != b], [0, 0, 301]), np.append(b[a != b], [301, 602, 602])
+    for x, y, n in zip(a.tolist(), b.tolist(), e(a, b).tolist()):
+        most = len(words) - max(x, y)
+        differ = np.flatnonzero(words[x : x + most] != words[y : y + most])
+        assert n == (differ[0] if len(differ) else most)
+    values = rng.integers(0, 1000, 1000).astype(np.int32)
+    least = periodic.RangeMinimum(values)
+    a = rng.integers(0, 1000, 2000)
+    b = np.minimum(a + rng.integers(0, 1000, 2000), 999)
+    assert least(a, b).tolist() == [values[x : y + 1].min() for x, y in zip(a, b)]
+
+
+def plain_op11(doc_id, text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    n, h = len(w), zlib.crc32(str(doc_id).encode())
+    if h % 10 == 0 and n:
+        a = h // 10 % n
+        p = 1 + (n - a) // (3 + h // 10 % 8)
+        w = [x if i < a else w[a + (i - a) % p] for i, x in enumerate(w)]
+    runs = plain_runs(w)
+    gone = {i for s, k, p in runs for i in range(s + p, s + k)}
+    s, k, p = max(runs, key=lambda r: (r[1], -r[0], -r[2])) if runs else (None, None, None)
+    said = "".join(f"{a},{b},{c}\n" for a, b, c in runs)
+    return doc_id, len(runs), s, k, p, 1000 * k // p if runs else None, sha(said.encode()), sha(" ".join(x for i, x in enumerate(w) if i not in gone).encode())
+
+
+def test_periodic_query(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [(i, " \n".join(odd_words(rng))) for i in range(300)] + [(300, None), (301, ""), (302, " \t"), (303, "a " * 3000), (304, "é 漢\x00 " * 9), (305, "b " * 6), (305, "b " * 6), (306, "b " * 5)]
+    spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, n_runs int").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(tuple(r) for r in queries.op11_periodic_runs(spark, str(tmp_path)).collect())
+    assert got == sorted((plain_op11(*r) for r in rows))
+    assert sum(zlib.crc32(str(i).encode()) % 10 == 0 for i, _ in rows) > 10
+
+
+def test_runs_of_odd_rows(spark):
+    rows = [(None, "a " * 8), (1, None), (2, "x y " * 5)]
+    d = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, runs string")
+    got = {r.doc_id: r for r in periodic.runs(d).collect()}
+    assert [tuple(x) for x in got[None].runs] == [(0, 8, 1)] and bytes(got[None].kept) == b"a"
+    assert got[1].runs == [] and got[1].n_words == 0 and bytes(got[1].kept) == b""
+    assert [tuple(x) for x in got[2].runs] == [(0, 10, 2)] and bytes(got[2].kept) == b"x y"
+    assert periodic.runs(d.limit(0)).count() == 0
+    bytes_only = spark.range(1).select(F.col("id").alias("doc_id"), F.expr("cast(repeat(cast(X'FF20' as string), 7) as string)").alias("text"))
+    assert [tuple(x) for x in periodic.runs(bytes_only).first().runs] == [(0, 7, 1)]
