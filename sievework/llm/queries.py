@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, fim, jaccard, langid, license, nndescent, packing, periodic, suffix, tokenfile, toxicity
+from . import ann, bpe, fim, jaccard, langid, license, nndescent, packing, periodic, recompress, suffix, tokenfile, toxicity
 from .common import crc_of_text, new_path
 
 
@@ -104,6 +104,13 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_recompression_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document repeated windows cover, and a digest of the others."""
+    kept = recompress.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return kept.select("doc_id", "n_words", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's cut text, and of the text that is rebuilt from it."""
     cut = fim.transform(table(spark, sf_dir, "documents"))
@@ -114,6 +121,6 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_cross_polytope_ann, op2_bpe_roundtrip, op3_best_fit_packing, op4_language_id, op5_token_files, op6_jaccard_join, op7_toxicity, op8_suffix_dedup,
-        op9_embedding_near_dedup, op10_license_scan, op11_periodic_runs, op13_fill_in_middle,
+        op9_embedding_near_dedup, op10_license_scan, op11_periodic_runs, op12_recompression_dedup, op13_fill_in_middle,
     )
     return {f.__name__: f for f in every}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import license, suffix
+from . import license, recompress, suffix
 
 
 def _license() -> str:
@@ -83,5 +83,22 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CA
   sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN p || s || m ELSE s || p || m END) AS output_sha256, sha256(text) AS restored_sha256 FROM parts"""
 
 
+def _repeated_windows() -> str:
+    """Every window of words as one string, with the place where it starts first; ranges are merged as islands."""
+    n = recompress.WINDOW
+    return f"""
+WITH t AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS MATERIALIZED (SELECT doc_id, i, hash(array_to_string(w[i + 1:i + {n}], ' ')) AS k FROM (SELECT doc_id, w, unnest(range(0, len(w) - {n - 1})) AS i FROM t WHERE len(w) >= {n})),
+gone AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS r FROM windows) WHERE r > 1),
+heads AS (SELECT doc_id, i, CASE WHEN i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + {n} OR lag(i) OVER (PARTITION BY doc_id ORDER BY i) IS NULL THEN 1 ELSE 0 END AS head FROM gone),
+islands AS (SELECT doc_id, i, sum(head) OVER (PARTITION BY doc_id ORDER BY i) AS island FROM heads),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + {n} AS b FROM islands GROUP BY doc_id, island),
+ends AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before, max(b) OVER (PARTITION BY doc_id) AS last FROM spans),
+kept AS (SELECT t.doc_id, list_concat(flatten(list(w[before + 1:a] ORDER BY a)), any_value(w)[any_value(last) + 1:]) AS w, sum(b - a) AS removed, count(*) AS spans FROM ends JOIN t USING (doc_id) GROUP BY t.doc_id)
+SELECT t.doc_id, CAST(len(t.w) AS BIGINT) AS n_words, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+  sha256(array_to_string(coalesce(kept.w, t.w), ' ')) AS kept_sha256
+FROM t LEFT JOIN kept USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_jaccard_join": _jaccard(), "op8_suffix_dedup": _repeats(), "op9_embedding_near_dedup": _near_vectors(), "op10_license_scan": _license(), "op13_fill_in_middle": _fill_in_middle()}
+    return {"op6_jaccard_join": _jaccard(), "op8_suffix_dedup": _repeats(), "op9_embedding_near_dedup": _near_vectors(), "op10_license_scan": _license(), "op12_recompression_dedup": _repeated_windows(), "op13_fill_in_middle": _fill_in_middle()}

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sievework.llm import fim, periodic, queries
+from sievework.llm import fim, periodic, queries, recompress
 
 
 def sha(data: bytes) -> str:
@@ -149,3 +149,66 @@ def test_runs_of_odd_rows(spark):
     assert periodic.runs(d.limit(0)).count() == 0
     bytes_only = spark.range(1).select(F.col("id").alias("doc_id"), F.expr("cast(repeat(cast(X'FF20' as string), 7) as string)").alias("text"))
     assert [tuple(x) for x in periodic.runs(bytes_only).first().runs] == [(0, 7, 1)]
+
+
+def plain_windows(docs, n):
+    """{(id, text): starts of windows that also start earlier}; rows with one id and text are one document."""
+    first, out = {}, {}
+    for i, text in sorted({(i, t or "") for i, t in docs if i is not None}):
+        w = text.encode().split()
+        own = [tuple(w[k : k + n]) for k in range(len(w) - n + 1)]
+        out[i, text] = [k for k, x in enumerate(own) if first.setdefault(x, (i, text, k)) != (i, text, k)]
+    return out
+
+
+def test_symbols_hang_on_their_context():
+    """Each interior symbol of a window is there wherever the window stands, at any level; names of different words differ."""
+    rng = random.Random(4)
+    core = [rng.choice(["a", "a", "b", "c%d" % rng.randint(0, 9)]) for _ in range(60)]
+    texts = [" ".join([rng.choice("abc") for _ in range(rng.randint(0, 9))] + core + [rng.choice("abc") for _ in range(rng.randint(0, 9))]).encode() for _ in range(20)] + [b"", b"a"]
+    words = recompress.Words(texts)
+    at = [next(k for k in range(len(w)) if w[k : k + 60] == [c.encode() for c in core]) for w in words.lists[:20]]
+    seen = 0
+    for _, s in recompress.levels(words, 6):
+        for start in range(0, 40):
+            found = []
+            for d, a in enumerate(at):
+                x = int(words.begin[np.searchsorted(words.doc, d)]) + a + start
+                inner = (s.low >= x) & (s.high <= x + recompress.WINDOW)
+                found.append([(int(n), int(p) - x) for n, p in zip(s.name[inner], s.at[inner])])
+            assert all(f == found[0] for f in found)
+            seen += len(found[0])
+        assert (np.diff(s.low) >= 0).all() and (np.diff(s.high) >= 0).all()
+    assert seen > 500
+
+
+@pytest.mark.parametrize("slice_bytes", [64, 1 << 20])
+def test_recompression_equals_brute_force(spark, monkeypatch, slice_bytes):
+    monkeypatch.setattr(recompress, "SLICE_BYTES", slice_bytes)
+    rng = random.Random(9)
+    pool = ["w%d" % i for i in range(300)]
+    text = lambda n: [rng.choice(pool) for _ in range(n)]
+    passages = [text(rng.randint(18, 90)) for _ in range(5)] + [["a"] * 45, ["a", "b"] * 30, ["a", "b", "c"] * 21]
+    rows = []
+    for i in range(120):
+        w = text(rng.randint(0, 30))
+        for _ in range(rng.randint(0, 3)):
+            p = rng.choice(passages)
+            a = rng.randint(0, 10)
+            w += p[a : len(p) - rng.randint(0, 10)] + text(rng.randint(0, 25))
+        rows.append((i, " ".join(w)))
+    rows += [(200, rows[5][1]), (201, rows[5][1]), (201, rows[5][1]), (202, None), (203, ""), (204, "x\ty\nz"), (None, rows[5][1]), (205, "q " * 3000), (206, " ".join(text(5000)))]
+    # one id, different texts: what is alone stays
+    one, other = " ".join(text(40)), " ".join(text(200))
+    rows += [(300, one), (301, " ".join(text(60)) + " " + one), (301, other)]
+    d = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, spans string").repartition(4)
+    got = recompress.remove_repeats(d).collect()
+    expected = plain_windows(rows, recompress.WINDOW)
+    want = []
+    for i, t in rows:
+        w = (t or "").encode().split()
+        gone = {k + j for k in expected.get((i, t or ""), ()) for j in range(recompress.WINDOW)}
+        want.append((repr(i), len(w), len(gone), b" ".join(x for k, x in enumerate(w) if k not in gone)))
+    assert sorted((repr(r.doc_id), r.n_words, sum(s.end - s.start for s in r.spans), bytes(r.kept)) for r in got) == sorted(want)
+    assert other.encode() in {bytes(r.kept) for r in got if r.doc_id == 301}
+    assert recompress.remove_repeats(d.limit(0)).count() == 0
