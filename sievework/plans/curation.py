@@ -50,7 +50,8 @@ def run(inventory: DataFrame, payloads: DataFrame, rates: DataFrame, config: Con
     """One brand's run. ``payloads``: (id, payload); ``rates``: one row (observed, baseline). A gate that fails raises after its metrics
     have been written under ``out``; later stages then never run. Ids must be integers written as text.
 
-    The model is saved under ``out``/model, and the registration's result beside it. It learns from the split's training rows; every cleaned row that has a file is evaluated. The files are the payloads that
+    The model is saved under ``out``/models by brand and id, and the registration's result in ``out``/registration. Registry and baselines
+    keep the rows of other brands and models. The model learns from the split's training rows; every cleaned row that has a file is evaluated. The files are the payloads that
     aren't null: a row of the manifest without one counts as a missing image, and any of them fails the evaluation."""
     s = config.selection_of(brand)
     manifest = materialise(selection.select_curated(inventory, s, now), "manifest")
@@ -73,7 +74,8 @@ def run(inventory: DataFrame, payloads: DataFrame, rates: DataFrame, config: Con
     index = F.array_position(F.array(*map(F.lit, classes)), F.col("label")) - 1
     data = split.withColumn("_x", array_to_vector(F.col("embedding").cast("array<double>"))).withColumn("_y", index.cast("double"))
     model = RandomForestClassifier(featuresCol="_x", labelCol="_y", numTrees=trees, maxDepth=depth, seed=config.quality.seed).fit(data.where("split = 'train'"))
-    model.write().overwrite().save(f"{out}/model")
+    model_path = f"{out}/models/{brand}/{model_id}"
+    model.write().overwrite().save(model_path)
     name = F.element_at(F.array(*map(F.lit, classes)), F.col("prediction").cast("int") + 1)
     files = payloads.where("payload is not null").select("id")
     scored = timed(model, data.join(files.distinct(), "id", "left_semi"))
@@ -83,8 +85,7 @@ def run(inventory: DataFrame, payloads: DataFrame, rates: DataFrame, config: Con
     report = materialise(evaluation.report(facts, config.evaluation), "report")
     sinks.json_lines(report, f"{out}/evaluation")
     sinks.metrics_then_check(facts, f"{out}/evaluation_metrics", gates.evaluation(config))
-    registry = sinks.registration(brand, config.brand(brand).model_package_group, model_id, report)
-    sinks.table(registry, f"{out}/registry")
-    sinks.registration_result(registry, f"{out}/model", f"{out}/baselines", f"{out}/registration")
-    sinks.table(sinks.baseline(report, brand, model_id, now.isoformat()), f"{out}/baselines", ("brand", "model"))
+    registry = sinks.registration(brand, config.brand(brand).model_package_group, model_id, report, now.isoformat())
+    sinks.register(registry, sinks.baseline(report, brand, model_id, now.isoformat()), out, f"{brand}-{model_id}")
+    sinks.registration_result(registry, model_path, f"{out}/baselines", f"{out}/registration/{brand}/{model_id}")
     return Outcome(manifest, flagged, report, registry, levels)

@@ -142,7 +142,7 @@ def test_saved_model_and_registration(spark, tmp_path):
     embed = lambda df: df.join(table, "id").withColumn("embedding_backend", F.lit("efficientnet"))
     c = Config((Brand("wc", "wc_*", "group"),), dict(recency_months=6, min_per_class=2, target_min=4, target_max=100), Quality(0.05, 0.5, 1.0, 2), Evaluation(least_samples=1, least_per_class=1))
     curation.run(inv, payloads, spark.createDataFrame([(0.1, 0.1)], "observed double, baseline double"), c, "wc", now, str(tmp_path), embed, "m1", trees=3, depth=2)
-    result = spark.read.json(str(tmp_path / "registration")).first()
+    result = spark.read.json(str(tmp_path / "registration" / "wc" / "m1")).first()
     assert (result.model, result.approval_status) == ("m1", "PendingManualApproval")
     model = RandomForestClassificationModel.load(result.model_uri)
     assert [model.predict(Vectors.dense(x, 1.0, 1.0)) for x in (3.0, -3.0)] == [0.0, 1.0]
