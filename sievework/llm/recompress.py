@@ -8,12 +8,11 @@ A word goes if ``WINDOW`` consecutive words that cover it also start earlier: in
    all has that symbol wherever it stands: equal windows have equal interior symbols.
 3. After each Spark round a bit array of bounded size tells which names occur more than once in the corpus (a wrong bit only costs work).
    Windows with an interior symbol that is alone can't repeat; the stretches of text that hold the others are written for the next round.
-4. A window that is left goes by its highest interior symbol, the first of several. Windows next to each other with one such symbol are a
-   stretch. Stretches are compared as a whole by (symbol, digest of their words), and of each that occurs, only the first occurrence goes on
-   to be compared window by window, where its symbol has several stretches. Symbols and words have independent 64-bit digests, so that
-   what counts as equal agrees in 128 bits.
-
-Everything that is gathered is aggregated before it is shuffled; no task gathers the places of a symbol.
+4. A window that is left goes by its highest interior symbol, of several the one with the least name. Windows next to each other with one
+   such symbol are a stretch. Stretches are dealt out by symbol, once for each slice of text and content, and compared as a whole by (symbol, digest of their
+   words); the first occurrence of each is compared window by window with the symbol's other stretches. Symbols and words have independent
+   64-bit digests, so that what counts as equal agrees in 128 bits.
+5. Symbols with more than ``HOT_ROWS`` stretches aren't gathered: theirs are compared in aggregations and joins.
 """
 
 from __future__ import annotations
@@ -31,7 +30,10 @@ from pyspark.sql import types as T
 from .common import give_back, materialise, mix64, slices_by_bytes, text_views
 
 WINDOW = 20
-ROUNDS = ((1, 2), (3, 4), (5, 6))  # levels that are counted in each Spark round
+ROUNDS = ((2,), (4,))  # levels that are counted in each Spark round
+RUNS_BEFORE = (1, 3, 5)  # levels before whose pairs runs are named
+ANCHOR_LEVEL = 4
+HOT_ROWS = 1 << 20  # so many stretches of 100 bytes or so fit a task; no more than one symbol in as many rows has more
 MOST_TABLE_BITS, MOST_BUCKET_BITS = 28, 18  # 32 MB of bits at most are sent to the executors
 SLICE_BYTES = 1 << 20
 _left, _right, _run, _base = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
@@ -123,13 +125,13 @@ def named_pairs(words: Words, s: Level, level: int) -> Level:
 
 
 def levels(words: Words, most: int) -> Iterator[tuple[int, Level]]:
-    """(number, symbols) of the levels 0 to ``most``. Runs are named when a round begins, not before each level, as symbols then depend on more
-    words; neighbours that are equal are of the same side and never pair."""
+    """(number, symbols) of the levels 0 to ``most``. Runs aren't named before each level, as symbols then depend on more words; neighbours that are
+    equal are of the same side and never pair."""
     place = np.arange(len(words.name))
     s = Level(words.name, place, place, place + 1)
     yield 0, s
     for k in range(1, most + 1):
-        s = named_pairs(words, named_runs(words, s) if k in {counted[0] for counted in ROUNDS} else s, k)
+        s = named_pairs(words, named_runs(words, s) if k in RUNS_BEFORE else s, k)
         yield k, s
 
 
@@ -222,77 +224,130 @@ def _round(rows: DataFrame, counted: tuple[int, ...], size: int) -> DataFrame:
             del batch
             give_back()
 
-    return materialise(rows.mapInArrow(keep, "id long, digest long, start long, text binary"), "round")
+    return rows.mapInArrow(keep, "id long, digest long, start long, text binary")
 
 
-def _anchors(words: Words, alive: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """(name, place) of the highest interior symbol of each window, the first of several."""
+def _anchors(words: Words, alive: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(name, place) of the highest interior symbol of each window, of several the one with the least salted name, and of equal ones the first."""
     name, place = np.zeros(len(alive), dtype=np.uint64), np.zeros(len(alive), dtype=np.int64)
-    for k, s in levels(words, most):
-        if len(s.at):
-            at = np.minimum(np.searchsorted(s.low, alive), len(s.at) - 1)
-            fits = (s.low[at] >= alive) & (s.high[at] <= alive + WINDOW)
-            name[fits] = _salted(s.name[at[fits]], k)
-            place[fits] = s.at[at[fits]] * (most + 1) + k
+    for k, s in levels(words, ANCHOR_LEVEL):
+        if not len(s.at):
+            continue
+        salted = _salted(s.name, k)
+        first, stop = np.searchsorted(s.low, alive), np.searchsorted(s.high, alive + WINDOW, side="right")
+        fits = np.flatnonzero(first < stop)
+        first, stop = first[fits], stop[fits]
+        best = first.copy()
+        for step in range(1, int((stop - first).max(initial=0))):
+            at = np.minimum(first + step, stop - 1)
+            best = np.where(salted[at] < salted[best], at, best)
+        name[fits] = salted[best]
+        place[fits] = s.at[best] * (ANCHOR_LEVEL + 1) + k
     return name, place
 
 
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stretches of windows by their symbol; of equal ones in a slice only the first goes on, the others are repeats already (no symbol)."""
-    most = max(k for counted in ROUNDS for k in counted)
+def _merged(own: np.ndarray, text: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Ranges of one text that touch, as one; ends ascend with starts."""
+    by = np.lexsort((end, start, text, own))
+    own, text, start, end = own[by], text[by], start[by], end[by]
+    head = np.ones(len(by), dtype=bool)
+    head[1:] = (own[1:] != own[:-1]) | (text[1:] != text[:-1]) | (start[1:] > end[:-1])
+    first = np.flatnonzero(head)
+    last = np.append(first[1:], len(by)) - 1 if len(first) else first
+    return own[first], text[first], start[first], end[last]
+
+
+def _firsts(place: tuple[np.ndarray, ...], a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows that are the first of their two keys, in order; rows that are later ones). A row at the same place as the first isn't later."""
+    own, text, start = place
+    by = np.lexsort((start, text, own, b, a))
+    same = np.zeros(len(by), dtype=bool)
+    same[1:] = (a[by[1:]] == a[by[:-1]]) & (b[by[1:]] == b[by[:-1]])
+    lead = by[np.maximum.accumulate(np.where(same, 0, np.arange(len(by))))]
+    again = (own[by] != own[lead]) | (text[by] != text[lead]) | (start[by] != start[lead])
+    return np.sort(by[~same]), by[same & again]
+
+
+STRETCHES = "symbol long, content long, id long, digest long, start long, end long, windows binary"
+RANGES = "id long, digest long, start long, end long"
+
+
+def _stretched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stretches of windows by their interior symbol, with the digests of their windows. Of equal ones in a slice the first travels; the others
+    are repeats already, and come as merged ranges without a symbol."""
     for batch in batches:
         for a, b in slices_by_bytes(batch.column(3), SLICE_BYTES):
             part = batch.slice(a, b - a)
             words = Words(list(text_views(part.column(3))))
-            place = np.arange(len(words.name))
-            alive = np.flatnonzero(place + WINDOW <= words.end)
+            alive = np.flatnonzero(np.arange(len(words.name)) + WINDOW <= words.end)
             if not len(alive):
                 continue
-            name, symbol = _anchors(words, alive, most)
+            name, symbol = _anchors(words, alive)
             first, last = _stretches_of(words, alive, symbol)
             x, y = alive[first], alive[last] + WINDOW
-            doc, symbol, content = words.doc[x], name[first], words.digest(x, y)
-            own, text = (part.column(i).to_numpy(zero_copy_only=False)[doc] for i in (0, 1))
-            start = part.column(2).to_numpy(zero_copy_only=False)[doc] + x - words.begin[x]
-            by = np.lexsort((start, text, own, content, symbol))
-            same = np.zeros(len(by), dtype=bool)
-            same[1:] = (symbol[by[1:]] == symbol[by[:-1]]) & (content[by[1:]] == content[by[:-1]])
+            doc, keys = words.doc[x], (name[first], words.digest(x, y))
+            own, text, start = (part.column(i).to_numpy(zero_copy_only=False)[doc] for i in range(3))
+            start = start + x - words.begin[x]
+            new, later = _firsts((own, text, start), *keys)
+            gone = _merged(*(v[later] for v in (own, text, start, start + y - x)))
             windows = words.digest(alive, alive + WINDOW).astype("<u8")
-            lead = by[np.maximum.accumulate(np.where(same, 0, np.arange(len(by))))]
-            again = (own[by] != own[lead]) | (text[by] != text[lead]) | (start[by] != start[lead])  # not the same document once more
-            new, gone = by[~same], by[same & again]
-            none = [None] * len(gone)
-            blobs = [windows[i : j + 1].tobytes() for i, j in zip(first[new].tolist(), last[new].tolist())]
-            both = np.concatenate([new, gone])
-            columns = [pa.array([*symbol[new].astype(np.int64).tolist(), *none], pa.int64()), pa.array([*content[new].astype(np.int64).tolist(), *none], pa.int64())]
-            columns += [pa.array(own[both], pa.int64()), pa.array(text[both], pa.int64()), pa.array(start[both], pa.int64()), pa.array((start + y - x)[both], pa.int64()), pa.array([*blobs, *none], pa.binary())]
+            none = [None] * len(gone[0])
+            columns = [pa.array([*k[new].astype(np.int64).tolist(), *none], pa.int64()) for k in keys]
+            columns += [pa.array(np.concatenate([v[new], g]), pa.int64()) for v, g in zip((own, text, start, start + y - x), gone)]
+            columns.append(pa.array([*(windows[i : j + 1].tobytes() for i, j in zip(first[new].tolist(), last[new].tolist())), *none], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, names=["symbol", "content", "id", "digest", "start", "end", "windows"])
         del batch
         give_back()
 
 
+def _settled(table: pa.Table) -> pa.Table:
+    """Ranges of all stretches of some symbols that are repeats, as a whole or window by window."""
+    symbol, content, own, text, start, end = (table.column(i).to_numpy() for i in range(6))
+    new, later = _firsts((own, text, start), symbol, content)
+    blobs = table.column(6).take(pa.array(new)).to_pylist()
+    n = np.array([len(b) // 8 for b in blobs], dtype=np.int64)
+    window = np.frombuffer(b"".join(blobs), dtype="<u8")
+    row = np.repeat(new, n)
+    at = start[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    again = _firsts((own[row], text[row], at), symbol[row], window)[1]
+    both = [np.concatenate([v[later], w[again]]) for v, w in ((own, own[row]), (text, text[row]), (start, at), (end, at + WINDOW))]
+    return pa.table([pa.array(v, pa.int64()) for v in _merged(*both)], names=["id", "digest", "start", "end"])
+
+
+def _settled_by_joins(stretches: DataFrame) -> DataFrame:
+    """The same without gathering a symbol's stretches."""
+    place = F.struct("id", "digest", "start")
+    firsts = materialise(stretches.groupBy("symbol", "content").agg(F.min(place).alias("first"), F.min_by("windows", place).alias("windows")), "firsts")
+    later = stretches.drop("windows").join(firsts.drop("windows"), ["symbol", "content"]).where(place > F.col("first")).select("id", "digest", "start", "end")
+    n = (F.octet_length("windows") / 8).cast("int")
+    each = firsts.select("symbol", "first", "windows", F.explode(F.sequence(F.lit(0), n - 1)).alias("k"))
+    at = F.struct("first.id", "first.digest", (F.col("first.start") + F.col("k")).alias("start"))
+    each = materialise(each.select("symbol", F.substring("windows", F.col("k") * 8 + 1, F.lit(8)).alias("window"), at.alias("at")), "windows")
+    least = each.groupBy("symbol", "window").agg(F.min("at").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    return later.unionByName(each.join(least, ["symbol", "window"]).where("at > least").select("at.id", "at.digest", "at.start", (F.col("at.start") + WINDOW).alias("end")))
+
+
 def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, digest, start, end): ranges of words that repeated windows cover, of the text of that id and digest; they may overlap."""
     rows = df.where(F.col(id_col).isNotNull() & (F.octet_length(text_col) >= 2 * WINDOW - 1))
     rows = rows.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("digest"), F.lit(0).cast("long").alias("start"), F.col(text_col).cast("binary").alias("text"))
-    for counted in ROUNDS:
+    for number, counted in enumerate(ROUNDS):
         size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         rows = _round(rows, counted, size)
-    found = materialise(rows.mapInArrow(_compared, "symbol long, content long, id long, digest long, start long, end long, windows binary"), "stretches")
-    place = F.struct("id", "digest", "start")
-    open_ = found.where("symbol is not null")
-    firsts = open_.groupBy("symbol", "content").agg(F.min(place).alias("first"), F.min_by("windows", place).alias("windows"))
-    firsts = materialise(firsts, "firsts")
-    later = open_.join(firsts.select("symbol", "content", "first"), ["symbol", "content"]).where(place > F.col("first"))
-    several = firsts.groupBy("symbol").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    each = firsts.join(several, "symbol", "left_semi")
-    n = (F.octet_length("windows") / 8).cast("int")
-    each = each.select("symbol", "first", "windows", F.explode(F.sequence(F.lit(0), n - 1)).alias("k"))
-    each = materialise(each.select("symbol", F.substring("windows", F.col("k") * 8 + 1, F.lit(8)).alias("window"), F.struct("first.id", "first.digest", (F.col("first.start") + F.col("k")).alias("start")).alias("at")), "windows")
-    least = each.groupBy("symbol", "window").agg(F.min("at").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    ranges = [found.where("symbol is null").select("id", "digest", "start", "end"), later.select("id", "digest", "start", "end")]
-    ranges.append(each.join(least, ["symbol", "window"]).where("at > least").select("at.id", "at.digest", "at.start", (F.col("at.start") + WINDOW).alias("end")))
-    return ranges[0].unionByName(ranges[1]).unionByName(ranges[2])
+        if number + 1 < len(ROUNDS):
+            rows = materialise(rows, "round")
+    found = materialise(rows.mapInArrow(_stretched, STRETCHES), "stretches")
+    gone = found.where("symbol is null").select("id", "digest", "start", "end")
+    stretches = found.where("symbol is not null")
+    hot = stretches.groupBy("symbol").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_ROWS).select("symbol")
+    hot = materialise(hot, "hot")
+    buckets = max(1, stretches.count() // (1 << 16))
+    cold = stretches.join(F.broadcast(hot), "symbol", "left_anti").withColumn("bucket", F.pmod(F.xxhash64("symbol"), F.lit(buckets)))  # one symbol in HOT_ROWS rows at most
+    settled = cold.groupBy("bucket").applyInArrow(lambda table: _settled(table.drop_columns(["bucket"])), RANGES)
+    out = gone.unionByName(settled)
+    if hot.take(1):
+        out = out.unionByName(_settled_by_joins(stretches.join(F.broadcast(hot), "symbol", "left_semi")))
+    return out
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -182,9 +182,10 @@ def test_symbols_hang_on_their_context():
     assert seen > 500
 
 
-@pytest.mark.parametrize("slice_bytes", [64, 1 << 20])
-def test_recompression_equals_brute_force(spark, monkeypatch, slice_bytes):
+@pytest.mark.parametrize(("slice_bytes", "hot_rows"), [(64, 1 << 20), (1 << 20, 1 << 20), (64, 2)])
+def test_recompression_equals_brute_force(spark, monkeypatch, slice_bytes, hot_rows):
     monkeypatch.setattr(recompress, "SLICE_BYTES", slice_bytes)
+    monkeypatch.setattr(recompress, "HOT_ROWS", hot_rows)
     rng = random.Random(9)
     pool = ["w%d" % i for i in range(300)]
     text = lambda n: [rng.choice(pool) for _ in range(n)]
