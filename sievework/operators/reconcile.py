@@ -10,6 +10,10 @@ class ChecksumMismatch(RuntimeError):
     pass
 
 
+class CountMismatch(RuntimeError):
+    pass
+
+
 def checksum(sha: Column, etag: Column, key: Column) -> Column:
     """struct(algorithm, value): SHA-256 if there is one, else the ETag without quotes, else an error."""
     bare = F.regexp_replace(etag, '^"+|"+$', "")
@@ -38,7 +42,8 @@ def require_all(result: DataFrame) -> None:
         raise ChecksumMismatch(f"{bad['n']} objects differ; first {bad['first']['key']}: {bad['first']['reason']}")
 
 
-def counts_agree(manifest: DataFrame, copied: DataFrame, by: str = "label") -> DataFrame:
-    """(label, expected, copied) where the numbers differ."""
-    a, b = manifest.groupBy(by).agg(F.count(F.lit(1)).alias("expected")), copied.groupBy(by).agg(F.count(F.lit(1)).alias("copied"))
-    return a.join(b, by, "full").na.fill(0, ["expected", "copied"]).where("expected <> copied")
+def counts_agree(manifest: DataFrame, copied: DataFrame, by: str | tuple[str, ...] = "label") -> DataFrame:
+    """(*by, expected, copied) where the numbers of rows differ."""
+    keys = [by] if isinstance(by, str) else list(by)
+    a, b = manifest.groupBy(*keys).agg(F.count(F.lit(1)).alias("expected")), copied.groupBy(*keys).agg(F.count(F.lit(1)).alias("copied"))
+    return a.join(b, keys, "full").na.fill(0, ["expected", "copied"]).where("expected <> copied")

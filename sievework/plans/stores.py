@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import struct
 import uuid
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources import keyed
+from ..sources import folders, images, keyed, npy
 from ..storage import shared_dir
 
 
@@ -47,7 +50,49 @@ def model_registry_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.join(newest, ["brand", "model"]).join(baselines, ["brand", "model"])
 
 
-QUERIES = (model_registry_runs,)
+def npy_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings in the order of vec_id, written as .npy files and read back: of each position, the sum of its vector's numbers and of its
+    first eight. Partitions are a few rows wide, so that every file is read in several."""
+    out = new_folder(spark, "matrix")
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    npy.register(spark)
+    rows.repartitionByRange("vec_id").sortWithinPartitions("vec_id").select("vector").write.format("npy").mode("append").save(out)
+    total = lambda v: F.round(F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double")), 5)
+    return npy.read(spark, out, 1 << 14).select("position", total(F.col("vector")).alias("total"), total(F.slice("vector", 1, 8)).alias("head"))
+
+
+def png(values: list[float], side: int) -> bytes:
+    """A grey image of side x side pixels, -1 to 1 from black to white."""
+    grey = [min(255, max(0, int((v + 1) * 127.5 // 1))) for v in values[: side * side]]
+    chunk = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    lines = b"".join(b"\0" + bytes(grey[y * side : (y + 1) * side]) for y in range(side))
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", side, side, 8, 0, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(lines)) + chunk(b"IEND", b"")
+
+
+def class_folder_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding as a grey image of 8 x 8, written into class folders and decoded again: of each split and label the rows, the files, the
+    images that decode, and the sum of their red, green and blue levels. Every 97th payload is cut short and counts as a file that can't
+    be decoded."""
+
+    def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            drawings = [png(v, 8) for v in batch.column("embedding").to_pylist()]
+            cut = [d[:40] if i % 97 == 0 else d for i, d in zip(batch.column("vec_id").to_pylist(), drawings)]
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("label"), pa.array(cut, pa.binary())], names=["vec_id", "label", "payload"])
+
+    out = new_folder(spark, "classes")
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding").mapInArrow(drawn, "vec_id long, label int, payload binary")
+    split = F.when(F.col("vec_id") % 5 == 0, "validation").otherwise("train")
+    rows = rows.select(split.alias("split"), F.concat(F.lit("class-"), F.col("label").cast("string")).alias("label"), F.col("vec_id").cast("string").alias("id"), F.concat(F.lit("in/"), "vec_id", F.lit(".png")).alias("key"), "payload")
+    folders.write(rows, out)
+    of = lambda path, i: F.element_at(F.split(path, "/"), i)
+    levels = F.aggregate("pixels", F.lit(0.0), lambda a, x: a + x.cast("double"))
+    decoded = images.pixels(images.read(spark, out), 8).select(of("path", -3).alias("split"), of("path", -2).alias("label"), "valid", levels.alias("levels"))
+    seen = decoded.groupBy("split", "label").agg(F.count(F.lit(1)).alias("files"), F.count_if("valid").alias("decoded"), F.coalesce(F.sum("levels"), F.lit(0.0)).cast("long").alias("levels"))
+    return rows.groupBy("split", "label").agg(F.count(F.lit(1)).alias("rows")).join(seen, ["split", "label"], "left")
+
+
+QUERIES = (model_registry_runs, npy_round_trip, class_folder_images)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -60,4 +105,9 @@ def oracle_sql() -> dict[str, str]:
 facts AS (SELECT run, brand, model, count(*) AS samples, round(avg(value), 6) AS mean FROM rows GROUP BY ALL)
 SELECT brand, model, count(*) AS registrations, CAST(sum(samples) AS BIGINT) AS samples, CAST(max(run) AS INT) AS newest_run, arg_max(samples, run) AS newest_samples, CAST(max(run) AS INT) AS baseline_run, arg_max(mean, run) AS baseline_mean
 FROM facts GROUP BY brand, model""",
+        "npy_round_trip": """SELECT row_number() OVER (ORDER BY vec_id) - 1 AS position, round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 5) AS total,
+  round(list_sum(list_transform(embedding[1:8], lambda x: CAST(x AS DOUBLE))), 5) AS head FROM embeddings""",
+        "class_folder_images": """WITH p AS (SELECT CASE WHEN vec_id % 5 = 0 THEN 'validation' ELSE 'train' END AS split, 'class-' || label AS label, vec_id % 97 <> 0 AS whole,
+  list_sum(list_transform(embedding[1:64], lambda x: least(255, greatest(0, floor((CAST(x AS DOUBLE) + 1) * 127.5))))) AS grey FROM embeddings)
+SELECT split, label, count(*) AS rows, count(*) AS files, count(*) FILTER (whole) AS decoded, CAST(coalesce(sum(3 * grey) FILTER (whole), 0) AS BIGINT) AS levels FROM p GROUP BY split, label""",
     }

@@ -34,13 +34,6 @@ def metrics_then_check(metrics: DataFrame, path: str, gate) -> None:
     gate.require(metrics)
 
 
-def class_folders(df: DataFrame, path: str) -> None:
-    """Rows by split and label, with a name of their own from the id's hash."""
-    suffix = F.regexp_extract("key", r"(\.[^./]+)$", 1)
-    named = df.withColumn("file_name", F.concat(F.substring(F.sha1(F.col("id").cast("binary")), 1, 16), suffix))
-    named.write.mode("overwrite").partitionBy("split", "label").parquet(path)
-
-
 def baseline(report: DataFrame, brand: str, model_id: str, created_at: str) -> DataFrame:
     """Baseline statistics of one model, keyed by brand and model id."""
     m = F.col("metrics")
