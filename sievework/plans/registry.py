@@ -139,6 +139,12 @@ def cosine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("a", "b", F.round("cosine", 4).alias("cosine"))
 
 
+def cosine_pairs_tight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At a threshold where cells bound what is compared."""
+    pairs = dedup.cosine_pairs(table(spark, sf_dir, "embeddings"), 0.98, "vec_id")
+    return pairs.select("a", "b", F.round("cosine", 4).alias("cosine"))
+
+
 def cosine_dedup_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.mark_near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), 0.4, "vec_id").select("vec_id", "near_duplicate")
 
@@ -227,7 +233,7 @@ def drift_alarms_300s(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = (
     select_curated, selection_metrics, select_lenient, brand_first_match, upload_coalesce_window, upload_normalise, in_flight_suppression, training_request_batches, train_val_split, stratified_folds, kfold_oos_rf,
-    checksum_reconcile, exact_duplicates, hash_embedding, hash_embedding_full, cosine_pairs, cosine_dedup_keep_first, confidence_floor, confident_joint, prune_by_noise_rate, label_quality_report, label_quality_metrics,
+    checksum_reconcile, exact_duplicates, hash_embedding, hash_embedding_full, cosine_pairs, cosine_pairs_tight, cosine_dedup_keep_first, confidence_floor, confident_joint, prune_by_noise_rate, label_quality_report, label_quality_metrics,
     evaluation_metrics, evaluation_report, gate_evaluation, approval_event_fields, drift_level, drift_level_monitor, drift_alarms_300s,
 )
 
@@ -289,6 +295,8 @@ SELECT key, 'SHA256' AS algorithm, NOT (doc_id % 101 = 0 OR doc_id % 89 = 0 OR d
 SELECT doc_id, CAST(c * 8 + k AS INT) AS position, round(CAST(('0x' || substr(h, CAST(k * 8 + 1 AS BIGINT), 8)) AS BIGINT) / 4294967295.0 * 2 - 1, 9) AS value FROM d, range(0, 8) AS q(k)""",
         "cosine_pairs": """WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
 SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.v, b.v), 4) AS cosine FROM e a JOIN e b ON a.vec_id < b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= 0.4""",
+        "cosine_pairs_tight": """WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
+SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.v, b.v), 4) AS cosine FROM e a JOIN e b ON a.vec_id < b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= 0.98""",
         "cosine_dedup_keep_first": """WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 pairs AS MATERIALIZED (SELECT b.vec_id AS id, list(a.vec_id) AS before FROM e a JOIN e b ON a.vec_id < b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= 0.4 GROUP BY b.vec_id),
 o AS MATERIALIZED (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS i, before FROM e LEFT JOIN pairs ON id = vec_id),
