@@ -35,10 +35,10 @@ def new_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, tag: str) -> DataFrame:
+def materialise(df: DataFrame, tag: str, compression: str | None = None) -> DataFrame:
     """Cut the lineage with a written table in the shared folder: a lost executor costs no recomputation."""
     spark, path = df.sparkSession, new_path(df.sparkSession, tag)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

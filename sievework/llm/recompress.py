@@ -268,7 +268,7 @@ def _firsts(place: tuple[np.ndarray, ...], a: np.ndarray, b: np.ndarray) -> tupl
     return np.sort(by[~same]), by[same & again]
 
 
-STRETCHES = "symbol long, content long, id long, digest long, start long, end long, windows binary"
+STRETCHES = "symbol long, id long, digest long, start long, end long, windows binary"  # end: of ranges that are repeats already
 RANGES = "id long, digest long, start long, end long"
 
 
@@ -292,24 +292,28 @@ def _stretched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             gone = _merged(*(v[later] for v in (own, text, start, start + y - x)))
             windows = words.digest(alive, alive + WINDOW).astype("<u8")
             none = [None] * len(gone[0])
-            columns = [pa.array([*k[new].astype(np.int64).tolist(), *none], pa.int64()) for k in keys]
-            columns += [pa.array(np.concatenate([v[new], g]), pa.int64()) for v, g in zip((own, text, start, start + y - x), gone)]
+            columns = [pa.array([*keys[0][new].astype(np.int64).tolist(), *none], pa.int64())]
+            columns += [pa.array(np.concatenate([v[new], g]), pa.int64()) for v, g in zip((own, text, start), gone)]
+            columns.append(pa.array([*[None] * len(new), *gone[3].tolist()], pa.int64()))
             columns.append(pa.array([*(windows[i : j + 1].tobytes() for i, j in zip(first[new].tolist(), last[new].tolist())), *none], pa.binary()))
-            yield pa.RecordBatch.from_arrays(columns, names=["symbol", "content", "id", "digest", "start", "end", "windows"])
+            yield pa.RecordBatch.from_arrays(columns, names=["symbol", "id", "digest", "start", "end", "windows"])
         del batch
         give_back()
 
 
 def _settled(table: pa.Table) -> pa.Table:
-    """Ranges of all stretches of some symbols that are repeats, as a whole or window by window."""
-    symbol, content, own, text, start, end = (table.column(i).to_numpy() for i in range(6))
-    new, later = _firsts((own, text, start), symbol, content)
-    blobs = table.column(6).take(pa.array(new)).to_pylist()
+    """Ranges of all stretches of some symbols that are repeats, as a whole or window by window. What has the same windows is the same stretch."""
+    symbol, own, text, start = (table.column(c).to_numpy() for c in ("symbol", "id", "digest", "start"))
+    blobs = table.column("windows").to_pylist()
     n = np.array([len(b) // 8 for b in blobs], dtype=np.int64)
-    window = np.frombuffer(b"".join(blobs), dtype="<u8")
-    row = np.repeat(new, n)
-    at = start[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    known: dict[bytes, int] = {}
+    content = np.fromiter((known.setdefault(b, len(known)) for b in blobs), dtype=np.int64, count=len(blobs))
+    new, later = _firsts((own, text, start), symbol, content)
+    window = np.frombuffer(b"".join(blobs[i] for i in new.tolist()), dtype="<u8")
+    row = np.repeat(new, n[new])
+    at = start[row] + np.arange(len(row)) - np.repeat(np.cumsum(n[new]) - n[new], n[new])
     again = _firsts((own[row], text[row], at), symbol[row], window)[1]
+    end = start + n + WINDOW - 1
     both = [np.concatenate([v[later], w[again]]) for v, w in ((own, own[row]), (text, text[row]), (start, at), (end, at + WINDOW))]
     return pa.table([pa.array(v, pa.int64()) for v in _merged(*both)], names=["id", "digest", "start", "end"])
 
@@ -317,9 +321,9 @@ def _settled(table: pa.Table) -> pa.Table:
 def _settled_by_joins(stretches: DataFrame) -> DataFrame:
     """The same without gathering a symbol's stretches."""
     place = F.struct("id", "digest", "start")
-    firsts = materialise(stretches.groupBy("symbol", "content").agg(F.min(place).alias("first"), F.min_by("windows", place).alias("windows")), "firsts")
-    later = stretches.drop("windows").join(firsts.drop("windows"), ["symbol", "content"]).where(place > F.col("first")).select("id", "digest", "start", "end")
     n = (F.octet_length("windows") / 8).cast("int")
+    firsts = materialise(stretches.groupBy("symbol", "windows").agg(F.min(place).alias("first")), "firsts")
+    later = stretches.join(firsts, ["symbol", "windows"]).where(place > F.col("first")).select("id", "digest", "start", (F.col("start") + n + WINDOW - 1).alias("end"))
     each = firsts.select("symbol", "first", "windows", F.explode(F.sequence(F.lit(0), n - 1)).alias("k"))
     at = F.struct("first.id", "first.digest", (F.col("first.start") + F.col("k")).alias("start"))
     each = materialise(each.select("symbol", F.substring("windows", F.col("k") * 8 + 1, F.lit(8)).alias("window"), at.alias("at")), "windows")
@@ -327,6 +331,14 @@ def _settled_by_joins(stretches: DataFrame) -> DataFrame:
     return later.unionByName(each.join(least, ["symbol", "window"]).where("at > least").select("at.id", "at.digest", "at.start", (F.col("at.start") + WINDOW).alias("end")))
 
 
+def _hot(stretches: DataFrame) -> DataFrame:
+    """(symbol) of those with more than ``HOT_ROWS`` stretches, counted one by one only where all of a symbol's first 16 bits together have so many."""
+    head = F.shiftrightunsigned("symbol", 48)
+    many = stretches.groupBy(head.alias("head")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_ROWS).select("head")
+    counted = stretches.withColumn("head", head).join(F.broadcast(many), "head", "left_semi").groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))  # 2^16 rows at most
+    return materialise(counted.where(F.col("n") > HOT_ROWS).select("symbol"), "hot")
+
+
 def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, digest, start, end): ranges of words that repeated windows cover, of the text of that id and digest; they may overlap."""
     rows = df.where(F.col(id_col).isNotNull() & (F.octet_length(text_col) >= 2 * WINDOW - 1))
@@ -335,15 +347,15 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         rows = _round(rows, counted, size)
         if number + 1 < len(ROUNDS):
-            rows = materialise(rows, "round")
-    found = materialise(rows.mapInArrow(_stretched, STRETCHES), "stretches")
+            rows = materialise(rows, "round", "zstd")
+    found = materialise(rows.mapInArrow(_stretched, STRETCHES), "stretches", "zstd")
     gone = found.where("symbol is null").select("id", "digest", "start", "end")
     stretches = found.where("symbol is not null")
-    hot = stretches.groupBy("symbol").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_ROWS).select("symbol")
-    hot = materialise(hot, "hot")
+    stretches = stretches.select("symbol", "id", "digest", "start", "windows")
+    hot = _hot(stretches)
     buckets = max(1, stretches.count() // (1 << 16))
-    cold = stretches.join(F.broadcast(hot), "symbol", "left_anti").withColumn("bucket", F.pmod(F.xxhash64("symbol"), F.lit(buckets)))  # one symbol in HOT_ROWS rows at most
-    settled = cold.groupBy("bucket").applyInArrow(lambda table: _settled(table.drop_columns(["bucket"])), RANGES)
+    cold = stretches.join(F.broadcast(hot), "symbol", "left_anti")  # one symbol in HOT_ROWS rows at most
+    settled = cold.groupBy(F.pmod(F.xxhash64("symbol"), F.lit(buckets)).alias("bucket")).applyInArrow(_settled, RANGES)
     out = gone.unionByName(settled)
     if hot.take(1):
         out = out.unionByName(_settled_by_joins(stretches.join(F.broadcast(hot), "symbol", "left_semi")))
