@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions.vectors import hash_embedding
-from ..operators import dedup, drift, evaluation, folds, gates, label_quality, selection
+from ..operators import boosting, dedup, drift, evaluation, folds, gates, label_quality, selection
 from ..sources import sinks
 from ..storage import materialise
 
@@ -46,13 +46,15 @@ def timed(model, rows: DataFrame) -> DataFrame:
     return out.withColumn("ms", F.when(F.col("probability").isNotNull(), (clock() - F.col("_began")) / 1e6)).drop("_began")  # read after scoring, as it depends on it
 
 
-def run(inventory: DataFrame, payloads: DataFrame, rates: DataFrame, config: Config, brand: str, now: datetime, out: str, embed: Embedder, model_id: str, allow_fallback: bool = False, trees: int = 100, depth: int = 8) -> Outcome:
+def run(inventory: DataFrame, payloads: DataFrame, rates: DataFrame, config: Config, brand: str, now: datetime, out: str, embed: Embedder, model_id: str, allow_fallback: bool = False, trees: int = 100, depth: int = 8, classifier: str = "forest") -> Outcome:
     """One brand's run. ``payloads``: (id, payload); ``rates``: one row (observed, baseline). A gate that fails raises after its metrics
     have been written under ``out``; later stages then never run. Ids must be integers written as text.
 
     The model is saved under ``out``/models by brand and id, and the registration's result in ``out``/registration. Registry and baselines
     keep the rows of other brands and models. The model learns from the split's training rows; every cleaned row that has a file is evaluated. The files are the payloads that
     aren't null: a row of the manifest without one counts as a missing image, and any of them fails the evaluation."""
+    if classifier not in ("forest", "boosted"):
+        raise ValueError(f"unknown classifier {classifier!r}")
     s = config.selection_of(brand)
     manifest = materialise(selection.select_curated(inventory, s, now), "manifest")
     sinks.metrics_then_check(selection.selection_metrics(manifest), f"{out}/selection_metrics", gates.dataset_bounds(s))
@@ -62,7 +64,11 @@ def run(inventory: DataFrame, payloads: DataFrame, rates: DataFrame, config: Con
     if not allow_fallback and not backends.first()["efficientnet_only"]:
         raise gates.GateFailed("EmbeddingBackend", ["rows were not embedded by the backbone"])
     unique = materialise(dedup.mark_near_duplicates(embedded, config.quality.cosine_threshold, "n"), "unique").where("NOT near_duplicate")
-    probs = materialise(folds.out_of_sample(unique, "label", "embedding", "n", config.quality.folds, trees, depth, config.quality.seed), "probs")
+    if classifier == "boosted":
+        probs = boosting.out_of_sample(unique, "label", "embedding", "n", config.quality.folds, boosting.Settings(seed=config.quality.seed))
+    else:
+        probs = folds.out_of_sample(unique, "label", "embedding", "n", config.quality.folds, trees, depth, config.quality.seed)
+    probs = materialise(probs, "probs")
     classes = sorted(folds.classes_of(probs, "label"))
     issues = label_quality.prune_by_noise_rate(probs, classes, "n")
     flagged = materialise(label_quality.flag(probs, classes, config.quality.disagreement_floor, issues, "n"), "flagged")

@@ -12,7 +12,7 @@ from ..config import Drift, Evaluation, Selection
 from ..functions import names
 from ..functions.vectors import argmax, hash_words
 from ..functions.vectors import hash_embedding as embedding_of
-from ..operators import dedup, drift, evaluation, events, folds, gates, label_quality, reconcile, selection
+from ..operators import boosting, dedup, drift, evaluation, events, folds, gates, label_quality, reconcile, selection
 from . import stores
 
 NOW = datetime(2000, 1, 1)
@@ -106,6 +106,14 @@ def kfold_oos_rf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("id", "label", "fold", F.round(F.array_max("pred_probs"), 6).alias("confidence"), argmax(F.col("pred_probs")).alias("predicted"))
 
 
+def kfold_oos_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Out-of-sample probabilities of 30 rounds of boosted trees in 5 folds, and what must hold of each row's: their sum, their number and range."""
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "label", "embedding")
+    out = boosting.out_of_sample(rows)
+    p = F.col("pred_probs")
+    return out.select("id", "label", "fold", F.round(F.aggregate(p, F.lit(0.0), lambda a, x: a + x), 9).alias("total"), F.size(p).cast("long").alias("classes"), F.forall(p, lambda x: (x > 0) & (x < 1)).alias("inside"))
+
+
 def _digest_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     d = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("key"), "doc_id", "text")
     head = lambda sha: reconcile.checksum(sha, F.lit('"etag"'), F.col("key"))
@@ -232,7 +240,7 @@ def drift_alarms_300s(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = (
-    select_curated, selection_metrics, select_lenient, brand_first_match, upload_coalesce_window, upload_normalise, in_flight_suppression, training_request_batches, train_val_split, stratified_folds, kfold_oos_rf,
+    select_curated, selection_metrics, select_lenient, brand_first_match, upload_coalesce_window, upload_normalise, in_flight_suppression, training_request_batches, train_val_split, stratified_folds, kfold_oos_rf, kfold_oos_boosted,
     checksum_reconcile, exact_duplicates, hash_embedding, hash_embedding_full, cosine_pairs, cosine_pairs_tight, cosine_dedup_keep_first, confidence_floor, confident_joint, prune_by_noise_rate, label_quality_report, label_quality_metrics,
     evaluation_metrics, evaluation_report, gate_evaluation, approval_event_fields, drift_level, drift_level_monitor, drift_alarms_300s,
 )
@@ -288,6 +296,8 @@ g AS (SELECT brand, first(key ORDER BY event_id) AS key, CASE WHEN count(*) > 1
 SELECT *, CAST((row_number() OVER (ORDER BY brand) - 1) // 10 AS BIGINT) AS batch FROM g""",
         "train_val_split": """SELECT doc_id, lang, CASE WHEN row_number() OVER (PARTITION BY lang ORDER BY doc_id) <= greatest(1, floor(count(*) OVER (PARTITION BY lang) * 0.2)) THEN 'val' ELSE 'train' END AS split FROM documents""",
         "stratified_folds": """SELECT vec_id, label, CAST((row_number() OVER (PARTITION BY label ORDER BY md5(CAST(vec_id AS VARCHAR)), vec_id) - 1) % 5 AS INT) AS fold FROM embeddings""",
+        "kfold_oos_boosted": """SELECT vec_id AS id, label, CAST((row_number() OVER (PARTITION BY label ORDER BY md5(CAST(vec_id AS VARCHAR)), vec_id) - 1) % 5 AS INT) AS fold,
+  CAST(1 AS DOUBLE) AS total, (SELECT count(DISTINCT label) FROM embeddings) AS classes, true AS inside FROM embeddings WHERE label IS NOT NULL""",
         "checksum_reconcile": """WITH d AS (SELECT CAST(doc_id AS VARCHAR) AS key, doc_id FROM documents)
 SELECT key, 'SHA256' AS algorithm, NOT (doc_id % 101 = 0 OR doc_id % 89 = 0 OR doc_id % 97 = 0) AS matched, CASE WHEN doc_id % 101 = 0 THEN 'missing' WHEN doc_id % 89 = 0 THEN 'algorithm' WHEN doc_id % 97 = 0 THEN 'value' END AS reason FROM d""",
         "exact_duplicates": "SELECT doc_id AS id, min(doc_id) OVER (PARTITION BY text) AS first_id, min(doc_id) OVER (PARTITION BY text) <> doc_id AS is_duplicate FROM documents",
