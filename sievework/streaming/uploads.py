@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
+from datetime import timedelta
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from ..operators import events
 
@@ -34,28 +36,72 @@ def once_a_window(stream: DataFrame, seconds: int = 300, late: str = "10 minutes
     return numbered.withWatermark("ts", late).dropDuplicatesWithinWatermark(["brand", "window_number"])
 
 
-def suppress_running(stream: DataFrame) -> DataFrame:
-    """(brand, kind, skipped) for rows of (brand, kind, status, ts): 'status' rows set a brand's state, 'request' rows are skipped while it
-    is running. A micro-batch's rows of a brand are taken in the order of ts, a status before a request of the same time. State is one
-    word a brand."""
-
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        status = state.get[0] if state.exists else ""
-        out = []
-        rows = pd.concat([f[["ts", "kind", "status"]] for f in frames])
-        rows = rows.sort_values(["ts", "kind"], key=lambda c: c if c.name == "ts" else c != "status", kind="stable")
-        for kind, new in zip(rows["kind"], rows["status"]):
+class InFlight(StatefulProcessor):
+    """What runs for a brand: its status, and until when (in milliseconds of event time) it counts without further word. A brand without a running
+    execution has no state: an execution that ends frees it at once, a silent one when the watermark has passed its time."""
+
+    def __init__(self, silence_ms: int):
+        self.silence = silence_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("running", "status string, until long")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        own = pd.concat([f[["ts", "kind", "status"]] for f in rows])
+        own = own.assign(ms=own["ts"].astype("datetime64[ms]").astype("int64"), later=own["kind"] != "status").sort_values(["ms", "later"], kind="stable")
+        before = self.state.get() if self.state.exists() else None
+        until = before[1] if before else None  # nothing runs without it
+        status = before[0] if before else ""
+        skipped = []
+        for kind, new, ms in zip(own["kind"], own["status"], own["ms"].tolist()):
             if kind == "status":
-                status = new
+                status = new if isinstance(new, str) else UNKNOWN
+                until = ms + self.silence if status in events.TERMINAL_FREE or status == UNKNOWN else None
             else:
-                out.append({"brand": key[0], "kind": kind, "skipped": status in events.TERMINAL_FREE})
-                if status not in events.TERMINAL_FREE:
-                    status = "Executing"
-        state.update((status,))
-        if out:
-            yield pd.DataFrame(out)
+                skipped.append(until is not None and ms <= until)
+                if not skipped[-1]:
+                    status, until = "Executing", ms + self.silence
+        if before:
+            self.handle.deleteTimer(before[1])
+        if until is None:
+            self.state.clear()
+        else:
+            self.state.update((status, until))
+            self.handle.registerTimer(until)
+        if skipped:
+            yield pd.DataFrame({"brand": key[0], "kind": "request", "skipped": skipped})
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.state.exists() and self.state.get()[1] <= expiredTimerInfo.getExpiryTimeInMs():
+            self.state.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+#: Status where the listing of executions failed: it counts as running.
+UNKNOWN = "Unknown"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def keep_state_in_rocksdb(spark: SparkSession) -> None:
+    """What ``suppress_running`` needs: state beyond the executors' memory, and timers."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+
+
+def suppress_running(stream: DataFrame, silence: timedelta = timedelta(hours=6), late: str = "10 minutes") -> DataFrame:
+    """(brand, kind, skipped) for rows of (brand, kind, status, ts): 'status' rows set a brand's state, 'request' rows are skipped while it
+    is running, and otherwise start one. A micro-batch's rows of a brand are taken in the order of ts, a status before a request of the same
+    time; rows later than ``late`` are dropped.
 
-    return stream.groupBy("brand").applyInPandasWithState(step, "brand string, kind string, skipped boolean", "status string", "append", GroupStateTimeout.NoTimeout)
+    A null status (the listing failed) counts as running. An execution that nothing is heard of for ``silence`` no longer counts, so one
+    lost word doesn't stop a brand for good. State is one row a running brand; it needs ``keep_state_in_rocksdb``."""
+    if stream.sparkSession.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
+        raise ValueError("call keep_state_in_rocksdb(spark) first")
+    rows = stream.withWatermark("ts", late)
+    return rows.groupBy("brand").transformWithStateInPandas(InFlight(int(silence.total_seconds() * 1000)), "brand string, kind string, skipped boolean", "append", "eventTime")
 
 
 def alarms(signals: DataFrame, seconds: int = 300, late: str = "10 minutes") -> DataFrame:
@@ -77,8 +123,10 @@ def publish(stream: DataFrame, checkpoint: str, send: Callable[[list[dict]], int
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
-def wait(query: StreamingQuery, timeout: float = 21_600.0) -> None:
-    """Until the query ends; an error in it is raised, a timeout as well."""
-    if not query.awaitTermination(timeout):
-        query.stop()
-        raise TimeoutError(f"not ended after {timeout:g} s")
+def wait(query: StreamingQuery, timeout: float = 21_600.0, poll: float = 30.0, clock: Callable[[], float] = time.monotonic) -> None:
+    """Until the query ends; an error in it is raised, a timeout as well. ``clock`` tells the seconds."""
+    end = clock() + timeout
+    while not query.awaitTermination(max(0.001, min(poll, end - clock()))):
+        if clock() >= end:
+            query.stop()
+            raise TimeoutError(f"not ended after {timeout:g} s")

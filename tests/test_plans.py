@@ -158,6 +158,7 @@ def test_stateful_streams(spark, tmp_path):
         return spark.table(name)
 
     at = lambda m: datetime(2026, 1, 1, 0, m)
+    uploads.keep_state_in_rocksdb(spark)
     rows = [("b", "request", None, at(1)), ("b", "status", "Succeeded", at(3)), ("b", "request", None, at(2)), ("b", "request", None, at(4)), ("c", "request", None, at(1))]
     got = run(rows, "brand string, kind string, status string, ts timestamp", uploads.suppress_running)
     assert sorted((r.brand, r.skipped) for r in got.collect()) == [("b", False), ("b", False), ("b", True), ("c", False)]
