@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions.vectors import hash_embedding
-from ..operators import boosting, dedup, drift, evaluation, folds, gates, label_quality, selection
+from ..operators import boosting, dedup, drift, evaluation, folds, gates, label_quality, selection, softmax
 from ..sources import sinks
 from ..storage import materialise
 
@@ -46,15 +47,17 @@ def timed(model, rows: DataFrame) -> DataFrame:
     return out.withColumn("ms", F.when(F.col("probability").isNotNull(), (clock() - F.col("_began")) / 1e6)).drop("_began")  # read after scoring, as it depends on it
 
 
-def run(inventory: DataFrame, payloads: DataFrame, rates: DataFrame, config: Config, brand: str, now: datetime, out: str, embed: Embedder, model_id: str, allow_fallback: bool = False, trees: int = 100, depth: int = 8, classifier: str = "forest") -> Outcome:
+def run(inventory: DataFrame, payloads: DataFrame, rates: DataFrame, config: Config, brand: str, now: datetime, out: str, embed: Embedder, model_id: str, allow_fallback: bool = False, trees: int = 100, depth: int = 8, classifier: str = "forest", head: str = "forest", training: softmax.Settings = softmax.Settings()) -> Outcome:
     """One brand's run. ``payloads``: (id, payload); ``rates``: one row (observed, baseline). A gate that fails raises after its metrics
     have been written under ``out``; later stages then never run. Ids must be integers written as text.
 
-    The model is saved under ``out``/models by brand and id, and the registration's result in ``out``/registration. Registry and baselines
-    keep the rows of other brands and models. The model learns from the split's training rows; every cleaned row that has a file is evaluated. The files are the payloads that
+    Out-of-sample probabilities come from the ``classifier``, a forest or boosted trees. The model is a ``forest`` or a ``softmax`` head, which
+    goes on from the checkpoints of a run that broke off and leaves class names and training metrics. It is saved under ``out``/models by
+    brand and id, and the registration's result in ``out``/registration. Registry and baselines keep the rows of other brands and models.
+    The model learns from the split's training rows; every cleaned row that has a file is evaluated. The files are the payloads that
     aren't null: a row of the manifest without one counts as a missing image, and any of them fails the evaluation."""
-    if classifier not in ("forest", "boosted"):
-        raise ValueError(f"unknown classifier {classifier!r}")
+    if classifier not in ("forest", "boosted") or head not in ("forest", "softmax"):
+        raise ValueError(f"unknown classifier {classifier!r} or head {head!r}")
     s = config.selection_of(brand)
     manifest = materialise(selection.select_curated(inventory, s, now), "manifest")
     sinks.metrics_then_check(selection.selection_metrics(manifest), f"{out}/selection_metrics", gates.dataset_bounds(s))
@@ -77,15 +80,24 @@ def run(inventory: DataFrame, payloads: DataFrame, rates: DataFrame, config: Con
     levels = drift.step_status(drift.mean_confidence(probs).crossJoin(rates), config.drift)  # one row each
     sinks.metrics_then_check(levels, f"{out}/drift_metrics", gates.drift(config))
     split = materialise(folds.train_val_split(cleaned, "label", "key"), "split")
-    index = F.array_position(F.array(*map(F.lit, classes)), F.col("label")) - 1
-    data = split.withColumn("_x", array_to_vector(F.col("embedding").cast("array<double>"))).withColumn("_y", index.cast("double"))
-    model = RandomForestClassifier(featuresCol="_x", labelCol="_y", numTrees=trees, maxDepth=depth, seed=config.quality.seed).fit(data.where("split = 'train'"))
     model_path = f"{out}/models/{brand}/{model_id}"
-    model.write().overwrite().save(model_path)
-    name = F.element_at(F.array(*map(F.lit, classes)), F.col("prediction").cast("int") + 1)
     files = payloads.where("payload is not null").select("id")
-    scored = timed(model, data.join(files.distinct(), "id", "left_semi"))
-    scored = materialise(scored.select("label", name.alias("prediction"), F.array_max(vector_to_array("probability")).alias("confidence"), "ms"), "scored")
+    evaluated = split.join(files.distinct(), "id", "left_semi")
+    if head == "softmax":
+        model, told = softmax.train(split, f"{out}/checkpoints/{brand}/{model_id}", settings=training)
+        model.save(split.sparkSession, model_path)
+        said = json.dumps({"brand_id": brand, **told}, sort_keys=True)
+        split.sparkSession.createDataFrame([(said,)], "value string").coalesce(1).write.mode("overwrite").text(f"{model_path}/training_metrics")
+        scored = model.transform(evaluated).select("label", "prediction", F.array_max("probability").alias("confidence"), "ms")
+    else:
+        index = F.array_position(F.array(*map(F.lit, classes)), F.col("label")) - 1
+        with_vector = lambda d: d.withColumn("_x", array_to_vector(F.col("embedding").cast("array<double>"))).withColumn("_y", index.cast("double"))
+        model = RandomForestClassifier(featuresCol="_x", labelCol="_y", numTrees=trees, maxDepth=depth, seed=config.quality.seed).fit(with_vector(split.where("split = 'train'")))
+        model.write().overwrite().save(model_path)
+        name = F.element_at(F.array(*map(F.lit, classes)), F.col("prediction").cast("int") + 1)
+        scored = timed(model, with_vector(evaluated))
+        scored = scored.select("label", name.alias("prediction"), F.array_max(vector_to_array("probability")).alias("confidence"), "ms")
+    scored = materialise(scored, "scored")
     facts = evaluation.with_run_facts(evaluation.metrics(scored, config.evaluation), evaluation.missing_files(manifest, files, "id"), scored)
     facts = materialise(evaluation.with_aborts(facts, config.evaluation), "facts")
     report = materialise(evaluation.report(facts, config.evaluation), "report")

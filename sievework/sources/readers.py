@@ -107,8 +107,9 @@ def correction_rate(spark: SparkSession, path: str) -> DataFrame:
 
 
 def latest_checkpoint(listing: DataFrame) -> DataFrame:
-    """One row (path, epoch) of the greatest epoch among names epoch-<n>.weights.h5; null without any."""
-    epoch = F.regexp_extract("path", r"epoch-([0-9]+)\.weights\.h5$", 1).try_cast("int")
+    """One row (path, epoch) of the greatest epoch among files named epoch-<n>.weights.h5, or files in folders named
+    epoch-<n>.weights.parquet; null without any."""
+    epoch = F.regexp_extract("path", r"epoch-([0-9]+)\.weights\.(?:h5$|parquet/[^/]+$)", 1).try_cast("int")
     return listing.withColumn("epoch", epoch).where("epoch is not null").agg(F.max_by("path", "epoch").alias("path"), F.max("epoch").alias("epoch"))
 
 
