@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..config import Drift
 from ..sources import folders, images, keyed, npy
 from ..storage import shared_dir
+from ..streaming import monitor, uploads
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +26,8 @@ def new_folder(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
+#: The day before which events count for a brand's baseline.
+RELEASED = "2024-01-21"
 #: The runs in order; the second one is repeated.
 RUNS = (0, 1, 1, 2, 3)
 
@@ -92,7 +96,28 @@ def class_folder_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("split", "label").agg(F.count(F.lit(1)).alias("rows")).join(seen, ["split", "label"], "left")
 
 
-QUERIES = (model_registry_runs, npy_round_trip, class_folder_images)
+def drift_monitor_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events through the monitor as a stream that ends when it has read them: endpoints are users' last digits, brands their halves, and a
+    brand's baseline is its share of errors before the given day. The signals' levels, and the alarms of the windows that they lie in."""
+    e = table(spark, sf_dir, "events")
+    endpoint, brand = F.concat(F.lit("e"), (F.col("user_id") % 10).cast("string")), F.concat(F.lit("b"), F.floor((F.col("user_id") % 10) / 5).cast("string"))
+    error = F.col("event_type") == "error"
+    old = e.where(F.col("ts") < F.lit(RELEASED).cast("timestamp_ntz")).groupBy(brand.alias("brand")).agg(F.avg(error.cast("double")).alias("rate"))
+    released = old.withColumn("model", F.lit("m1")).withColumn("created_at", F.lit(RELEASED))
+    out = new_folder(spark, "monitor")
+    # a stream's path is a folder or a pattern; the table may be a file or a folder
+    stream = spark.readStream.schema(e.schema).parquet(f"{sf_dir}/event[s].parquet")
+    rows = stream.select(endpoint.alias("endpoint"), brand.alias("brand_id"), F.col("ts").cast("timestamp").alias("ts"), F.least(F.col("value") / 60, F.lit(1.0)).alias("confidence"), error.alias("corrected"))
+    query = monitor.monitor(rows, lambda: monitor.newest_rates(released), f"{out}/signals", f"{out}/checkpoint", f"monitor-{uuid.uuid4().hex}", Drift(0.30, 0.35, multiplier=1.05), every=None)
+    uploads.wait(query, 3_600)
+    found = monitor.signals(spark, f"{out}/signals")
+    found = found.withColumn("window_start", F.floor(F.unix_timestamp("ts") / 300) * 300)
+    alarmed = monitor.alarms(spark, f"{out}/signals").select("endpoint", F.unix_timestamp("window_start").alias("window_start"), "level2", "level3")
+    told = found.select("endpoint", "window_start", "predictions", F.round("confidence", 6).alias("confidence"), F.round("correction_rate", 6).alias("correction_rate"), F.round("rate", 6).alias("rate"), "level")
+    return told.join(alarmed, ["endpoint", "window_start"])
+
+
+QUERIES = (model_registry_runs, npy_round_trip, class_folder_images, drift_monitor_stream)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -110,4 +135,9 @@ FROM facts GROUP BY brand, model""",
         "class_folder_images": """WITH p AS (SELECT CASE WHEN vec_id % 5 = 0 THEN 'validation' ELSE 'train' END AS split, 'class-' || label AS label, vec_id % 97 <> 0 AS whole,
   list_sum(list_transform(embedding[1:64], lambda x: least(255, greatest(0, floor((CAST(x AS DOUBLE) + 1) * 127.5))))) AS grey FROM embeddings)
 SELECT split, label, count(*) AS rows, count(*) AS files, count(*) FILTER (whole) AS decoded, CAST(coalesce(sum(3 * grey) FILTER (whole), 0) AS BIGINT) AS levels FROM p GROUP BY split, label""",
+        "drift_monitor_stream": f"""WITH p AS (SELECT 'e' || user_id % 10 AS endpoint, 'b' || (user_id % 10) // 5 AS brand, ts, least(value / 60, 1.0) AS confidence, CAST(event_type = 'error' AS INT) AS corrected FROM events),
+rates AS (SELECT brand, avg(corrected) AS rate FROM p WHERE ts < TIMESTAMP '{RELEASED}' GROUP BY brand),
+s AS (SELECT endpoint, brand, CAST(floor(epoch(max(ts)) / 300) AS BIGINT) * 300 AS window_start, count(*) AS predictions, avg(confidence) AS confidence, avg(corrected) AS correction_rate FROM p GROUP BY endpoint, brand),
+l AS (SELECT *, CASE WHEN CASE WHEN rate = 0 THEN correction_rate > 0 ELSE correction_rate >= rate * 1.05 END THEN 3 WHEN confidence < 0.30 THEN 2 WHEN confidence < 0.35 THEN 1 ELSE 0 END AS level FROM s JOIN rates USING (brand))
+SELECT endpoint, window_start, predictions, round(confidence, 6) AS confidence, round(correction_rate, 6) AS correction_rate, round(rate, 6) AS rate, CAST(level AS INT) AS level, level >= 2 AS level2, level >= 3 AS level3 FROM l""",
     }

@@ -84,8 +84,9 @@ def registration_result(registry: DataFrame, model_uri: str, baseline_uri: str,
     json_lines(registry.select("*", F.lit(model_uri).alias("model_uri"), F.lit(baseline_uri).alias("baseline_uri")), path)
 
 
-def drift_signals(assessed: DataFrame) -> DataFrame:
-    return assessed.select("endpoint", "ts", F.col("level").cast("int").alias("level"))
+def drift_signals(assessed: DataFrame, *more: str) -> DataFrame:
+    """(endpoint, ts, level) and the columns ``more`` of rows to be written as signals."""
+    return assessed.select("endpoint", "ts", F.col("level").cast("int").alias("level"), *more)
 
 
 def file_stem(key: Column) -> Column:

@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from sievework.streaming import uploads
+from sievework.streaming import monitor, uploads
 
 KIND = "brand string, kind string, status string, ts timestamp"
 
@@ -91,3 +91,44 @@ def test_wait_by_a_given_clock():
     with pytest.raises(TimeoutError, match="100 s"):
         uploads.wait(q, 100, clock=lambda: float(next(now)))
     assert q.stopped and 1 < q.asked < 10
+
+
+PREDICTIONS = "endpoint string, brand_id string, ts timestamp, confidence double, corrected boolean"
+
+
+def test_a_replayed_batch_adds_nothing(spark, tmp_path):
+    """A batch whose signals were written before the stream broke off is run again after the restart; its rows are there once."""
+    feed = Feed(spark, tmp_path, PREDICTIONS)
+    out, checkpoint = str(tmp_path / "signals"), str(tmp_path / "checkpoint")
+    released = [("b", "m1", "2026-01-01", 0.1)]
+    rates = lambda: monitor.newest_rates(spark.createDataFrame(released, "brand string, model string, created_at string, rate double"))
+    seen = []
+
+    def run(fail=False):
+        def then(number):
+            seen.append(number)
+            if fail:
+                raise RuntimeError("lost after the write")
+
+        stream = spark.readStream.schema(PREDICTIONS).json(str(tmp_path / "in"))
+        q = monitor.monitor(stream, rates, out, checkpoint, "hourly", every=None, then=then)
+        uploads.wait(q, 120)
+
+    feed.add([("e1", "b", at(0), 0.9, False), ("e1", "b", at(0, 1), 0.8, True), ("e2", "b", at(0, 2), 0.66, False)])
+    with pytest.raises(Exception, match="lost after the write"):
+        run(fail=True)
+    assert monitor.signals(spark, out).count() == 2
+    run()
+    rows = {r.endpoint: r for r in monitor.signals(spark, out).collect()}
+    assert seen == [0, 0] and sorted(rows) == ["e1", "e2"]
+    assert (rows["e1"].level, rows["e2"].level, rows["e1"].predictions) == (3, 1, 2) and rows["e1"].reasons == ["correction_rate_spike"] and rows["e1"].ts == at(0, 1)
+    released.append(("b", "m2", "2026-01-02", 0.9))  # the newest baseline counts
+    feed.add([("e1", "b", at(1), 0.9, False), ("e1", "b", at(1, 1), 0.8, True)])
+    run()
+    got = monitor.signals(spark, out).where("endpoint = 'e1'").orderBy("ts").collect()
+    assert [r.level for r in got] == [3, 0] and [r.commit for r in got] == ["hourly-0", "hourly-1"]
+    alarmed = {(r.endpoint, r.window_start): (r.level1, r.level2, r.level3) for r in monitor.alarms(spark, out).collect()}
+    assert alarmed == {("e1", at(0)): (True, True, True), ("e2", at(0)): (True, False, False), ("e1", at(1)): (False, False, False)}
+    feed.add([("e9", "unknown", at(2), 0.9, False)])
+    with pytest.raises(Exception, match="no correction rate for unknown"):
+        run()
