@@ -70,6 +70,16 @@ def matches_glob(name: Column, pattern: str) -> Column:
     return name.rlike(glob_regex(pattern))
 
 
+def literal_ends(pattern: str) -> tuple[str, str]:
+    """What every name that a glob matches starts and ends with: the literal text before its first and after its last wildcard. A pattern
+    without wildcards has all of it as head."""
+    wild = [m.start() for m in re.finditer(r"[*?\[]", pattern)]
+    if not wild:
+        return pattern, ""
+    tail = re.split(r"[*?\]]", pattern)[-1] if "[" not in pattern.rpartition("]")[2] else ""
+    return pattern[: wild[0]], tail
+
+
 def brand_token(pattern: str) -> str:
     """The literal brand that a naming pattern starts with; patterns that don't start with '<brand>_' are refused."""
     found = re.match(r"([^_*?\[\]]+)_", pattern)
@@ -88,7 +98,8 @@ def decoded_key(key: Column) -> Column:
 
 
 def first_match(name: Column, patterns: list[tuple[str, str]]) -> Column:
-    """The id of the first (id, glob) that matches, else null: a CASE chain, no join."""
+    """The id of the first (id, glob) that matches, else null: a CASE chain, no join. For some hundred patterns; ``operators.brands`` has a
+    join for more."""
     out = F.lit(None).cast("string")
     for brand, pattern in reversed(patterns):
         out = F.when(matches_glob(name, pattern), F.lit(brand)).otherwise(out)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import names
+from . import brands
 
 OBJECT = "struct<bucket:struct<name:string>,object:struct<key:string>>"
 EVENT = f"struct<Records:array<struct<s3:{OBJECT}>>,detail:{OBJECT}>"
@@ -23,8 +24,11 @@ def uploads(raw: DataFrame, value: str = "value") -> DataFrame:
     return flat.where("bucket <> '' AND key <> ''").drop("_e", "_o")
 
 
-def with_brand(rows: DataFrame, patterns: list[tuple[str, str]]) -> DataFrame:
-    """Rows of known brands, the first pattern in order; others are dropped."""
+def with_brand(rows: DataFrame, patterns: list[tuple[str, str]] | DataFrame) -> DataFrame:
+    """Rows of known brands, the first pattern in order; others are dropped. Patterns are a list of (brand, glob), or for many brands a table of
+    (ordinal, brand, pattern)."""
+    if isinstance(patterns, DataFrame):
+        return brands.with_first_match(rows.withColumn("_name", names.basename(F.col("key"))), "_name", patterns).where("brand is not null").drop("_name")
     return rows.withColumn("brand", names.first_match(names.basename(F.col("key")), patterns)).where("brand is not null")
 
 

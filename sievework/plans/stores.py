@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import Drift
-from ..sources import folders, images, keyed, npy
+from ..operators import brands
+from ..sources import folders, images, keyed, npy, readers
 from ..storage import shared_dir
 from ..streaming import monitor, uploads
 
@@ -96,6 +97,29 @@ def class_folder_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("split", "label").agg(F.count(F.lit(1)).alias("rows")).join(seen, ["split", "label"], "left")
 
 
+def imports_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings exported as two files that only their order connects, lines with the label and a matrix, and put side by side again."""
+    out = new_folder(spark, "imports")
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.col("label").cast("string").alias("value"), F.col("embedding").alias("vector"))
+    ordered = rows.repartitionByRange("vec_id").sortWithinPartitions("vec_id")
+    npy.register(spark)
+    ordered.select(F.coalesce("value", F.lit("")).alias("value")).write.text(f"{out}/labels")
+    ordered.select("vector").write.format("npy").mode("append").save(f"{out}/matrix")
+    labels = readers.numbered_lines(spark, f"{out}/labels").select("position", F.col("value").alias("label"))
+    both = readers.by_position(labels, npy.read(spark, f"{out}/matrix", 1 << 14).select("position", "vector"))
+    return both.select("position", "label", F.round(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double")), 5).alias("total"))
+
+
+def brand_table_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders as file names against a table of patterns: one for each customer in credit, then two that any name may end with."""
+    number = F.format_string("c%08d", F.col("o_custkey"))
+    names = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(number, F.lit("_"), F.col("o_orderkey").cast("string"), F.lit(".jpg")).alias("name"))
+    c = table(spark, sf_dir, "customer").where("c_acctbal > 0")
+    own = c.select(F.col("c_custkey").alias("ordinal"), F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("brand"), F.concat(F.format_string("c%08d", F.col("c_custkey")), F.lit("_*")).alias("pattern"))
+    rest = spark.createDataFrame([(1 << 40, "low", "*[0-4].jpg"), (1 << 41, "rest", "*.jpg")], "ordinal long, brand string, pattern string")
+    return brands.with_first_match(names, "name", own.unionByName(rest)).select("o_orderkey", "brand")
+
+
 def drift_monitor_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events through the monitor as a stream that ends when it has read them: endpoints are users' last digits, brands their halves, and a
     brand's baseline is its share of errors before the given day. The signals' levels, and the alarms of the windows that they lie in."""
@@ -117,7 +141,7 @@ def drift_monitor_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.join(alarmed, ["endpoint", "window_start"])
 
 
-QUERIES = (model_registry_runs, npy_round_trip, class_folder_images, drift_monitor_stream)
+QUERIES = (model_registry_runs, npy_round_trip, class_folder_images, imports_by_position, brand_table_match, drift_monitor_stream)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -140,4 +164,6 @@ rates AS (SELECT brand, avg(corrected) AS rate FROM p WHERE ts < TIMESTAMP '{REL
 s AS (SELECT endpoint, brand, CAST(floor(epoch(max(ts)) / 300) AS BIGINT) * 300 AS window_start, count(*) AS predictions, avg(confidence) AS confidence, avg(corrected) AS correction_rate FROM p GROUP BY endpoint, brand),
 l AS (SELECT *, CASE WHEN CASE WHEN rate = 0 THEN correction_rate > 0 ELSE correction_rate >= rate * 1.05 END THEN 3 WHEN confidence < 0.30 THEN 2 WHEN confidence < 0.35 THEN 1 ELSE 0 END AS level FROM s JOIN rates USING (brand))
 SELECT endpoint, window_start, predictions, round(confidence, 6) AS confidence, round(correction_rate, 6) AS correction_rate, round(rate, 6) AS rate, CAST(level AS INT) AS level, level >= 2 AS level2, level >= 3 AS level3 FROM l""",
+        "imports_by_position": """SELECT row_number() OVER (ORDER BY vec_id) - 1 AS position, coalesce(CAST(label AS VARCHAR), '') AS label, round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 5) AS total FROM embeddings""",
+        "brand_table_match": """SELECT o_orderkey, CASE WHEN c_acctbal > 0 THEN 'n' || c_nationkey WHEN o_orderkey % 10 <= 4 THEN 'low' ELSE 'rest' END AS brand FROM orders LEFT JOIN customer ON o_custkey = c_custkey""",
     }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import io
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,14 +57,31 @@ def predictions(spark: SparkSession, path: str) -> DataFrame:
     row = F.from_json("value", "label string, prediction string, confidence double", {"mode": "PERMISSIVE"})
     parsed = lines.withColumn("r", row)
     ok = F.col("r.label").isNotNull() & F.col("r.prediction").isNotNull()
-    wrong = parsed.where(~F.coalesce(ok, F.lit(False))).select("file", "value").first()
-    if wrong:
-        whole = spark.read.text(wrong["file"], wholetext=True).select(F.posexplode(F.split("value", "\r\n|\r|\n")).alias("i", "line"))
-        at = whole.where(F.col("line") == wrong["value"]).agg(F.min("i")).first()[0]
-        raise ValueError(f"a prediction needs label and prediction: {wrong['file']}, line {at + 1}: {wrong['value']}")
+    bad = ~F.coalesce(ok, F.lit(False))
+    if parsed.where(bad).take(1):
+        numbered = numbered_lines(spark, path).where(F.trim("value") != "").withColumn("r", row).where(bad)
+        wrong = numbered.agg(F.min(F.struct("position", "file", "line", "value")).alias("first")).first()["first"]
+        raise ValueError(f"a prediction needs label and prediction: {wrong['file']}, line {wrong['line']}: {wrong['value']}")
     return parsed.select("r.label", "r.prediction", "r.confidence")
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line, position, value) of the lines of text files, however Spark splits them: the line's number in its file from 1, and from 0 its
+    place among all lines, files in the order of their names.
+
+    A split's lines are numbered as they are read; where a split begins follows from the numbers of lines in those before it. Only these
+    numbers, one row a split, are put in order. Files must not change meanwhile."""
+    m = F.col("_metadata")
+    lines = spark.read.text(path).select("value", m["file_path"].alias("file"), m["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("_i"))
+    splits = lines.groupBy("file", "block").agg(F.min("_i").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1))  # one row a split
+    within = F.sum("_n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    splits = splits.select("file", "block", "_first", F.coalesce(before, F.lit(0)).alias("_before"), F.coalesce(within, F.lit(0)).alias("_within"))
+    both = lines.join(splits, ["file", "block"])
+    at = F.col("_i") - F.col("_first")
+    return both.select("file", (F.col("_within") + at + 1).alias("line"), (F.col("_before") + at).alias("position"), "value")
+
+
 def by_position(labels: DataFrame, rows: DataFrame) -> DataFrame:
     """Two imports with a ``position`` each, side by side; a position that only one of them has is an error that names it."""
     both = labels.withColumn("_l", F.lit(True)).join(rows.withColumn("_r", F.lit(True)), "position", "full")
