@@ -113,13 +113,14 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
     """(id, n_words, n_base, first_word, last_word, base_labels, labels, score) of every row.
 
     labels: those of phrases and of notices, distinct, sorted, joined by commas; score: 1 with a phrase, else the greatest containment of
-    a notice, else 0. Null and empty texts have no words and no labels. Rows with one id share what the notices give; a null id shares
-    nothing."""
-    own = blocks(df, id_col, text_col).groupBy(id_col).agg(F.collect_set("label").alias("_labels"), F.max("containment").alias("_most"))  # at most one entry a notice
-    rows = phrases(df, id_col, text_col).join(own, id_col, "left")
+    a notice, else 0. Null and empty texts have no words and no labels. What notices give goes by id and text (its xxhash64), so rows with one
+    id and different texts don't share it, and rows with null ids get their own."""
+    keyed = df.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text")).alias("_key"), F.col(text_col).alias("_text"))
+    own = blocks(keyed, "_key", "_text").groupBy("_key.id", "_key.text").agg(F.collect_set("label").alias("_labels"), F.max("containment").alias("_most"))  # at most one entry a notice
+    rows = phrases(keyed, "_key", "_text").join(own, F.col("_key.id").eqNullSafe(F.col("id")) & (F.col("_key.text") == F.col("text")), "left")
     every = F.array_sort(F.array_union("base_labels", F.coalesce("_labels", F.array().cast("array<string>"))))
     return rows.select(
-        id_col, "n_words", "n_base", "first_word", "last_word",
+        F.col("_key.id").alias(id_col), "n_words", "n_base", "first_word", "last_word",
         F.array_join("base_labels", ",").alias("base_labels"), F.array_join(every, ",").alias("labels"),
         F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.coalesce("_most", F.lit(0.0))).alias("score"),
     )

@@ -294,14 +294,23 @@ def _runs(doc: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray,
     return doc[head], start[head], start[last] + length
 
 
+def _documents(ids: np.ndarray, digests: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of each row's document, by id and digest of its text; ids and digests of the numbers in order)."""
+    pairs = np.empty(len(ids), dtype=[("id", np.int64), ("digest", np.int64)])
+    pairs["id"], pairs["digest"] = ids, digests
+    known, number = np.unique(pairs, return_inverse=True)
+    return number, known["id"], known["digest"]
+
+
 def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, start, end): byte ranges that repeated strings cover; those of one document may overlap or touch."""
+    """(id, digest, start, end): byte ranges that repeated strings cover in the text of that id and digest (xxhash64); those of one document may
+    overlap or touch."""
     spark = df.sparkSession
-    rows = df.where(F.col(id_col).isNotNull() & (F.octet_length(text_col) >= LENGTH)).select(id_col, text_col)
+    rows = df.where(F.col(id_col).isNotNull() & (F.octet_length(text_col) >= LENGTH)).select(id_col, text_col, F.xxhash64(text_col).alias("digest"))
     total = rows.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     shared = spark.sparkContext.broadcast(_repeated(rows, text_col, total))  # 2^MOST_TABLE_BITS bits at most
     bits = max(4, int(total / (2 << 20)).bit_length())
-    kind = "bucket long, docs binary, starts binary, sizes binary, texts binary, gone binary"
+    kind = "bucket long, docs binary, digests binary, starts binary, sizes binary, texts binary, gone binary"
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
@@ -309,7 +318,7 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         for batch in batches:
             for a, b in slices_by_bytes(batch.column(1), SLICE_BYTES):
                 rows = batch.slice(a, b - a)
-                ids = rows.column(0).cast(pa.int64()).to_numpy(zero_copy_only=False)
+                number, *known = _documents(rows.column(0).cast(pa.int64()).to_numpy(zero_copy_only=False), rows.column(2).to_numpy(zero_copy_only=False))
                 texts = list(text_views(rows.column(1)))
                 h, doc, begins, stops, raw = anchors(texts)
                 slot = (h >> shift).astype(np.int64)
@@ -318,7 +327,7 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 if not len(h):
                     continue
                 base = np.cumsum([len(t) for t in texts]) - np.array([len(t) for t in texts])
-                own, start = ids[doc], begins - base[doc]
+                own, start = number[doc], begins - base[doc]
                 by = np.lexsort((start, own))
                 joined = raw.tobytes()
                 first: dict[bytes, int] = {}
@@ -332,22 +341,24 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 bucket = (h[chosen] >> np.uint64(64 - bits)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 heads = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-                out: dict[str, list] = {c: [] for c in ("bucket", "docs", "starts", "sizes", "texts", "gone")}
+                out: dict[str, list] = {c: [] for c in ("bucket", "docs", "digests", "starts", "sizes", "texts", "gone")}
                 for x, y in zip(heads.tolist(), [*heads[1:].tolist(), len(order)]):
                     group = order[x:y]
                     travel, rest = chosen[group[group < len(kept)]], chosen[group[group >= len(kept)]]
                     size = stops[travel] + LENGTH - begins[travel]
                     out["bucket"].append(int(bucket[group[0]]))
-                    out["docs"].append(own[travel].astype("<i8").tobytes())
+                    out["docs"].append(known[0][own[travel]].astype("<i8").tobytes())
+                    out["digests"].append(known[1][own[travel]].astype("<i8").tobytes())
                     out["starts"].append(start[travel].astype("<i8").tobytes())
                     out["sizes"].append(size.astype("<i4").tobytes())
                     out["texts"].append(b"".join(joined[p : p + s] for p, s in zip(begins[travel].tolist(), size.tolist())))
-                    out["gone"].append(np.stack([own[rest], start[rest], start[rest] + (stops[rest] - begins[rest]) + LENGTH], axis=1).astype("<i8").tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(out["bucket"], pa.int64()), *(pa.array(out[c], pa.binary()) for c in ("docs", "starts", "sizes", "texts", "gone"))], names=list(out))
+                    out["gone"].append(np.stack([known[0][own[rest]], known[1][own[rest]], start[rest], start[rest] + (stops[rest] - begins[rest]) + LENGTH], axis=1).astype("<i8").tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(out["bucket"], pa.int64()), *(pa.array(out[c], pa.binary()) for c in list(out)[1:])], names=list(out))
 
     def settle(table: pa.Table) -> pa.Table:
         column = lambda c, dtype: np.frombuffer(b"".join(table.column(c).to_pylist()), dtype=dtype)
-        docs, starts, sizes = column("docs", "<i8"), column("starts", "<i8"), column("sizes", "<i4").astype(np.int64)
+        docs, *known = _documents(column("docs", "<i8"), column("digests", "<i8"))
+        starts, sizes = column("starts", "<i8"), column("sizes", "<i4").astype(np.int64)
         text = b"".join(table.column("texts").to_pylist())
         ends = np.cumsum(sizes)
         spans = [text[e - s : e] for s, e in zip(sizes.tolist(), ends.tolist())]
@@ -361,10 +372,11 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 copies.append(i)
         doc, start = repeated_starts([spans[i] for i in kept], docs[kept], starts[kept])
         doc, start, end = _runs(doc, start, LENGTH)
-        gone = np.concatenate([column("gone", "<i8").reshape(-1, 3), np.stack([docs[copies], starts[copies], starts[copies] + sizes[copies]], axis=1)])
-        return pa.table({id_col: pa.array(np.concatenate([doc, gone[:, 0]]), pa.int64()), "start": pa.array(np.concatenate([start, gone[:, 1]]), pa.int64()), "end": pa.array(np.concatenate([end, gone[:, 2]]), pa.int64())})
+        found = [np.concatenate([doc, docs[copies]]), np.concatenate([start, starts[copies]]), np.concatenate([end, starts[copies] + sizes[copies]])]
+        gone = np.concatenate([column("gone", "<i8").reshape(-1, 4), np.stack([known[0][found[0]], known[1][found[0]], *found[1:]], axis=1)])
+        return pa.table({c: pa.array(gone[:, i].copy(), pa.int64()) for i, c in enumerate((id_col, "digest", "start", "end"))})
 
-    return rows.mapInArrow(deal, kind).groupBy("bucket").applyInArrow(settle, f"`{id_col}` long, start long, end long")
+    return rows.mapInArrow(deal, kind).groupBy("bucket").applyInArrow(settle, f"`{id_col}` long, digest long, start long, end long")
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), whole_characters: bool = False) -> DataFrame:
@@ -372,11 +384,13 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     If ``whole_characters``, a character that loses a byte goes as a whole.
 
     A null text counts as empty. Strings are judged on the input. Ids are integers; rows with the same id and text count as one
-    document, get the same result, and don't make each other repeats. A row with a null id loses nothing and makes nothing a repeat.
+    document, get the same result, and don't make each other repeats; rows with one id and different texts are documents of their own, in the
+    order of a hash of the text. A row with a null id loses nothing and makes nothing a repeat.
     A document's ranges are the only thing gathered by id, in proportion to its own length."""
     ranges = materialise(repeats(df, id_col, text_col), "repeats")
-    by_doc = ranges.groupBy(id_col).agg(F.collect_list("start").alias("_starts"), F.collect_list("end").alias("_ends"))
-    joined = df.select(id_col, text_col, *carry).join(by_doc, id_col, "left").select(id_col, text_col, "_starts", "_ends", *carry)
+    by_doc = ranges.groupBy(F.col(id_col).alias("_id"), F.col("digest").alias("_digest")).agg(F.collect_list("start").alias("_starts"), F.collect_list("end").alias("_ends"))
+    own = (F.col(id_col) == F.col("_id")) & (F.xxhash64(text_col) == F.col("_digest"))
+    joined = df.select(id_col, text_col, *carry).join(by_doc, own, "left").select(id_col, text_col, "_starts", "_ends", *carry)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.struct([("start", pa.int64()), ("end", pa.int64())])

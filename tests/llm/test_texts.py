@@ -445,3 +445,19 @@ def test_language_bounds(spark):
     assert sum(r.lang == r.lang_pred for r in langid.predict(docs, model).join(docs, "doc_id").collect()) >= 225
     known = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     assert {p for p in (known.id_to_piece(i).lower() for i in range(known.get_piece_size())) if p.lstrip("▁") and all(unicodedata.category(c)[0] == "L" for c in p.lstrip("▁"))} <= set(model.pieces)
+
+
+def test_rows_with_one_id_and_different_texts(spark):
+    """Neither the ranges nor the labels of one text go to another one of the same id."""
+    rng = random.Random(12)
+    text = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    p, a, b = text(150), text(300), text(600)
+    rows = [(1, p), (2, a + p), (2, b), (3, b), (3, b), (2, "x" + a[:120])]
+    got = suffix.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    kept = sorted((r.doc_id, bytes(r.kept).decode()) for r in got)
+    first = [(2, a), (2, "x")] if (2, a) in kept else [(2, a[120:]), (2, "x" + a[:120])]  # whichever hash is smaller
+    assert kept == sorted([(1, p), *first, (2, b), (3, ""), (3, "")])
+    notice = "licensed under the apache license version 2 0"
+    rows = [(1, notice), (1, "plain words only here"), (None, notice), (None, "nothing"), (2, None)]
+    got = license.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.labels) for r in got) == [("1", 4, ""), ("1", 8, "apache,apache-2.0"), ("2", 0, ""), ("None", 1, ""), ("None", 8, "apache,apache-2.0")]
