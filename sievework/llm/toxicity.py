@@ -1,15 +1,20 @@
 """Toxic spans by a linear-chain conditional random field, and document scores from its marginals.
 
-Labels exist for documents only, so tokens are labelled first: words that training documents with the label have far more often
-than others mark their tokens in toxic documents. A chain with two states is fitted on these tokens. Its forward-backward
-marginals give the offending places, and a logistic model over their aggregates gives the document's score.
+Labels exist for documents only. A document is toxic if any of its tokens is, and which ones are is left open: the field is fitted on
+the probability that it gives to the documents' labels, which is exact, as the path without a toxic token is one path:
+
+    P(clean) = exp(score of that path) / Z.
+
+So a clean document pushes all its tokens' marginals down, and a toxic one pushes them up in proportion to themselves, by P(clean) / P(toxic):
+the tokens that explain the label win. Tokens have features of their word, its beginning and end, the letters in it, its shape and length, and
+of the words beside it, in hashed slots. Forward-backward marginals give the offending places, and a logistic model over
+their aggregates the document's score.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,16 +27,12 @@ from pyspark.sql import types as T
 from .common import Numbers, give_back, sent_text, slices_by_bytes, text_views, whole_rows
 from .sampling import bounded_rows
 
-#: Labelled documents of either kind that the model is fitted on, at most about.
-SAMPLE_DOCS = 1_500
-LEXICON = 4_000
-LEAST_DOCS = 4
-LEAST_SHARE = 0.01  # of the toxic documents that a word of the lexicon is in
-MARKED = 2.5  # log-odds from which a word marks its tokens in a toxic document
-CHAIN = 256  # tokens of a chain at most; a longer sentence goes on in the next chain
+#: Labelled documents of either kind that the model is fitted on, at most about, and the bytes of their texts.
+SAMPLE_DOCS, SAMPLE_BYTES = 1_500, 32 << 20
+SLOTS = 1 << 17  # of hashed features
+STEPS, RATE, RIDGE = 30, 0.08, 2e-5
 CACHE_ENTRIES = 200_000
 SLICE_BYTES = 1 << 20  # of texts read at once
-FEATURES = 6
 _letters = re.compile(r"[^\W\d_]+")
 _blank = np.zeros(256, dtype=bool)
 _blank[[9, 10, 11, 12, 13, 32]] = True
@@ -55,52 +56,81 @@ def unlike(texts: list[bytes]) -> np.ndarray:
     return np.array(kept, dtype=np.int64)
 
 
+def _slot(kind: str, value: str) -> int:
+    return zlib.crc32(f"{kind}={value}".encode()) % SLOTS
+
+
+def token_slots(token: bytes) -> tuple[list[int], int]:
+    """(slots of a token's own features, slot of its word as a neighbour)."""
+    word = word_of(token)
+    own = [_slot("word", word), _slot("start", word[:3]), _slot("end", word[-3:])]
+    own += [_slot("part", word[i : i + 4]) for i in range(min(len(word) - 3, 12))]
+    text = token.decode("utf-8", "replace")
+    shape = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else "." for c in text[:24])
+    own += [_slot("shape", re.sub(r"(.)\1+", r"\1", shape)), _slot("length", str(min(len(word), 12)))]
+    return own, _slot("beside", word)
+
+
 @dataclass
 class Model:
-    odds: dict[str, float]
-    weights: np.ndarray  # of the token features
+    slots: np.ndarray  # weights of the hashed features
+    sides: np.ndarray  # 2 x slots: of the words before and after
+    bias: float
     moves: np.ndarray  # 2 x 2 log-weights of transitions
     document: np.ndarray  # of the document features
 
 
 class Reader:
-    """Tokens of texts and their features; what depends on the token alone is cached."""
+    """Tokens of texts and the log-odds of their emissions; what depends on the token alone is cached."""
 
-    def __init__(self, odds: dict[str, float]):
-        self.odds = odds
+    def __init__(self, model: Model):
+        self.model = model
         self.numbers = Numbers(CACHE_ENTRIES)
-        self.value = np.zeros(0)
+        self.own = np.zeros((3, 0))  # by the token itself, as the word before, as the word after
         self.closes = np.zeros(0, dtype=bool)
 
     def read(self, texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(tokens, their count in each text, first token of each chain, features, the joined texts as bytes)."""
-        joined = b"\n".join(texts)
-        tokens = joined.split()
-        raw = np.frombuffer(joined, dtype=np.uint8)
-        full = ~_blank[raw]
-        begins = np.flatnonzero(full & np.concatenate([[True], ~full[:-1]])) if len(raw) else np.zeros(0, dtype=np.int64)
-        sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
-        edges = np.concatenate([[0], np.cumsum(sizes)])
-        counts = np.diff(np.searchsorted(begins, edges))
+        """(tokens, their count in each text, first token of each chain, log-odds, where tokens begin in the joined texts)."""
+        tokens, counts, begins = split(texts)
         which = self.numbers.numbered(tokens)
         if self.numbers.fresh:
-            self.value = np.concatenate([self.value, [self.odds.get(word_of(t), 0.0) for t in self.numbers.fresh]])
+            new = np.zeros((3, len(self.numbers.fresh)))
+            for i, t in enumerate(self.numbers.fresh):
+                own, side = token_slots(t)
+                new[:, i] = self.model.slots[own].sum(), self.model.sides[0, side], self.model.sides[1, side]
+            self.own = np.concatenate([self.own, new], axis=1)
             self.closes = np.concatenate([self.closes, np.array([t[-1:] in b".!?" for t in self.numbers.fresh], dtype=bool)])
-        value, closes = self.value[which], self.closes[which]
+        value, closes = self.own[:, which], self.closes[which]
         stay = self.numbers.settle()
-        self.value, self.closes = self.value[:stay], self.closes[:stay]
-        first = np.zeros(len(tokens), dtype=bool)
-        first[(np.cumsum(counts) - counts)[counts > 0]] = True
-        first[1:] |= closes[:-1]
-        starts = np.flatnonzero(first)
-        within = np.arange(len(tokens)) - np.repeat(starts, np.diff(np.append(starts, len(tokens))))
-        starts = np.flatnonzero(within % CHAIN == 0)
-        before, after = np.roll(value, 1), np.roll(value, -1)
-        if len(tokens):
-            before[starts] = 0
-            after[np.append(starts[1:], len(tokens)) - 1] = 0
-        features = np.stack([np.ones(len(tokens)), value, value >= MARKED, np.maximum(before, 0), np.maximum(after, 0), np.minimum(value, 0)], axis=1)
-        return tokens, counts, starts, features, begins
+        self.own, self.closes = self.own[:, :stay], self.closes[:stay]
+        starts = chain_starts(counts, closes)
+        return tokens, counts, starts, self.model.bias + value[0] + beside(value[1], starts, 1) + beside(value[2], starts, -1), begins
+
+
+def split(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(tokens of all texts, their count in each, where they begin in the texts joined by one byte)."""
+    joined = b"\n".join(texts)
+    raw = np.frombuffer(joined, dtype=np.uint8)
+    full = ~_blank[raw]
+    begins = np.flatnonzero(full & np.concatenate([[True], ~full[:-1]])) if len(raw) else np.zeros(0, dtype=np.int64)
+    edges = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
+    return joined.split(), np.diff(np.searchsorted(begins, edges)), begins
+
+
+def chain_starts(counts: np.ndarray, closes: np.ndarray) -> np.ndarray:
+    """Chains are sentences, however long; they never cross documents."""
+    first = np.zeros(len(closes), dtype=bool)
+    first[(np.cumsum(counts) - counts)[counts > 0]] = True
+    first[1:] |= closes[:-1]
+    return np.flatnonzero(first)
+
+
+def beside(value: np.ndarray, starts: np.ndarray, step: int) -> np.ndarray:
+    """The value of the token before (step 1) or after (-1) in the chain, 0 at its ends."""
+    out = np.roll(value, step)
+    if len(out):
+        out[starts if step == 1 else np.append(starts[1:], len(out)) - 1] = 0
+    return out
 
 
 def marginals(odds: np.ndarray, starts: np.ndarray, moves: np.ndarray) -> np.ndarray:
@@ -142,24 +172,34 @@ def marginals(odds: np.ndarray, starts: np.ndarray, moves: np.ndarray) -> np.nda
     return joint / (1 + joint)
 
 
-def _pair_marginals(odds: np.ndarray, starts: np.ndarray, moves: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """Expected transitions 2 x 2, from the marginals of neighbours and the chain's conditional probabilities."""
-    n = len(odds)
+def fields(odds: np.ndarray, starts: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(marginals, pairs, log Z - score of the all-clean path) of every chain: the marginal of state 1 at each token, the probabilities of the
+    four transitions into each token (zero at a chain's start), and what each chain adds to -log P(clean)."""
+    p = marginals(odds, starts, moves)
+    forward = _forward(odds, starts, moves)
+    n, m = len(odds), np.exp(moves)
     inside = np.ones(n, dtype=bool)
     inside[starts] = False
     at = np.flatnonzero(inside)
-    # P(y_t = 1 | y_{t-1} = s) needs the backward ratio at t: marginal odds over the forward ratio.
-    forward = _forward(odds, starts, moves)
+    # P(y_t = 1 | y_{t-1} = s) needs the backward ratio at t: marginal odds over the forward ratio
     b = np.clip(p[at] / np.maximum(1 - p[at], 1e-12) / forward[at], 1e-200, 1e200)
-    m = np.exp(moves)
     x = np.exp(np.clip(odds[at], -30, 30)) * b
     up0, up1 = m[0, 1] * x / (m[0, 0] + m[0, 1] * x), m[1, 1] * x / (m[1, 0] + m[1, 1] * x)
     q = p[at - 1]
-    return np.array([[((1 - q) * (1 - up0)).sum(), ((1 - q) * up0).sum()], [(q * (1 - up1)).sum(), (q * up1).sum()]])
+    pairs = np.zeros((4, n))
+    pairs[:, at] = (1 - q) * (1 - up0), (1 - q) * up0, q * (1 - up1), q * up1
+    # alpha_t(0) = alpha_{t-1}(0) (m00 + r m10): the all-clean path takes m00 at each step
+    step = np.zeros(n)
+    step[at] = np.log((m[0, 0] + forward[at - 1] * m[1, 0]) / m[0, 0])
+    last = np.append(starts[1:], n) - 1
+    step[last] += np.log1p(forward[last])
+    return p, pairs, np.add.reduceat(step, starts) if len(starts) else np.zeros(0)
 
 
 def _forward(odds: np.ndarray, starts: np.ndarray, moves: np.ndarray) -> np.ndarray:
     n = len(odds)
+    if not n:
+        return np.zeros(0)
     size = np.diff(np.append(starts, n))
     order = np.argsort(-size, kind="stable")
     starts, size = starts[order], size[order]
@@ -173,23 +213,61 @@ def _forward(odds: np.ndarray, starts: np.ndarray, moves: np.ndarray) -> np.ndar
     return out
 
 
-def fit_chain(features: np.ndarray, labels: np.ndarray, starts: np.ndarray, steps: int = 120, rate: float = 0.15, ridge: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and transitions of greatest likelihood (with a ridge), by Adam on the exact gradient."""
-    n = max(len(labels), 1)
-    theta = np.zeros(FEATURES + 4)
-    theta[0] = -2.0
-    inside = np.ones(len(labels), dtype=bool)
-    inside[starts] = False
-    at = np.flatnonzero(inside)
-    seen = np.bincount(2 * labels[at - 1] + labels[at], minlength=4).astype(float)
-    m1, m2 = np.zeros_like(theta), np.zeros_like(theta)
+class Examples:
+    """Training documents as arrays: token types with their slots, chains, documents."""
+
+    def __init__(self, texts: list[bytes], labels: np.ndarray):
+        tokens, self.counts, _ = split(texts)
+        numbers = Numbers(1 << 62)
+        self.type = numbers.numbered(tokens)
+        kinds = [token_slots(t) for t in numbers.fresh]
+        size = np.array([len(own) for own, _ in kinds], dtype=np.int64)
+        self.slot = np.array([s for own, _ in kinds for s in own], dtype=np.int64)
+        self.of = np.repeat(np.arange(len(kinds)), size)
+        self.side = np.array([b for _, b in kinds], dtype=np.int64)
+        self.starts = chain_starts(self.counts, np.array([t[-1:] in b".!?" for t in numbers.fresh], dtype=bool)[self.type] if len(tokens) else np.zeros(0, dtype=bool))
+        self.doc = np.repeat(np.arange(len(texts)), self.counts)
+        self.labels = labels
+
+    def odds(self, model: Model) -> np.ndarray:
+        own = np.bincount(self.of, weights=model.slots[self.slot], minlength=len(self.side))[self.type]
+        return model.bias + own + sum(beside(model.sides[i][self.side][self.type], self.starts, step) for i, step in ((0, 1), (1, -1)))
+
+    def gradient(self, model: Model) -> tuple[float, list[np.ndarray]]:
+        """(log-likelihood of the labels, its gradient by slots, sides, bias and moves), exactly."""
+        p, pairs, away = fields(self.odds(model), self.starts, model.moves)
+        chain_doc = self.doc[self.starts] if len(self.starts) else np.zeros(0, dtype=np.int64)
+        clean = -np.bincount(chain_doc, weights=away, minlength=len(self.labels))  # log P(clean)
+        toxic = np.log(-np.expm1(np.minimum(clean, -1e-12)))
+        pull = np.where(self.labels == 1, np.exp(np.minimum(clean - toxic, 30)), -1.0)  # of each document on its tokens
+        g = pull[self.doc] * p
+        by_type = np.bincount(self.type, weights=g, minlength=len(self.side))
+        slots = np.bincount(self.slot, weights=by_type[self.of], minlength=SLOTS)
+        # what a token pulls falls on the word before it and the word after it
+        beside_it = [np.bincount(self.type, weights=beside(g, self.starts, -step), minlength=len(self.side)) for step in (1, -1)]
+        sides = np.stack([np.bincount(self.side, weights=b, minlength=SLOTS) for b in beside_it])
+        inside = pairs.sum(axis=0) > 0
+        pairs[0, inside] -= 1  # the all-clean path's transitions
+        moves = (pairs * pull[self.doc]).sum(axis=1).reshape(2, 2)
+        value = float(np.where(self.labels == 1, toxic, clean).sum())
+        return value, [slots, sides, np.array(g.sum()), moves]
+
+
+def fit_field(examples: Examples, steps: int = STEPS, rate: float = RATE, ridge: float = RIDGE) -> Model:
+    """Weights of greatest likelihood of the documents' labels (with a ridge), by Adam on the exact gradient. At first all tokens of a kind are
+    alike and seldom toxic; staying in a state is likelier than leaving it."""
+    n = max(1, len(examples.labels))
+    start = -np.log(max(2.0, len(examples.type) / n))
+    parts = [np.zeros(SLOTS), np.zeros((2, SLOTS)), np.array(start), np.array([[0.0, 0.0], [0.0, 0.0]])]
+    first, second = [np.zeros_like(x) for x in parts], [np.zeros_like(x) for x in parts]
     for step in range(1, steps + 1):
-        odds, moves = features @ theta[:FEATURES], theta[FEATURES:].reshape(2, 2)
-        p = marginals(odds, starts, moves)
-        gradient = np.concatenate([features.T @ (labels - p), seen - _pair_marginals(odds, starts, moves, p).ravel()]) / n - ridge * theta
-        m1, m2 = 0.9 * m1 + 0.1 * gradient, 0.99 * m2 + 0.01 * gradient**2
-        theta = theta + rate * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.99**step)) + 1e-9)
-    return theta[:FEATURES], theta[FEATURES:].reshape(2, 2)
+        model = Model(parts[0], parts[1], float(parts[2]), parts[3], np.zeros(5))
+        found = examples.gradient(model)[1]
+        for i, g in enumerate(found):
+            g = g / n - ridge * parts[i]
+            first[i], second[i] = 0.9 * first[i] + 0.1 * g, 0.99 * second[i] + 0.01 * g**2
+            parts[i] = parts[i] + rate * (first[i] / (1 - 0.9**step)) / (np.sqrt(second[i] / (1 - 0.99**step)) + 1e-6)
+    return Model(parts[0], parts[1], float(parts[2]), parts[3], np.zeros(5))
 
 
 def document_features(p: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -212,41 +290,32 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 30, ridge: float = 1e-
 
 
 def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_docs: int = SAMPLE_DOCS) -> Model:
-    """Fit on about ``sample_docs`` labelled documents of either kind; rows with a null label or text don't count, and a document with
-    both labels counts as toxic. Without both kinds every document scores the share of toxic labels."""
+    """Fit on about ``sample_docs`` labelled documents of either kind, and of their texts on at most ``SAMPLE_BYTES``, each kind having half; rows with a null
+    label or text don't count, repeated rows count once, and a document with both labels counts as toxic. Without both kinds every document
+    scores the share of toxic labels."""
     one_label = labels.where(F.col(label_col).isin(0, 1)).groupBy(id_col).agg(F.max(label_col).alias(label_col))
     chosen = bounded_rows(one_label, label_col, id_col, sample_docs)
     rows = documents.select(id_col, text_col).where(F.col(text_col).isNotNull()).join(F.broadcast(chosen), id_col)  # about twice the sample's size at most
-    pairs = [(r[text_col].encode(), int(r[label_col])) for r in rows.select(text_col, label_col).toLocalIterator()]
+    order = F.xxhash64(F.col(id_col), F.lit(5))
+    pairs, size = [], {0: 0, 1: 0}
+    for r in rows.select(text_col, label_col, F.col(id_col).alias("_id")).dropDuplicates(["_id", text_col]).orderBy(order, "_id").select(text_col, label_col).toLocalIterator():
+        text, label = r[0].encode(), int(r[1])
+        if size[label] + len(text) <= SAMPLE_BYTES // 2:
+            pairs.append((text, label))
+            size[label] += len(text)
+        elif min(size.values()) > SAMPLE_BYTES // 2 - (1 << 16):
+            break
     pairs.sort()
     pairs = [pairs[i] for i in unlike([p[0] for p in pairs])]  # a group of copies says no more than one of them
     texts, y = [p[0] for p in pairs], np.array([p[1] for p in pairs], dtype=np.int64)
     if len(set(y.tolist())) < 2:
         share = float(y.mean()) if len(y) else 0.0
-        return Model({}, np.zeros(FEATURES), np.zeros((2, 2)), np.array([np.log((share + 1e-6) / (1 - share + 1e-6)), 0, 0, 0, 0]))
-    seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
-    for text, label in zip(texts, y.tolist()):
-        seen[label].update({word_of(t) for t in text.split()})
-    n1, n0 = int(y.sum()), int(len(y) - y.sum())
-    odds = {}
-    for word, k in seen[1].items():
-        if word and k >= max(LEAST_DOCS, LEAST_SHARE * n1):
-            a, b = (k + 0.5) / (n1 + 1), (seen[0][word] + 0.5) / (n0 + 1)
-            gap = 1.0 / (k + 0.5) + 1.0 / (seen[0][word] + 0.5)
-            odds[word] = float(np.log(a / (1 - a)) - np.log(b / (1 - b)) - np.sqrt(gap))
-    odds = dict(sorted(((w, v) for w, v in odds.items() if v > 0.5), key=lambda x: (-x[1], x[0]))[:LEXICON])
-    reader = Reader(odds)
-    tokens, counts, starts, features, _ = reader.read(texts)
-    toxic = np.repeat(y, counts)
-    marked = ((features[:, 1] >= MARKED) & (toxic == 1)).astype(np.int64)
-    # Chains without any known word say the same: one in eight of them is enough for the fit.
-    chain = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(tokens))))
-    keep = (np.bincount(chain, weights=features[:, 1] > 0, minlength=len(starts)) > 0) | (np.arange(len(starts)) % 8 == 0)
-    inside = keep[chain]
-    size = np.diff(np.append(starts, len(tokens)))[keep]
-    weights, moves = fit_chain(features[inside], marked[inside], np.cumsum(size) - size)
-    p = marginals(features @ weights, starts, moves)
-    return Model(odds, weights, moves, _logistic(document_features(p, counts), y.astype(float)))
+        return Model(np.zeros(SLOTS), np.zeros((2, SLOTS)), -30.0, np.zeros((2, 2)), np.array([np.log((share + 1e-6) / (1 - share + 1e-6)), 0, 0, 0, 0]))
+    examples = Examples(texts, y)
+    model = fit_field(examples)
+    p = marginals(examples.odds(model), examples.starts, model.moves)
+    model.document = _logistic(document_features(p, examples.counts), y.astype(float))
+    return model
 
 
 def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
@@ -255,18 +324,18 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
     place.
 
     A null text counts as empty; an empty one gets the score of a document without toxic tokens and no spans. Only the text decides."""
-    shared = df.sparkSession.sparkContext.broadcast(model)  # at most LEXICON words
+    shared = df.sparkSession.sparkContext.broadcast(model)  # three numbers a slot
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        reader = Reader(model.odds)
+        reader = Reader(model)
         span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
         for batch in batches:
             column = sent_text(batch, text_col, whole)
             for a, b in slices_by_bytes(column, SLICE_BYTES):
                 texts = list(text_views(column.slice(a, b - a)))
-                tokens, counts, starts, features, begins = reader.read(texts)
-                p = marginals(features @ model.weights, starts, model.moves)
+                tokens, counts, starts, odds, begins = reader.read(texts)
+                p = marginals(odds, starts, model.moves)
                 value = 1 / (1 + np.exp(-np.clip(document_features(p, counts) @ model.document, -30, 30)))
                 hit = p >= 0.5
                 doc = np.repeat(np.arange(len(texts)), counts)

@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sievework.llm import bpe, components, jaccard, langid, license, packing, suffix, tokenfile, toxicity
+from sievework.llm import bpe, components, jaccard, langid, license, packing, queries, suffix, tokenfile, toxicity
 from sievework.llm.components import connected_components, forest
 from sievework.llm.tokens import CachedTokenizer
 
@@ -192,11 +192,11 @@ def test_language(spark, odd, none):
 
 def test_chain_equals_enumeration():
     rng = np.random.default_rng(0)
-    odds, moves = rng.normal(size=7), rng.normal(size=(2, 2))
-    p = toxicity.marginals(odds, np.array([0, 4]), moves)
-    pairs = toxicity._pair_marginals(odds, np.array([0, 4]), moves, p)
-    single, both = [], np.zeros((2, 2))
-    for o in (odds[:4], odds[4:]):
+    odds, moves = rng.normal(size=8), rng.normal(size=(2, 2))
+    starts = np.array([0, 4, 7])
+    p, pairs, away = toxicity.fields(odds, starts, moves)
+    single, both, clean = [], np.zeros((2, 2)), []
+    for o in (odds[:4], odds[4:7], odds[7:]):
         total, m, w = 0.0, np.zeros(len(o)), np.zeros((2, 2))
         for y in itertools.product((0, 1), repeat=len(o)):
             v = np.exp(sum(o[i] for i in range(len(o)) if y[i]) + sum(moves[a, b] for a, b in zip(y, y[1:])))
@@ -206,7 +206,98 @@ def test_chain_equals_enumeration():
                 w[a, b] += v
         single += (m / total).tolist()
         both += w / total
-    assert np.allclose(p, single) and np.allclose(pairs, both)
+        clean.append(np.log(total) - moves[0, 0] * (len(o) - 1))
+    assert np.allclose(p, single) and np.allclose(pairs.sum(axis=1).reshape(2, 2), both) and np.allclose(away, clean)
+    assert np.allclose(p, toxicity.marginals(odds, starts, moves))
+
+
+def test_likelihood_of_labels():
+    """Its gradient against differences, in every kind of weight."""
+    rng = np.random.default_rng(1)
+    texts = [b"you silly Idiot. go home", b"a good day", b"", b"silly idiot! idiot", b"day by day. home"]
+    e = toxicity.Examples(texts, np.array([1, 0, 0, 1, 0]))
+    model = toxicity.Model(rng.normal(size=toxicity.SLOTS) * 0.3, rng.normal(size=(2, toxicity.SLOTS)) * 0.3, -0.7, rng.normal(size=(2, 2)), np.zeros(5))
+    slots, sides, bias, moves = e.gradient(model)[1]
+
+    def slope(array, at):
+        before = array[at]
+        values = []
+        for d in (1e-5, -1e-5):
+            array[at] = before + d
+            values.append(e.gradient(model)[0])
+        array[at] = before
+        return (values[0] - values[1]) / 2e-5
+
+    for s in (e.slot[0], e.slot[7], e.slot[-1]):
+        assert slots[s] == pytest.approx(slope(model.slots, s), abs=1e-6)
+    for side in (0, 1):
+        for s in e.side[:6]:
+            assert sides[side, s] == pytest.approx(slope(model.sides, (side, s)), abs=1e-6)
+    for at in itertools.product((0, 1), repeat=2):
+        assert moves[at] == pytest.approx(slope(model.moves, at), abs=1e-6)
+    value = e.gradient(model)[0]
+    up, down = (e.gradient(toxicity.Model(model.slots, model.sides, model.bias + d, model.moves, model.document))[0] for d in (1e-5, -1e-5))
+    assert bias == pytest.approx((up - down) / 2e-5, abs=1e-6) and value < 0
+    # what is read for scoring is what was fitted
+    tokens, counts, starts, odds, _ = toxicity.Reader(model).read(texts)
+    assert np.allclose(odds, e.odds(model)) and (starts == e.starts).all() and (counts == e.counts).all()
+
+
+def test_spans_equal_plain_decoding(spark):
+    """Spans are the runs of tokens whose marginal, by enumeration, is at least one half."""
+    rng = np.random.default_rng(2)
+    model = toxicity.Model(rng.normal(size=toxicity.SLOTS), rng.normal(size=(2, toxicity.SLOTS)), -0.2, rng.normal(size=(2, 2)), np.array([0.1, 1, 1, 0.5, 0.2]))
+    texts = ["one two. three fours five", "  éa b\tc. d", "x", "", "one one one two"]
+    got = {r.doc_id: r for r in toxicity.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()}
+    for i, text in enumerate(texts):
+        found = [(m.start(), m.end(), m[0]) for m in re.finditer(rb"[^ \t\n]+", text.encode())]
+        sentences, own = [], []
+        for token in found:
+            own.append(token)
+            if token[2][-1:] in (b".", b"!", b"?"):
+                sentences.append(own)
+                own = []
+        hits = []
+        for tokens in [*sentences, own]:
+            kinds = [toxicity.token_slots(t[2]) for t in tokens]
+            odds = [model.bias + model.slots[k[0]].sum() + (model.sides[0, kinds[n - 1][1]] if n else 0) + (model.sides[1, kinds[n + 1][1]] if n + 1 < len(kinds) else 0) for n, k in enumerate(kinds)]
+            ways = list(itertools.product((0, 1), repeat=len(odds)))
+            w = np.exp([sum(o for o, y in zip(odds, way) if y) + sum(model.moves[a, b] for a, b in zip(way, way[1:])) for way in ways])
+            p = w @ np.array(ways).reshape(len(ways), -1) / w.sum()
+            hits += [(t, q >= 0.5) for t, q in zip(tokens, p)]
+        spans, last = [], None
+        for n, ((a, b, _), hit) in enumerate(hits):
+            if hit and last == n - 1:
+                spans[-1] = (spans[-1][0], b)
+            elif hit:
+                spans.append((a, b))
+            last = n if hit else last
+        assert [(s.start, s.end) for s in got[i].spans] == spans
+
+
+def test_held_out_documents(spark):
+    """The field against a rule that calls a document toxic for one word of great log-odds, both learned from the same documents."""
+    sf = "/root/testdata/sf0.1"
+    documents, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    rows = documents.join(labels.where("toxic is not null").select("doc_id", "toxic"), "doc_id").where("text is not null").select("doc_id", "text", "toxic").collect()
+    held = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    seen: dict[int, dict[str, int]] = {0: {}, 1: {}}
+    total = [0, 0]
+    for r in rows:
+        if zlib.crc32(str(r.doc_id).encode()) % 5:
+            total[r.toxic] += 1
+            for w in {toxicity.word_of(t) for t in r.text.encode().split()}:
+                seen[r.toxic][w] = seen[r.toxic].get(w, 0) + 1
+    share = lambda w, k: (seen[k].get(w, 0) + 0.5) / (total[k] + 1)
+    bad = {w for w, n in seen[1].items() if n >= 4 and np.log(share(w, 1) / (1 - share(w, 1)) * (1 - share(w, 0)) / share(w, 0)) >= 2.5}
+    rule = {r.doc_id: any(toxicity.word_of(t) in bad for t in r.text.encode().split()) for r in held}
+    got = {r.doc_id: r.predicted == 1 for r in queries.op7_toxicity(spark, sf).where("held_out").collect()}
+    rates = {}
+    for name, told in (("word rule", rule), ("field", got)):
+        hit = sum(told[r.doc_id] and r.toxic == 1 for r in held)
+        rates[name] = (np.mean([told[r.doc_id] == (r.toxic == 1) for r in held]), hit / sum(r.toxic for r in held), hit / max(1, sum(told[r.doc_id] for r in held)))
+        print(f"{name}: accuracy {rates[name][0]:.4f}, recall {rates[name][1]:.4f}, precision {rates[name][2]:.4f} on {len(held)} documents")
+    assert rates["field"][0] >= max(0.985, rates["word rule"][0] - 1e-9) and rates["field"][1] >= 0.9
 
 
 def test_toxicity(spark, odd, none):
@@ -237,7 +328,7 @@ def test_conflicting_labels(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     marks = [(i, i % 2) for i in range(40)] + [(i, 0) for i in range(40)]
     models = [toxicity.fit(docs, spark.createDataFrame(m, "doc_id long, toxic int").repartition(3)) for m in (marks, marks[::-1], marks[:40])]
-    assert all((m.document == models[0].document).all() and m.odds == models[0].odds for m in models)
+    assert all((m.document == models[0].document).all() and (m.slots == models[0].slots).all() for m in models)
 
 
 def plain_components(rows):
