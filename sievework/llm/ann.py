@@ -4,11 +4,15 @@ Every row goes to one bucket of each table; a query looks into the buckets of th
 blocks of bounded size by a hash of the id, and their queries go to every block, so that a bucket that holds a third of all rows is
 as many tasks as it has blocks. A block gives each query its best rows only, so what is merged grows with the queries. Queries that
 found fewer rows than asked for, as in tables of a few rows, are compared with all rows of their width.
+
+How many buckets a query must probe hangs on the width, the number of rows and how the vectors lie. It is measured: a few queries' true
+neighbours are found among all rows, and the probes that reach them counted (``calibrate``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +22,12 @@ from pyspark.sql import functions as F
 from . import crosspolytope
 from .common import materialise, vectors_of
 
-TABLES, PROBES, BLOCK = 4, 28, 4_096
+TABLES, BLOCK = 4, 4_096
+#: Calibration: queries whose true neighbours are looked up, the share of these to be reached, and the most probes of a table.
+SAMPLE_QUERIES, TARGET, MOST_PROBES = 256, 0.96, 4_096
+LEAST_COUNTED = 200  # with fewer neighbours to count, all of them have to be reached
+SEND = 64  # what it costs to send a query to one more bucket, in rows compared
+SLOTS = 1 << 30
 
 
 def unpack(blobs: list[bytes]) -> np.ndarray:
@@ -56,13 +65,105 @@ def best_of_block(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.n
     return tuple(np.concatenate(c) for c in zip(*out))  # type: ignore[return-value]
 
 
-def search(df: DataFrame, is_query: Column, k: int = 5, tables: int = TABLES, probe_count: int = PROBES, depth: int = 1, block: int = BLOCK, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+@dataclass(frozen=True)
+class Plan:
+    """Rotations put together in a bucket's code, probes of each table, and by the sample: the recall, and the share of all rows that
+    lie in the buckets probed, rows in several tables counted as often."""
+
+    depth: int
+    probes: int
+    recall: float
+    share: float
+
+
+def _sampled(df: DataFrame, id_col: str, count: int) -> DataFrame:
+    near = F.pmod(F.xxhash64(id_col, F.lit(17)), F.lit(SLOTS)) < min(SLOTS, int(SLOTS * SAMPLE_QUERIES / max(1, count)) + 1)
+    return df.where(near).orderBy(F.xxhash64(id_col, F.lit(17)), id_col).limit(SAMPLE_QUERIES)
+
+
+def true_neighbours(df: DataFrame, asked: list[tuple[int, np.ndarray]], k: int, id_col: str, vec_col: str) -> list[tuple[int, np.ndarray]]:
+    """(place in ``asked``, vector) of the k nearest rows of each of a few queries, compared with all rows of its width; each task keeps the k
+    best of its rows."""
+    by: dict[int, list[int]] = {}
+    for i, (_, v) in enumerate(asked):
+        by.setdefault(len(v), []).append(i)
+    unit = {w: np.stack([asked[i][1] / np.linalg.norm(asked[i][1]) for i in own]) for w, own in by.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, list[tuple[float, int, bytes]]] = {}
+        for batch in batches:
+            rows, vectors = vectors_of(batch.column(1))
+            ids = batch.column(0).cast(pa.int64()).to_numpy(zero_copy_only=False)
+            for at, x in by_width(vectors):
+                for place, cos in zip(by.get(x.shape[1], ()), unit.get(x.shape[1], np.zeros((0, x.shape[1]))) @ x.T):
+                    own = ids[rows[at]]
+                    cos = np.where(own == asked[place][0], -2, cos)
+                    top = np.argsort(-cos, kind="stable")[:k]
+                    found = [(-float(cos[j]), int(own[j]), vectors[at[j]].tobytes()) for j in top.tolist() if cos[j] > -2]
+                    best[place] = sorted({r[1]: r for r in [*best.get(place, []), *found]}.values())[:k]
+        flat = [(place, *r) for place, own in best.items() for r in own]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in flat], pa.int32()), pa.array([r[1] for r in flat], pa.float64()), pa.array([r[2] for r in flat], pa.int64()), pa.array([r[3] for r in flat], pa.binary())], names=["place", "far", "id", "vec"])
+
+    found = df.select(id_col, vec_col).mapInArrow(run, "place int, far double, id long, vec binary").dropDuplicates(["place", "id"])
+    order = Window.partitionBy("place").orderBy("far", "id")
+    nearest = found.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k).select("place", "vec").collect()  # SAMPLE_QUERIES * k rows at most
+    return [(r["place"], np.frombuffer(r["vec"])) for r in nearest]
+
+
+def needed_probes(asked: np.ndarray, place: np.ndarray, neighbours: np.ndarray, tables: int, depth: int) -> np.ndarray:
+    """For each neighbour of the query at its place, the probes of each table that it takes to reach it in one of them."""
+    least = np.full(len(place), np.iinfo(np.int64).max)
+    for t in range(tables):
+        most = min(MOST_PROBES, (2 * crosspolytope.rotated(asked[:1], 0).shape[1]) ** depth)
+        probed = crosspolytope.probes(asked, t, most, depth)
+        code = crosspolytope.codes(neighbours, t, depth)
+        for j in range(len(place)):
+            at = np.flatnonzero(probed[place[j]] == code[j])
+            if len(at):
+                least[j] = min(least[j], int(at[0]) + 1)
+    return least
+
+
+def calibrate(df: DataFrame, is_query: Column, k: int = 5, tables: int = TABLES, target: float = TARGET, id_col: str = "vec_id", vec_col: str = "embedding") -> Plan:
+    """The depth and the fewest probes that reach ``target`` of the true k nearest rows of at most ``SAMPLE_QUERIES`` queries, chosen by a hash of
+    the id; of the depths the one that costs less. Vectors that spread evenly take many probes, and then most rows are compared."""
+    df = df.where(F.col(id_col).isNotNull())
+    queries = df.where(is_query)
+    sample = _sampled(queries, id_col, queries.count()).select(id_col, vec_col).toArrow()
+    rows, vectors = vectors_of(sample.column(1))
+    ids = sample.column(0).to_pylist()
+    asked = [(int(ids[i]), v) for i, v in zip(rows.tolist(), vectors)]
+    count = df.count()
+    found = true_neighbours(df, asked, k, id_col, vec_col) if asked else []
+    plans = []
+    for depth in (1, 2):
+        need: list[np.ndarray] = []
+        buckets = 1
+        for w in sorted({len(v) for _, v in asked}):
+            own = [i for i, (_, v) in enumerate(asked) if len(v) == w]
+            near = [(own.index(p), v) for p, v in found if len(v) == w]
+            buckets = max(buckets, (2 * (1 << max(0, (w - 1).bit_length()))) ** depth)
+            if near:
+                need.append(needed_probes(np.stack([asked[i][1] for i in own]), np.array([p for p, _ in near]), np.stack([v for _, v in near]), tables, depth))
+        if not need:
+            return Plan(1, 1, 1.0, 0.0)
+        least = np.sort(np.concatenate(need))
+        target = target if len(least) >= LEAST_COUNTED else 1.0
+        probes = int(least[min(len(least) - 1, int(np.ceil(target * len(least))) - 1)])
+        if probes <= MOST_PROBES:
+            plans.append((tables * probes * SEND + tables * probes / buckets * count, Plan(depth, probes, float((least <= probes).mean()), tables * probes / buckets)))
+    return min(plans, key=lambda p: p[0])[1] if plans else Plan(1, MOST_PROBES, 1.0, float(tables))
+
+
+def search(df: DataFrame, is_query: Column, k: int = 5, tables: int = TABLES, plan: Plan | None = None, block: int = BLOCK, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(query_id, rank from 1, vec_id, score): for each row that ``is_query`` holds for, the k rows of greatest cosine found, never its
     own id; nearest first, ties to the smaller id; all rows of its width, if fewer.
 
     Vectors that are null, zero, empty or hold null or non-finite components, and rows without an id, take no part, neither as queries nor
-    as rows; vectors of different widths don't meet. Repeated rows of one id count once."""
+    as rows; vectors of different widths don't meet. Repeated rows of one id count once. Without a ``plan``, ``calibrate`` finds one."""
     df = df.where(F.col(id_col).isNotNull())
+    plan = plan or calibrate(df, is_query, k, tables, id_col=id_col, vec_col=vec_col)
+    depth, probe_count = plan.depth, plan.probes
     kind = "tab int, bucket long, id long, vec binary"
 
     def index(n: int):

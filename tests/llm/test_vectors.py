@@ -54,6 +54,49 @@ def test_search(spark, rows, table):
     assert ann.search(table.limit(0), F.col("vec_id") % 10 == 0).count() == 0
 
 
+def clusters(rng, width, groups, each, spread):
+    c = rng.normal(size=(groups, width))
+    c /= np.linalg.norm(c, axis=1, keepdims=True)
+    return np.repeat(c, each, axis=0) + rng.normal(size=(groups * each, width)) * spread / np.sqrt(width)
+
+
+@pytest.mark.parametrize(("width", "spread"), [(16, None), (64, None), (256, None), (768, 0.3)])
+def test_recall_by_width(spark, width, spread):
+    """Against brute force: at least 0.9 at every width, for vectors that spread evenly as for those in clusters, and of these few are compared."""
+    rng = np.random.default_rng(width)
+    x = rng.normal(size=(1200, width)) if spread is None else clusters(rng, width, 120, 10, spread)
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    asked = F.col("vec_id") % 20 == 0
+    plan = ann.calibrate(d, asked)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    got: dict[int, set] = {}
+    for r in ann.search(d, asked, plan=plan).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in range(0, 1200, 20):
+        cos = unit @ unit[q]
+        cos[q] = -2
+        hits += len(got[q] & set(np.argsort(-cos)[:5].tolist()))
+    print(f"width {width}, {'even' if spread is None else 'clustered'}: {plan}, recall {hits / 300:.3f}")
+    assert hits / 300 >= 0.9 and (spread is None or plan.share <= 0.1)
+
+
+def test_depth_two_reaches_what_it_counts():
+    """Probes of two rotations together are the codes of least loss, and what calibration counts is where a neighbour's code stands among them."""
+    rng = np.random.default_rng(9)
+    q, v = rng.normal(size=(6, 16)), rng.normal(size=(6, 16))
+    need = ann.needed_probes(q, np.arange(6), v, 3, 2)
+    for i in range(6):
+        places = []
+        for t in range(3):
+            y = [crosspolytope.rotated(q[i : i + 1], t * 8 + k)[0] for k in range(2)]
+            both = [np.concatenate([a, -a]) for a in y]
+            loss = (both[0].max() - both[0])[:, None] + (both[1].max() - both[1])[None, :]
+            order = np.argsort(loss.ravel(), kind="stable")
+            places.append(int(np.flatnonzero(order == crosspolytope.codes(v[i : i + 1], t, 2)[0])[0]) + 1)
+        assert need[i] == min(places)
+
+
 def test_search_of_few_rows(spark):
     """Every query gets all rows there are, where those are few."""
     x = np.random.default_rng(8).normal(size=(7, 64))
