@@ -113,4 +113,4 @@ def with_fallback(*columns: Column) -> Column:
 def split_claims(value: Column) -> Column:
     """A JSON array of strings, or parts between commas, semicolons and spaces; trimmed, without empty ones."""
     parts = F.coalesce(F.from_json(value, "array<string>"), F.split(value, "[,; ]"))
-    return F.filter(F.transform(parts, F.trim), lambda s: s != "")
+    return F.filter(F.transform(parts, lambda s: F.trim(s)), lambda s: s != "")  # trim itself would take the index as what to trim

@@ -10,11 +10,19 @@ from pyspark.sql import functions as F
 from ..storage import materialise
 
 
+#: Rows of a class that one task may order.
+TASK_ROWS = 1 << 20
+
+
 def ranked(df: DataFrame, label_col: str, *order: Column) -> DataFrame:
     """Rows with _rank from 1 within their class, and _n, the class's size.
 
-    Rows are dealt out by ranges of class and order, so that a class of any size is as many tasks as it needs; a row's rank is its place in
+    Where no class has more than ``TASK_ROWS`` rows, each is ordered in a task. Else rows are dealt out by ranges of class and order, so that a class of any size is as many tasks as it needs; a row's rank is its place in
     its part after the sizes of the parts before. What is ordered in one task is one row for each part of a class."""
+    sizes = df.groupBy(F.col(label_col).alias("_l")).agg(F.count(F.lit(1)).alias("_n"))
+    if (sizes.agg(F.max("_n")).first()[0] or 0) <= TASK_ROWS:
+        within = Window.partitionBy(label_col)
+        return df.withColumn("_rank", F.row_number().over(within.orderBy(*order))).withColumn("_n", F.count(F.lit(1)).over(within))
     keys = [f"_o{i}" for i in range(len(order))]
     dealt = df.withColumns(dict(zip(keys, order))).repartitionByRange(label_col, *keys).withColumn("_part", F.spark_partition_id())
     rows = materialise(dealt, "ranked")

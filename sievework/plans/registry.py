@@ -13,7 +13,7 @@ from ..functions import names
 from ..functions.vectors import argmax, hash_words
 from ..functions.vectors import hash_embedding as embedding_of
 from ..operators import boosting, dedup, drift, evaluation, events, folds, gates, label_quality, reconcile, selection
-from . import stores
+from . import checks, stores
 
 NOW = datetime(2000, 1, 1)
 SETTINGS = Selection("o_*", 24, 40, 200, 233)
@@ -247,7 +247,7 @@ QUERIES = (
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in QUERIES} | stores.queries()
+    return {f.__name__: f for f in QUERIES} | stores.queries() | checks.queries()
 
 
 INVENTORY_SQL = """inv AS (SELECT CAST(o_orderkey AS VARCHAR) AS id, lower(o_orderstatus) || '_' || o_orderpriority || '_0.' || lpad(CAST(o_orderkey % 100 AS VARCHAR), 2, '0') || '.jpg' AS key, o_orderdate AS modified FROM orders)"""
@@ -274,7 +274,7 @@ mult AS (SELECT *, CASE WHEN baseline > 0 AND observed IS NOT NULL THEN observed
 
 
 def oracle_sql() -> dict[str, str]:
-    return stores.oracle_sql() | {
+    return stores.oracle_sql() | checks.oracle_sql(CANDIDATES_SQL, TENANTS_SQL) | {
         "select_curated": f"""WITH {CANDIDATES_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY key, id) AS r FROM elig), capped AS (SELECT * FROM r ORDER BY r, label LIMIT 233)
 SELECT id, key, label, source_brand, source_confidence, strftime(modified, '%Y-%m-%d') AS modified_on FROM capped""",
         "selection_metrics": f"""WITH {CANDIDATES_SQL}, c AS (SELECT label, count(*) AS n FROM elig GROUP BY label)

@@ -249,8 +249,10 @@ def test_readers(spark, tmp_path):
     assert readers.latest_checkpoint(c).first().epoch == 10
 
 
-def test_ranks_across_parts(spark):
+@pytest.mark.parametrize("task_rows", [0, folds.TASK_ROWS])
+def test_ranks_across_parts(spark, monkeypatch, task_rows):
     """A class that lies in many parts is ranked as one; null classes too."""
+    monkeypatch.setattr(folds, "TASK_ROWS", task_rows)
     rows = [(i, "hot" if i % 5 else ("rare" if i % 2 else None)) for i in range(400)]
     df = spark.createDataFrame(rows, "id long, label string").repartition(7)
     got = {r.id: (r._rank, r._n) for r in folds.ranked(df, "label", F.col("id")).collect()}
@@ -289,3 +291,30 @@ def test_running_executions(spark):
     runs = spark.createDataFrame([("b", "Executing", "e1", 1), ("b", "Executing", "e2", 2), ("b", "Succeeded", "e3", 3), ("c", "Failed", "e4", 4)], "brand string, status string, execution_id string, started_at long")
     got = {r.brand: (r.skipped, r.execution_id) for r in events.suppressed(spark.createDataFrame([("b",), ("c",)], "brand string"), runs).collect()}
     assert got == {"b": (True, "e2"), "c": (False, None)} and [r.execution_id for r in events.newest_first(runs).collect()] == ["e4", "e3", "e2", "e1"]
+
+
+def test_files_and_names_that_steps_look_up(spark, tmp_path):
+    """Listings, digests and paths of files, labels and names, each against plain Python."""
+    import hashlib
+
+    for name in ("a/x_done_0.9.jpg", "a/y.jpg", "b/z.JPG", "note.txt"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(name.encode())
+    root = str(tmp_path)
+    digests = {r.path.removeprefix(f"file:{root}/"): r.sha256 for r in readers.file_digests(spark, root).collect()}
+    assert digests == {n: hashlib.sha256(n.encode()).hexdigest() for n in ("a/x_done_0.9.jpg", "a/y.jpg", "b/z.JPG", "note.txt")}
+    now = datetime(2026, 1, 1)
+    flat = readers.flat_listing(spark, f"{root}/a", F.lit(now))
+    assert sorted((r.id, r.key, r.last_modified) for r in flat.collect()) == [("x_done_0.9.jpg", "x_done_0.9.jpg", now), ("y.jpg", "y.jpg", now)]
+    labelled = readers.labelled_files(spark, root)
+    assert sorted(r.label for r in labelled.collect()) == ["a", "a", "b"]
+    assert not readers.same_classes(labelled, labelled.where("label = 'a'")) and readers.same_classes(labelled, labelled.distinct())
+    manifest = spark.createDataFrame([("1", "k1", None), ("2", "k2", "p2"), ("3", None, None)], "id string, key string, image_path string")
+    found = readers.resolved(manifest, spark.createDataFrame([("k1",), ("p2",), ("2",), ("k1",)], "path string"))
+    assert sorted(r.id for r in found.collect()) == ["1", "2"]
+    row = spark.createDataFrame([("in/wc_not_done_0.9.tar.gz", None, "b", "c")], "key string, x string, y string, z string")
+    told = row.select(sinks.file_stem(F.col("key")).alias("stem"), names.second_part(F.col("key")).alias("second"), names.with_fallback(F.col("x"), F.col("y"), F.col("z")).alias("some")).first()
+    assert tuple(told) == ("wc_not_done_0.9.tar", "not", "b")
+    body = spark.createDataFrame([('{"a":1,"z":2,"b":3}', '["x","y"]', "y; w , ")], "body string, one string, two string")
+    seen = body.select(events.unexpected_fields(F.col("body"), ["a", "b"]).alias("extra"), events.allowed_brands(F.col("one"), F.col("two"), F.lit(None).cast("string")).alias("brands")).first()
+    assert seen.extra == ["z"] and sorted(seen.brands) == ["w", "x", "y"]
