@@ -148,8 +148,9 @@ def cosine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cosine_pairs_tight(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """At a threshold where cells bound what is compared."""
-    pairs = dedup.cosine_pairs(table(spark, sf_dir, "embeddings"), 0.98, "vec_id")
+    """Of the vectors' first four numbers, which lie close enough together for cells to bound what is compared at a high threshold."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.slice("embedding", 1, 4).alias("embedding"))
+    pairs = dedup.cosine_pairs(rows, 0.98, "vec_id")
     return pairs.select("a", "b", F.round("cosine", 4).alias("cosine"))
 
 
@@ -305,7 +306,7 @@ SELECT key, 'SHA256' AS algorithm, NOT (doc_id % 101 = 0 OR doc_id % 89 = 0 OR d
 SELECT doc_id, CAST(c * 8 + k AS INT) AS position, round(CAST(('0x' || substr(h, CAST(k * 8 + 1 AS BIGINT), 8)) AS BIGINT) / 4294967295.0 * 2 - 1, 9) AS value FROM d, range(0, 8) AS q(k)""",
         "cosine_pairs": """WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
 SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.v, b.v), 4) AS cosine FROM e a JOIN e b ON a.vec_id < b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= 0.4""",
-        "cosine_pairs_tight": """WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
+        "cosine_pairs_tight": """WITH e AS (SELECT vec_id, CAST(embedding[1:4] AS DOUBLE[]) AS v FROM embeddings)
 SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.v, b.v), 4) AS cosine FROM e a JOIN e b ON a.vec_id < b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= 0.98""",
         "cosine_dedup_keep_first": """WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 pairs AS MATERIALIZED (SELECT b.vec_id AS id, list(a.vec_id) AS before FROM e a JOIN e b ON a.vec_id < b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= 0.4 GROUP BY b.vec_id),
