@@ -16,7 +16,7 @@ def bounded_rows(df: DataFrame, by: str, key: str, most: int, groups: int | None
     if groups is None:
         share = counted.select(by, F.col("count").alias("_count"))
         within = (F.col("_count") <= most) | (slot < F.floor(F.lit(SLOTS * most) / F.col("_count")))
-        return df.join(F.broadcast(share), by).where(within).drop("_count")  # one row a value
+        return df.join(share, by).where(within).drop("_count")  # one row a value, however many there are
     counts = counted.orderBy(F.desc("count"), by).limit(groups).collect()
     taken: Column = F.lit(False)
     for r in counts:

@@ -31,8 +31,8 @@ from .sampling import bounded_rows
 SAMPLE_DOCS, SAMPLE_BYTES = 1_500, 32 << 20
 SLOTS = 1 << 17  # of hashed features
 STEPS, RATE, RIDGE = 30, 0.08, 2e-5
-CACHE_ENTRIES = 200_000
-SLICE_BYTES = 1 << 20  # of texts read at once
+CACHE_ENTRIES = 100_000
+SLICE_BYTES = 1 << 19  # of texts read at once
 _letters = re.compile(r"[^\W\d_]+")
 _blank = np.zeros(256, dtype=bool)
 _blank[[9, 10, 11, 12, 13, 32]] = True
@@ -56,19 +56,20 @@ def unlike(texts: list[bytes]) -> np.ndarray:
     return np.array(kept, dtype=np.int64)
 
 
-def _slot(kind: str, value: str) -> int:
-    return zlib.crc32(f"{kind}={value}".encode()) % SLOTS
+_shapes = bytes(65 if 65 <= c <= 90 else 97 if 97 <= c <= 122 or c >= 128 else 48 if 48 <= c <= 57 else 46 for c in range(256))
+_lower = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+_others = bytes(c for c in range(128) if not (65 <= c <= 90 or 97 <= c <= 122))
+_runs = re.compile(rb"(.)\1+", re.DOTALL)
 
 
 def token_slots(token: bytes) -> tuple[list[int], int]:
-    """(slots of a token's own features, slot of its word as a neighbour)."""
-    word = word_of(token)
-    own = [_slot("word", word), _slot("start", word[:3]), _slot("end", word[-3:])]
-    own += [_slot("part", word[i : i + 4]) for i in range(min(len(word) - 3, 12))]
-    text = token.decode("utf-8", "replace")
-    shape = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else "." for c in text[:24])
-    own += [_slot("shape", re.sub(r"(.)\1+", r"\1", shape)), _slot("length", str(min(len(word), 12)))]
-    return own, _slot("beside", word)
+    """(slots of a token's own features, slot of its word as a neighbour): hashes of its word, the word's first and last three bytes and all fours
+    of its first fifteen, its shape and its length, each kind with a start of its own."""
+    word = token.translate(_lower, _others) if token.isascii() else word_of(token).encode()
+    crc, n = zlib.crc32, len(word)
+    own = [crc(word, 1), crc(word[:3], 2), crc(word[-3:], 3), crc(_runs.sub(rb"\1", token[:24].translate(_shapes)), 4), crc(b"%d" % min(n, 12), 5)]
+    own += [crc(word[i : i + 4], 6) for i in range(min(n - 3, 12))]
+    return [h % SLOTS for h in own], crc(word, 7) % SLOTS
 
 
 @dataclass
@@ -94,10 +95,8 @@ class Reader:
         tokens, counts, begins = split(texts)
         which = self.numbers.numbered(tokens)
         if self.numbers.fresh:
-            new = np.zeros((3, len(self.numbers.fresh)))
-            for i, t in enumerate(self.numbers.fresh):
-                own, side = token_slots(t)
-                new[:, i] = self.model.slots[own].sum(), self.model.sides[0, side], self.model.sides[1, side]
+            new = [self._weights(self.numbers.fresh[i : i + 4096]) for i in range(0, len(self.numbers.fresh), 4096)]  # bounds what lists take
+            new = np.concatenate(new, axis=1)
             self.own = np.concatenate([self.own, new], axis=1)
             self.closes = np.concatenate([self.closes, np.array([t[-1:] in b".!?" for t in self.numbers.fresh], dtype=bool)])
         value, closes = self.own[:, which], self.closes[which]
@@ -107,6 +106,14 @@ class Reader:
         return tokens, counts, starts, self.model.bias + value[0] + beside(value[1], starts, 1) + beside(value[2], starts, -1), begins
 
 
+    def _weights(self, tokens: list[bytes]) -> np.ndarray:
+        kinds = [token_slots(t) for t in tokens]
+        size = np.array([len(own) for own, _ in kinds])
+        side = np.array([s for _, s in kinds])
+        own = np.add.reduceat(self.model.slots[np.array([s for own, _ in kinds for s in own])], np.cumsum(size) - size)
+        return np.stack([own, self.model.sides[0, side], self.model.sides[1, side]])
+
+
 def split(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """(tokens of all texts, their count in each, where they begin in the texts joined by one byte)."""
     joined = b"\n".join(texts)
