@@ -91,4 +91,4 @@ def test_empty_input(spark, tmp_path):
 
 def test_registered():
     found = queries.queries()
-    assert [q.split("_")[0] for q in found] == [f"op{n}" for n in range(1, 11)] and set(sql.oracle_sql()) <= set(found)
+    assert [q.split("_")[0] for q in found] == [f"op{n}" for n in range(1, 14)] and set(sql.oracle_sql()) <= set(found)
