@@ -25,6 +25,7 @@ from .common import materialise, vectors_of
 TABLES, BLOCK = 4, 4_096
 #: Calibration: queries whose true neighbours are looked up, the share of these to be reached, and the most probes of a table.
 SAMPLE_QUERIES, TARGET, MOST_PROBES = 256, 0.96, 4_096
+MOST_BUCKETS = 1 << 18  # two rotations are only tried where all their buckets can be put in order
 LEAST_COUNTED = 200  # with fewer neighbours to count, all of them have to be reached
 SEND = 64  # what it costs to send a query to one more bucket, in rows compared
 SLOTS = 1 << 30
@@ -136,7 +137,8 @@ def calibrate(df: DataFrame, is_query: Column, k: int = 5, tables: int = TABLES,
     count = df.count()
     found = true_neighbours(df, asked, k, id_col, vec_col) if asked else []
     plans = []
-    for depth in (1, 2):
+    widest = 2 << max(0, (max((len(v) for _, v in asked), default=1) - 1).bit_length())
+    for depth in (1, 2) if widest**2 <= MOST_BUCKETS else (1,):
         need: list[np.ndarray] = []
         buckets = 1
         for w in sorted({len(v) for _, v in asked}):

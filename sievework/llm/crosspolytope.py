@@ -56,6 +56,10 @@ def coarse_codes(x: np.ndarray, table: int, cells: int) -> np.ndarray:
 
 def probes(x: np.ndarray, table: int, count: int, depth: int = 1) -> np.ndarray:
     """The ``count`` codes of each row that lose least against the nearest axes, best first."""
+    width = 1 << max(0, int(x.shape[1] - 1).bit_length())
+    step = max(1, (1 << 22) // min(count, 2 * width) ** 2) if depth > 1 else max(1, len(x))  # combinations in memory at a time
+    if len(x) > step:
+        return np.concatenate([probes(x[i : i + step], table, count, depth) for i in range(0, len(x), step)])
     best, loss = np.zeros((len(x), 1), dtype=np.int64), np.zeros((len(x), 1))
     for k in range(depth):
         y = rotated(x, table * 8 + k)
