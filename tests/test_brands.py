@@ -43,6 +43,20 @@ def test_ten_thousand_patterns(spark):
     assert got.count() == 10_000 and got.where(F.col("brand") != F.concat(F.lit("b"), "id")).count() == 0
 
 
+def test_names_with_one_literal_are_dealt_out(spark, monkeypatch):
+    """A literal that all names have gives no group of all names, and the matches stay the same."""
+    monkeypatch.setattr(brands, "TASK_NAMES", 100)
+    patterns = [(0, "own", "n7_*"), (1, "low", "*[0-4].jpg"), (2, "rest", "*.jpg"), (3, "never", "*")]
+    table = spark.createDataFrame(patterns, "ordinal long, brand string, pattern string")
+    rows = spark.range(2_000).select("id", F.concat(F.lit("n"), F.col("id"), F.lit("_"), F.col("id"), F.lit(".jpg")).alias("name"))
+    keys = rows.select(F.col("name").alias("_given"), F.lit("tail").alias("side"), F.lit(".jpg").alias("literal"))
+    own, every = brands.dealt(keys, brands.index(table))
+    sizes = [r["count"] for r in own.groupBy("side", "literal", "_part").count().collect()]
+    assert sum(sizes) == 2_000 and max(sizes) <= 150 and every.where("literal = '.jpg'").count() == 2 * len(sizes)
+    got = {r.id: r.brand for r in brands.with_first_match(rows, "name", table).collect()}
+    assert got == {i: "own" if i == 7 else "low" if i % 10 <= 4 else "rest" for i in range(2_000)}
+
+
 @pytest.mark.parametrize("size", ["700", "128m"])
 def test_line_numbers_across_splits(spark, tmp_path, size):
     before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
