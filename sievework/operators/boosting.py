@@ -1,8 +1,9 @@
 """Boosted trees for several classes, one model a fold, grown together from shared histograms.
 
 Features become bins once. A level of all trees of all folds is one pass over the rows: tasks sum gradients by (fold, class, node, feature, bin),
-sums meet by (fold, class, node), and each such group returns its best split alone, so the driver gets a row a node. Rows carry
-their margins, rewritten every few rounds; the trees since then are applied as rows are read.
+sums meet by (fold, class, node), and each such group returns its best split alone, so the driver gets a row a node. Rows are dealt
+evenly to tasks, whatever their classes' sizes, and carry their margins, rewritten every few rounds; the trees since then are applied
+as rows are read.
 
 Gradients are summed as whole multiples of 2^-24, so that trees don't depend on how rows are dealt to tasks.
 """
@@ -123,11 +124,11 @@ def _histograms(rows: DataFrame, model: Model, pending: list[Trees], now: Trees,
             place = np.arange(width) * BINS + bins
             for f in range(shape[0]):
                 use = np.flatnonzero((fold != f) & _drawn(spread, s.rows, s.seed, now.number, f))
+                own, seen = place[use], bins[use]
                 for k in np.flatnonzero(present[f]).tolist():
                     g = p[use, f, k] - (y[use] == k)
                     h = np.maximum(2 * p[use, f, k] * (1 - p[use, f, k]), 1e-16)
-                    node = _node(bins[use], now, f, k, level)
-                    flat = (node[:, None] * (width * BINS) + place[use]).ravel()
+                    flat = (_node(seen, now, f, k, level)[:, None] * (width * BINS) + own if level else own).ravel()
                     for i, v in enumerate((g, h)):
                         total[f, k, :, :, i] += np.bincount(flat, np.repeat(np.rint(v * ONE), width), minlength=(width * BINS) << level).reshape(1 << level, -1)
         if total is not None:
@@ -167,7 +168,7 @@ def _grow(rows: DataFrame, model: Model, pending: list[Trees], now: Trees, width
 
     kind = "f long, k long, node long, feature long, bin long, left double, right double"
     level = now.levels
-    for r in _histograms(rows, model, pending, now, s).groupBy("f", "k", "node").applyInArrow(choose, kind).toLocalIterator():  # a row a node
+    for r in _histograms(rows, model, pending, now, s).groupBy("f", "k", "node").applyInArrow(choose, kind).collect():  # a row a node
         inner = (1 << level) - 1 + r["node"]
         now.feature[r["f"], r["k"], inner], now.bin[r["f"], r["k"], inner] = r["feature"], r["bin"]
         below = 1 << (s.depth - level - 1)  # leaves on each side
@@ -204,6 +205,7 @@ def out_of_sample(df: DataFrame, label_col: str = "label", vec_col: str = "embed
     index = F.array_position(F.array(*map(F.lit, classes)), F.col(label_col).cast("string")) - 1
     dealt = folding.stratified_folds(rows.select(id_col, label_col, vec_col), label_col, id_col, k)
     dealt = dealt.select(id_col, "fold", index.cast("long").alias("y"), F.xxhash64(id_col).alias("spread"), F.col(vec_col).cast("array<double>").alias("v"))
+    dealt = dealt.repartition("spread")  # the folds' tasks hold whole classes, and all passes would
     shape = (k, len(classes))
 
     def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sievework.operators import boosting
 
@@ -97,6 +98,24 @@ def test_probabilities(spark):
     assert sorted({f for f, _ in runs[0].values()}) == [0, 1, 2, 3]
 
 
+def test_a_large_class_is_many_tasks(spark, monkeypatch):
+    """Nine rows of ten are of one class: passes over them aren't one task's work."""
+    rng = np.random.default_rng(5)
+    x, y = blobs(rng, each=200, classes=2)
+    y = (np.arange(len(y)) % 10 == 0).astype(int)
+    tables = []
+    whole = boosting.materialise
+    monkeypatch.setattr(boosting, "materialise", lambda df, tag: tables.append(whole(df, tag)) or tables[-1])
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        assert boosting.out_of_sample(frame(spark, x, y), folds=2, settings=boosting.Settings(rounds=1, depth=1)).count() == 400
+        sizes = [r["count"] for r in tables[0].groupBy(F.input_file_name()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert sum(sizes) == 400 and max(sizes) < 200
+
+
 def test_absent_class_and_odd_rows(spark):
     assert boosting._softmax(np.zeros((2, 1, 3)), np.array([[True, False, True]])).tolist() == [[[0.5, 0.0, 0.5]]] * 2
     rng = np.random.default_rng(4)
