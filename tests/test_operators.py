@@ -89,6 +89,15 @@ def test_hash_embedding(spark):
     assert {r.id for r in kept.where("NOT near_duplicate").collect()} == {0, 2}
 
 
+def test_hash_embedding_equals_its_words(spark):
+    """The numbers of the words' own expression to the bit, whatever the batches; a null payload has no vector."""
+    rows = spark.createDataFrame([(i, None if i % 7 == 3 else bytes([i % 256]) * (i % 50)) for i in range(600)], "id long, payload binary").repartition(1)
+    for width in (3, 8, 20):
+        told = vectors.normalised(vectors.hash_words(F.col("payload"), width))
+        got = rows.select("id", vectors.hash_embedding(F.col("payload"), width).alias("e"), told.alias("told")).collect()
+        assert len(got) == 600 and all(r.e is None if r.id % 7 == 3 else r.e == r.told for r in got)
+
+
 def test_keep_first_equals_sequential(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(150, 4))
