@@ -6,7 +6,7 @@ import ctypes
 import tempfile
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+_kept: list[Callable] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``); a local one only where none is set, as in tests."""
@@ -42,6 +45,13 @@ def materialise(df: DataFrame, tag: str, compression: str | None = None) -> Data
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """From now on the session's Arrow batches to Python workers hold about ``BATCH_BYTES``, not 10,000 rows of any size, unless the user has set a
+    bound. Executors keep a batch outside their heap and in the worker, and neither gives all of it back."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def is_empty(df: DataFrame) -> bool:
     return not df.take(1)
 
@@ -68,6 +78,19 @@ def give_back() -> None:
         pass
 
 
+def kept(cached: Callable) -> Callable:
+    """Note a function with an ``lru_cache`` whose results stay in a worker beyond its task, for ``forget``."""
+    _kept.append(cached)
+    return cached
+
+
+def forget() -> None:
+    """Drop what tasks of other operators have left in this worker, which Spark reuses."""
+    for cached in _kept:
+        cached.cache_clear()
+    give_back()
+
+
 def text_views(column: pa.Array) -> Iterator[bytes]:
     """The UTF-8 bytes of a string or binary column, one value at a time without decoding; null gives b''."""
     if isinstance(column, pa.ChunkedArray):

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Numbers, give_back, mix64, sent_text, slices_by_bytes, text_views, whole_rows
+from .common import Numbers, forget, give_back, mix64, sent_text, slices_by_bytes, text_views, whole_rows
 from .sampling import bounded_rows
 
 #: Documents of each language that the model is fitted on, at most about.
@@ -291,6 +291,7 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     shared = spark.sparkContext.broadcast(model)  # pieces x languages numbers: bounded by the vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         scorer = Scorer(shared.value)
         names = np.array([*scorer.model.languages, "und"], dtype=object)
         for batch in batches:

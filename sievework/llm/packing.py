@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc_ids, materialise, slices_by_bytes, text_views
+from .common import crc_ids, give_back, materialise, slices_by_bytes, text_views
 from .tokens import cached_tokenizer
 
 Run = tuple[int, int, int, int, int, int]  # length, lowest rank, pieces to a sequence, sequences, first sequence, place
@@ -120,6 +120,8 @@ def pieces_of(df: DataFrame, path: str, capacity: int, end_id: int, id_col: str
                 nth[by] = np.arange(len(by)) - np.searchsorted(tall, tall) + seen[tall]
                 seen += np.bincount(length, minlength=capacity + 1)
                 yield pa.RecordBatch.from_arrays([rows.column(0).take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array(np.full(len(doc), part), pa.int32()), pa.array(nth, pa.int64())], names=[id_col, "piece", "start", "length", "ids_crc32", "part", "nth"])
+            batch = rows = ids = None
+            give_back()
 
     fields = [T.StructField(n, k) for n, k in (("piece", T.IntegerType()), ("start", T.LongType()), ("length", T.LongType()), ("ids_crc32", T.LongType()), ("part", T.IntegerType()), ("nth", T.LongType()))]
     return df.select(id_col, text_col).mapInArrow(run, T.StructType([df.schema[id_col], *fields]))

@@ -28,8 +28,8 @@ from .common import give_back, materialise, mix64, slices_by_bytes, text_views
 
 LENGTH = 100
 GRAM = 32
-SHARD_BYTES = 1 << 20  # a shard takes some hundred times its bytes for a moment
-SLICE_BYTES = 1 << 20
+SHARD_BYTES = 1 << 19  # a shard takes some hundred times its bytes for a moment
+SLICE_BYTES = 1 << 19  # of texts read at once; their anchors take some hundred times that for a moment
 MOST_TABLE_BITS = 28  # 32 MB of bits at most are sent to the executors
 _base = np.uint64(0x9E3779B97F4A7C15)
 _inverse = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -105,8 +105,11 @@ def _repeated(df: DataFrame, text_col: str, total: int) -> np.ndarray:
                 local = _local(h, bits)
                 edges = [*first.tolist(), len(h)]
                 yield pa.RecordBatch.from_arrays([pa.array(bucket[first], pa.int64()), pa.array([local[x:y].tobytes() for x, y in zip(edges, edges[1:])], pa.binary())], names=["bucket", "blob"])
+            del batch
+            give_back()
 
     def count(table: pa.Table) -> pa.Table:
+        give_back()  # what the group before took
         local, n = np.unique(np.frombuffer(b"".join(table.column("blob").to_pylist()), dtype="<u4"), return_counts=True)
         slot = (local[n > 1].astype(np.uint64) >> np.uint64(32 - (table_bits - bits))).astype(np.int64)
         out = np.zeros(max(1, 1 << (table_bits - bits) >> 3), dtype=np.uint8)
@@ -354,8 +357,11 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                     out["texts"].append(b"".join(joined[p : p + s] for p, s in zip(begins[travel].tolist(), size.tolist())))
                     out["gone"].append(np.stack([known[0][own[rest]], known[1][own[rest]], start[rest], start[rest] + (stops[rest] - begins[rest]) + LENGTH], axis=1).astype("<i8").tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(out["bucket"], pa.int64()), *(pa.array(out[c], pa.binary()) for c in list(out)[1:])], names=list(out))
+            del batch
+            give_back()
 
     def settle(table: pa.Table) -> pa.Table:
+        give_back()  # what the group before took
         column = lambda c, dtype: np.frombuffer(b"".join(table.column(c).to_pylist()), dtype=dtype)
         docs, *known = _documents(column("docs", "<i8"), column("digests", "<i8"))
         starts, sizes = column("starts", "<i8"), column("sizes", "<i4").astype(np.int64)

@@ -10,7 +10,7 @@ from functools import lru_cache
 import numpy as np
 
 from .bpe import pieces_of_texts
-from .common import Numbers
+from .common import Numbers, kept
 
 CACHE_ENTRIES = 300_000
 TOGETHER = 2_000
@@ -128,6 +128,7 @@ class CachedTokenizer:
         return out, after
 
 
+@kept
 @lru_cache(maxsize=4)
 def cached_tokenizer(path: str, drops_space: bool) -> CachedTokenizer:
     return CachedTokenizer(path, drops_space)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Numbers, give_back, sent_text, slices_by_bytes, text_views, whole_rows
+from .common import Numbers, forget, give_back, sent_text, slices_by_bytes, text_views, whole_rows
 from .sampling import bounded_rows
 
 #: Labelled documents of either kind that the model is fitted on, at most about, and the bytes of their texts.
@@ -334,6 +334,7 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
     shared = df.sparkSession.sparkContext.broadcast(model)  # three numbers a slot
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         model = shared.value
         reader = Reader(model)
         span = pa.struct([("start", pa.int64()), ("end", pa.int64())])

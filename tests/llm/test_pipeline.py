@@ -5,9 +5,12 @@ from __future__ import annotations
 import random
 
 import corpus_pipeline
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from sievework.llm import queries, sql
+from sievework.llm import queries, sql, tokens
+from sievework.llm.common import BATCH_BYTES, BATCH_SETTING, forget
 
 WORDS = ["the", "house", "river", "stone", "green", "walks", "over", "small", "bridge", "with", "seven", "old", "birds", "near", "water", "light"]
 
@@ -92,3 +95,30 @@ def test_empty_input(spark, tmp_path):
 def test_registered():
     found = queries.queries()
     assert [q.split("_")[0] for q in found] == [f"op{n}" for n in range(1, 14)] and set(sql.oracle_sql()) <= set(found)
+
+
+def test_stages_bound_the_batches_sent_to_workers(spark):
+    """Whatever the rows' size: 800 texts of 20,000 bytes were one batch."""
+    before = spark.conf.get(BATCH_SETTING, None)
+    spark.conf.unset(BATCH_SETTING)
+    try:
+        corpus_pipeline.packed(spark, spark.range(1).selectExpr("id as doc_id", "'a' as text"), "")
+        rows = spark.range(0, 800, 1, 1).selectExpr("id", "repeat('x', 20000) as text")
+        sizes = rows.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"bytes": [b.nbytes]}) for b in batches), "bytes long").collect()
+        assert sum(r["bytes"] for r in sizes) >= 16_000_000
+        assert max(r["bytes"] for r in sizes) <= BATCH_BYTES + 100_000
+        spark.conf.set(BATCH_SETTING, "1m")  # a user's own bound stays
+        corpus_pipeline.bounded_batches(spark)
+        assert spark.conf.get(BATCH_SETTING) == "1m"
+    finally:
+        spark.conf.unset(BATCH_SETTING)
+        if before is not None:
+            spark.conf.set(BATCH_SETTING, before)
+
+
+def test_other_operators_drop_a_workers_tokenizer():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    held = tokens.cached_tokenizer(path, True)
+    assert tokens.cached_tokenizer(path, True) is held
+    forget()
+    assert tokens.cached_tokenizer.cache_info().currsize == 0
